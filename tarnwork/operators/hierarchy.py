@@ -40,24 +40,26 @@ def ancestors(
         frontier = reached.where(F.col("depth") == distance).select(
             "node", F.col("ancestor").alias("via")
         )
+        # A count over written files: none left ends the walk, few need no salt.
+        open_pairs = frontier.count()
+        if open_pairs == 0:
+            return reached
         onward = reached.select(
             F.col("node").alias("via"), "ancestor", (F.col("depth") + distance).alias("depth")
         )
-        further = salted_join(
-            frontier,
-            onward,
-            "via",
-            "inner",
-            hot=hot_keys(frontier, "via", rows_per_salt=rows_per_salt),
-        ).where(F.col("node") != F.col("ancestor"))
-        nearest = further.groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
-        known = reached.select("node", "ancestor")
-        new = materialize(
-            nearest.join(known, ["node", "ancestor"], "left_anti"), f"ancestors-{2 * distance}"
+        if open_pairs > rows_per_salt:
+            hot = hot_keys(frontier, "via", rows_per_salt=rows_per_salt)
+            further = salted_join(frontier, onward, "via", "inner", hot=hot)
+        else:
+            further = frontier.join(onward, "via")
+        nearest = (
+            further.where(F.col("node") != F.col("ancestor"))
+            .groupBy("node", "ancestor")
+            .agg(F.min("depth").alias("depth"))
         )
-        if new.isEmpty():
-            return reached
-        reached = reached.unionByName(new)
+        known = reached.select("node", "ancestor")
+        new = nearest.join(known, ["node", "ancestor"], "left_anti")
+        reached = reached.unionByName(materialize(new, f"ancestors-{2 * distance}"))
         distance *= 2
 
 

@@ -122,18 +122,22 @@ def order_details(t: Tables) -> DataFrame:
     """
     select cast(strftime(o_orderdate, '%Y%m%d') as integer) as day,
            count(*) as n_details,
-           round(sum(l_extendedprice * (1 - l_discount)), 2) as revenue
+           cast(sum(cast(l_extendedprice as decimal(12, 2))
+                    * (1 - cast(l_discount as decimal(4, 2)))) as double) as revenue
     from orders join lineitem on o_orderkey = l_orderkey
     group by 1
     """
 )
 def daily_revenue(t: Tables) -> DataFrame:
-    revenue = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    # Exact money: decimal sums do not depend on the order of the rows.
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
+    revenue = price * (1 - F.col("l_discount").cast("decimal(4,2)"))
     return (
         _order_details(t)
         .groupBy("day")
         .agg(
-            F.count(F.lit(1)).alias("n_details"), F.round(F.sum(revenue), 2).alias("revenue")
+            F.count(F.lit(1)).alias("n_details"),
+            F.sum(revenue).cast("double").alias("revenue"),
         )
     )
 
@@ -172,20 +176,18 @@ def extract_one_day(t: Tables) -> DataFrame:
 
 @query(
     """
-    select cast(strftime(o_orderdate, '%Y%m') as integer) as month,
-           count(*) as n_orders, round(sum(o_totalprice), 2) as total
-    from orders group by 1
+    select cast(strftime(ts, '%Y%m%d') as integer) as day,
+           count(*) as n_events, round(sum(value), 2) as total
+    from events group by 1
     """
 )
 def extract_all_days(t: Tables) -> DataFrame:
-    out = t.scratch("orders-all")
-    extract_all(t.orders, "o_orderdate", out)
+    out = t.scratch("events-all")
+    extract_all(t.events, "ts", out)
     return (
         read_partitions(t.spark, out)
-        .groupBy("month")
-        .agg(
-            F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total")
-        )
+        .groupBy("day")
+        .agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("total"))
     )
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarnwork.operators.keyed import upsert
+from tarnwork.scratch import materialize
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
@@ -38,7 +39,7 @@ def _write_version(
     df: DataFrame, path: str, version: int, partition_by: Sequence[str] | None
 ) -> None:
     # Partition directories carry no types, so the schema is kept next to the data.
-    schema = df.sparkSession.createDataFrame([(df.schema.json(),)], "schema string")
+    schema = df.sparkSession.range(1).select(F.lit(df.schema.json()).alias("schema"))
     schema.coalesce(1).write.mode("overwrite").text(f"{path}/_schema/version={version}")
     target = f"{path}/version={version}"
     if not partition_by:
@@ -91,6 +92,8 @@ def upsert_versioned(
     """
     latest = versions(spark, path)[-1]
     target = read_version(spark, path, latest)
-    merged = upsert(target, source, keys, update_cols, insert_cols)
+    # The merge reads the source several times: for duplicates, matches and inserts.
+    stored = materialize(source, "upsert-source")
+    merged = upsert(target, stored, keys, update_cols, insert_cols)
     _write_version(merged, path, latest + 1, partition_by)
     return latest + 1

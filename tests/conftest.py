@@ -16,7 +16,7 @@ def spark():
         "tests",
         master="local[8]",
         shuffle_partitions=8,
-        spark__ui__enabled="false",
+        spark__ui__enabled="false",spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
     )
     session.sparkContext.setLogLevel("ERROR")
