@@ -1,0 +1,132 @@
+from __future__ import annotations
+
+import glob
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tarnwork.operators.shape import with_date_parts
+from tarnwork.scratch import materialize, scratch_path
+from tarnwork.sources.files import (
+    list_periods,
+    publish,
+    read_csv,
+    read_json,
+    read_partitions,
+    read_table,
+    write_csv,
+    write_partitioned,
+)
+
+BY = ["year", "month", "day"]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def dated(spark):
+    days = [date(1998, 5, 4), date(1998, 5, 4), date(1998, 5, 6), date(1998, 4, 30), date(1997, 5, 4)]
+    df = spark.createDataFrame(list(enumerate(days)), "id int, d date")
+    return with_date_parts(df, "d")
+
+
+def test_csv_roundtrip(spark, tmp_path, rows):
+    df = spark.createDataFrame([(1, "a,b"), (2, None)], "id int, v string")
+    write_csv(df, str(tmp_path / "c"), single_file=True)
+    assert len(glob.glob(str(tmp_path / "c" / "*.csv"))) == 1
+    back = read_csv(spark, str(tmp_path / "c"))
+    assert [f.dataType.simpleString() for f in back.schema.fields] == ["string", "string"]
+    assert rows(back) == [("1", "a,b"), ("2", None)]
+    typed = read_csv(spark, str(tmp_path / "c"), schema="id int, v string")
+    assert rows(typed) == [(1, "a,b"), (2, None)]
+
+
+def test_single_csv_splits_when_large(spark, tmp_path):
+    df = spark.range(1000)
+    write_csv(df, str(tmp_path / "c"), single_file=True, rows_per_file=300)
+    assert 2 <= len(glob.glob(str(tmp_path / "c" / "*.csv"))) <= 4
+    assert read_csv(spark, str(tmp_path / "c")).count() == 1000
+
+
+def test_json_multiline_and_lines(spark, tmp_path, rows):
+    (tmp_path / "m.json").write_text('[\n {"k": 1,\n "v": "a"},\n {"k": 2}\n]')
+    assert rows(read_json(spark, str(tmp_path / "m.json"))) == [(1, "a"), (2, None)]
+    (tmp_path / "l.json").write_text('{"k": 1}\n{"k": 2}\n')
+    lines = read_json(spark, str(tmp_path / "l.json"), schema="k int", multiline=False)
+    assert rows(lines) == [(1,), (2,)]
+
+
+def test_read_table_pushes_filter_and_columns(spark, tmp_path, rows):
+    spark.range(100).select("id", (F.col("id") % 4).alias("p"), F.lit("x").alias("t")).write.partitionBy(
+        "p"
+    ).parquet(str(tmp_path / "t"))
+    df = read_table(spark, "parquet", str(tmp_path / "t"), ["id"], "p = 1 and id < 9")
+    assert rows(df) == [(1,), (5,)]
+    plan = plan_of(df)
+    assert "PartitionFilters: [isnotnull(p" in plan
+    assert "LessThan(id,9)" in plan
+    assert "ReadSchema: struct<id:bigint>" in plan
+
+
+def test_partition_overwrite_replaces_only_touched_days(spark, tmp_path, dated, rows):
+    out = str(tmp_path / "o")
+    write_partitioned(dated, out, BY)
+    replacement = dated.where("day = 19980504").limit(1).withColumn("id", F.lit(99))
+    write_partitioned(replacement, out, BY)
+    assert rows(read_partitions(spark, out), "id") == [(2,), (3,), (4,), (99,)]
+
+
+def test_read_partitions(spark, tmp_path, dated, rows):
+    out = str(tmp_path / "o")
+    write_partitioned(dated, out, BY)
+    assert rows(read_partitions(spark, out, day="19980504"), "id", "day") == [(0, 19980504), (1, 19980504)]
+    assert rows(read_partitions(spark, out, months=["199805", "199705"]), "id") == [(0,), (1,), (2,), (4,)]
+    assert read_partitions(spark, out, day="19990101").count() == 0
+    plan = plan_of(read_partitions(spark, out, day="19980504"))
+    assert "PartitionFilters: [isnotnull(year" in plan and "day" in plan
+    with pytest.raises(ValueError):
+        read_partitions(spark, out, day="1998-05-04")
+
+
+def test_list_periods(dated):
+    assert [r.period for r in list_periods(dated, "d").collect()] == ["199705", "199804", "199805"]
+
+
+def test_write_partitioned_without_partitions(spark, tmp_path):
+    for n in (3, 5):
+        write_partitioned(spark.range(n), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 5
+
+
+def test_publish_computes_once(spark, tmp_path, rows):
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(0, 50, 1, 2).mapInArrow(touch, "id long")
+    stored = publish(
+        df,
+        lambda d: d.write.parquet(str(tmp_path / "a")),
+        lambda d: write_csv(d, str(tmp_path / "b"), single_file=True),
+    )
+    assert stored.count() == spark.read.parquet(str(tmp_path / "a")).count() == 50
+    assert seen.value == 50
+
+
+def test_scratch_follows_the_session(spark):
+    class Session:
+        def __init__(self, folder):
+            self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+
+    assert scratch_path(Session("hdfs://shared/ck/"), "x").startswith("hdfs://shared/ck/tarnwork/x-")
+    assert scratch_path(Session("s3://b/ck"), "x") != scratch_path(Session("s3://b/ck"), "x")
+    assert "tarnwork" in scratch_path(Session(None), "x")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        assert materialize(spark.range(3)).inputFiles()[0].startswith(("file:" + folder, folder))
