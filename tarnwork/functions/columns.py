@@ -55,22 +55,30 @@ def form_entries(body: Column) -> Column:
     item without ``=`` gets a NULL value. NULL stays NULL, empty text gives an
     empty map.
     """
-    items = F.filter(F.split(body, "&"), lambda item: item != "")
-    pairs = F.transform(
-        items,
-        lambda item: F.struct(
-            F.substring_index(item, "=", 1).alias("name"),
-            F.when(
-                F.contains(item, F.lit("=")),
-                F.substr(item, F.position(F.lit("="), item) + 1),
-            ).alias("value"),
-        ),
+    pieces = F.split(body, "&")
+    names = F.transform(pieces, _form_name)
+    # Text without repeated or empty names needs no per-item work.
+    simple = (F.size(F.array_distinct(names)) == F.size(names)) & ~F.array_contains(names, "")
+    no_entries = F.array().cast("array<struct<name:string,value:string>>")
+    last_wins = F.aggregate(
+        F.reverse(F.filter(pieces, lambda item: item != "")),
+        no_entries,
+        lambda seen, item: F.when(
+            F.exists(seen, lambda entry: entry["name"] == _form_name(item)), seen
+        ).otherwise(F.array_append(seen, _form_entry(item))),
     )
-    names = F.transform(pairs, lambda pair: pair["name"])
-    latest = F.filter(
-        pairs,
-        lambda pair, i: ~F.array_contains(
-            F.slice(names, i + 2, F.greatest(F.size(names), F.lit(1))), pair["name"]
-        ),
+    return F.when(simple, F.str_to_map(body, F.lit("&"), F.lit("="))).otherwise(
+        F.map_from_entries(last_wins)
+    )
+
+
+def _form_name(item: Column) -> Column:
+    return F.substring_index(item, "=", 1)
+
+
+def _form_entry(item: Column) -> Column:
+    value = F.substr(item, F.position(F.lit("="), item) + 1)
+    return F.struct(
+        _form_name(item).alias("name"),
+        F.when(F.contains(item, F.lit("=")), value).alias("value"),
     )
-    return F.map_from_entries(latest)

@@ -45,7 +45,7 @@ from tarnwork.plans.order_pipeline import (
     extract_day,
     extract_table,
 )
-from tarnwork.scratch import scratch_path
+from tarnwork.scratch import materialize, scratch_path
 from tarnwork.sources.files import (
     list_periods,
     read_csv,
@@ -93,17 +93,6 @@ def query(oracle: str | None = None):
 # --- pipeline ---------------------------------------------------------------
 
 
-def _order_details(t: Tables) -> DataFrame:
-    return build_order_details(
-        with_date_parts(t.orders, "o_orderdate"),
-        t.lineitem,
-        order_key="o_orderkey",
-        order_columns=["o_orderkey", "o_custkey", "o_orderdate", "year", "month", "day"],
-        detail_key="l_orderkey",
-        detail_columns=["l_linenumber", "l_extendedprice", "l_quantity", "l_discount"],
-    )
-
-
 @query(
     """
     select o_orderkey, o_custkey, o_orderdate,
@@ -115,7 +104,14 @@ def _order_details(t: Tables) -> DataFrame:
     """
 )
 def order_details(t: Tables) -> DataFrame:
-    return _order_details(t)
+    return build_order_details(
+        with_date_parts(t.orders, "o_orderdate"),
+        t.lineitem,
+        order_key="o_orderkey",
+        order_columns=["o_orderkey", "o_custkey", "o_orderdate", "year", "month", "day"],
+        detail_key="l_orderkey",
+        detail_columns=["l_linenumber", "l_extendedprice", "l_quantity", "l_discount"],
+    )
 
 
 @query(
@@ -129,15 +125,22 @@ def order_details(t: Tables) -> DataFrame:
     """
 )
 def daily_revenue(t: Tables) -> DataFrame:
-    # Exact money: decimal sums do not depend on the order of the rows.
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    revenue = price * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    # Exact money in whole numbers: cents times percent.
+    cents = (F.col("l_extendedprice") * 100 + 0.5).cast("long")
+    percent = (F.col("l_discount") * 100 + 0.5).cast("long")
+    revenue = cents * (100 - percent)
+    # Details are summed per order before they meet the order's date, so the join
+    # reads one row per order and reuses the partitioning of the sums.
+    per_order = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(revenue).alias("revenue")
+    )
+    orders = with_date_parts(t.orders, "o_orderdate").select("o_orderkey", "day")
     return (
-        _order_details(t)
+        orders.join(per_order, "o_orderkey")
         .groupBy("day")
         .agg(
-            F.count(F.lit(1)).alias("n_details"),
-            F.sum(revenue).cast("double").alias("revenue"),
+            F.sum("n").alias("n_details"),
+            (F.sum("revenue") / 10_000).alias("revenue"),
         )
     )
 
@@ -332,10 +335,13 @@ def dedup_latest_all(t: Tables) -> DataFrame:
 
 
 def _ledger(t: Tables, line_status: str) -> DataFrame:
-    """Parts per ship month, for lines of one status; not every month has returns."""
+    """Parts per ship month, for lines of one status; not every month has returns.
+
+    Written once: a merge reads its inputs more than once.
+    """
     month = F.year("l_shipdate") * 100 + F.month("l_shipdate")
     returned = F.when(F.col("l_returnflag") == "R", F.col("l_shipdate"))
-    return (
+    ledger = (
         t.lineitem.where(F.col("l_linestatus") == line_status)
         .groupBy(F.col("l_partkey").alias("part"), month.alias("month"))
         .agg(
@@ -344,6 +350,7 @@ def _ledger(t: Tables, line_status: str) -> DataFrame:
             F.count(F.lit(1)).alias("n_lines"),
         )
     )
+    return materialize(ledger, "ledger")
 
 
 _LEDGERS = """
@@ -960,7 +967,10 @@ def external_calls(t: Tables) -> DataFrame:
             raise TimeoutError
         return 500 if last_digit == 1 else 201
 
-    called = call_external(t.events, answer, ["event_id", "event_type"], n_partitions=16)
+    # Calls wait on the service, so the rows are spread over all cores.
+    cores = t.spark.sparkContext.defaultParallelism
+    events = t.events.select("event_id", "event_type")
+    called = call_external(events, answer, ["event_id", "event_type"], n_partitions=cores)
     return called.select("event_id", "status", "outcome")
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import sys
 from pathlib import Path
 
@@ -20,6 +21,9 @@ def spark():
         spark__driver__memory="8g",
     )
     session.sparkContext.setLogLevel("ERROR")
+    # TEST_SPARK_CONF="key=value,key=value" runs the suite under other session settings.
+    for setting in filter(None, os.environ.get("TEST_SPARK_CONF", "").split(",")):
+        session.conf.set(*setting.split("=", 1))
     yield session
     session.stop()
 
