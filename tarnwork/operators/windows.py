@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnwork.operators.joins import ROWS_PER_SALT, as_list, join_groups
+from tarnwork.operators.joins import ROWS_PER_SALT, as_list, comparable_columns, join_groups
 from tarnwork.scratch import materialize
 
 
@@ -106,17 +106,19 @@ def group_stats(
     df: DataFrame, group: str | Sequence[str], key: str, value: str, incumbent: str
 ) -> DataFrame:
     """Add the group's ``max_value``, ``group_incumbent``, each row's ``row_number``
-    by (value, key), and ``equal_count``: how many rows share the row's value if
-    that is the maximum, else 0.
+    by (value, key, remaining columns), and ``equal_count``: how many rows share
+    the row's value if that is the maximum, else 0.
 
-    Rows are range-partitioned by (group, value, key), so a wide group is cut
+    Rows are range-partitioned in that order within their group, so a wide group is cut
     into consecutive pieces. Each piece numbers its own rows and adds the size
     of the group's earlier pieces. The range-partitioned rows are written once:
     range bounds come from a sample, and both uses have to see the same ones.
     """
     groups = as_list(group)
+    rest = [c for c in comparable_columns(df) if c not in {*groups, value, key}]
+    order = [value, key, *rest]
     ranged = materialize(
-        df.repartitionByRange(*groups, value, key).withColumn("_piece", F.spark_partition_id()),
+        df.repartitionByRange(*groups, *order).withColumn("_piece", F.spark_partition_id()),
         "group-stats",
     )
     earlier = (
@@ -136,12 +138,8 @@ def group_stats(
         *[F.col(g).alias(f"_g_{i}") for i, g in enumerate(groups)], "_max", "_best", "_incumbent"
     )
     same_group = [F.col(g).eqNullSafe(F.col(f"_g_{i}")) for i, g in enumerate(groups)]
-    pieces = (
-        pieces.join(renamed, same_group)
-        .drop(*groups)
-        .withColumnRenamed("_piece", "_p")
-    )
-    in_piece = Window.partitionBy("_piece", *groups).orderBy(value, key)
+    pieces = pieces.join(renamed, same_group).drop(*groups).withColumnRenamed("_piece", "_p")
+    in_piece = Window.partitionBy("_piece", *groups).orderBy(*order)
     numbered = ranged.withColumn("_number", F.row_number().over(in_piece))
     is_max = F.col(value) == F.col("_max")
     return numbered.join(pieces, [F.col("_piece") == F.col("_p"), *same_group]).select(

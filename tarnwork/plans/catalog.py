@@ -829,6 +829,36 @@ def pivot_statistics(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    """
+    select cast(strftime(o_orderdate, '%Y') as integer) as year,
+           count(*) filter (where o_orderstatus = 'F') as "F",
+           count(*) filter (where o_orderstatus = 'O') as "O",
+           count(*) filter (where o_orderstatus = 'P') as "P"
+    from orders group by 1
+    """
+)
+def pivot_fixed_values(t: Tables) -> DataFrame:
+    orders = with_date_parts(t.orders, "o_orderdate")
+    return orders.groupBy("year").pivot("o_orderstatus", ["F", "O", "P"]).count().fillna(0)
+
+
+@query(
+    """
+    select user_id,
+           max(value) filter (where event_type = 'click') as click,
+           max(value) filter (where event_type = 'error') as error,
+           max(value) filter (where event_type = 'purchase') as purchase,
+           max(value) filter (where event_type = 'signup') as signup,
+           max(value) filter (where event_type = 'view') as view
+    from events group by 1
+    """
+)
+def pivot_discovered_values(t: Tables) -> DataFrame:
+    # Spark first runs a distinct over event_type to learn the columns.
+    return t.events.groupBy("user_id").pivot("event_type").agg(F.max("value"))
+
+
 @query(
     """
     select l_orderkey, l_linenumber, l_quantity as amount, l_discount as rate from lineitem

@@ -116,6 +116,7 @@ def run(
     The loop runs once per source table, each turn a distributed job of its own.
     """
     orders_path = f"{tables_path}/orders"
+    orders_schema = None
     for table in [row[0] for row in list_jdbc_tables(spark, url, **options).collect()]:
         if table != "orders":
             extract_table(read_jdbc(spark, url, table, **options), f"{tables_path}/{table}")
@@ -123,13 +124,14 @@ def run(
         source = read_jdbc_partitioned(
             spark, url, orders_query(day), "order_id", strides, **options
         )
+        orders_schema = with_date_parts(source, "order_date").schema
         if day:
             extract_day(source, "order_date", day, orders_path)
         else:
             extract_all(source, "order_date", orders_path)
-    result = build_order_details(
-        read_partitions(spark, orders_path, day=day), read_csv(spark, details_csv)
-    )
+    # With the schema given, a first run on a day without orders reads as empty.
+    orders = read_partitions(spark, orders_path, day=day, schema=orders_schema)
+    result = build_order_details(orders, read_csv(spark, details_csv))
     return publish(
         result,
         partial(write_jdbc, url=url, table=result_table, mode=result_mode, **options),
