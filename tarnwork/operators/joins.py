@@ -22,6 +22,11 @@ HOT_SHARE = 0.001
 ROWS_PER_SALT = 5_000_000
 
 
+#: A side is broadcast only after it was found to hold no more than this.
+BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
 def as_list(columns: str | Sequence[str]) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
 
@@ -60,6 +65,20 @@ def hot_keys(
     )
 
 
+def fits_broadcast(
+    stored: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether a stored table is small enough to send to every executor.
+
+    Rows are counted first; only a table that passes has its text size summed, so
+    neither a long nor a wide table gets through.
+    """
+    if stored.count() > max_rows:
+        return False
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    return (stored.agg(size).first()[0] or 0) <= max_bytes
+
+
 def _with_salt_count(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
     """Add ``_salts``: NULL for ordinary keys."""
     renamed = hot.select(

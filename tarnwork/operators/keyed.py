@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnwork.operators.joins import (
+    BROADCAST_ROWS,
     ROWS_PER_SALT,
     as_list,
     comparable_columns,
+    fits_broadcast,
     join_groups,
     spread_null_keys,
 )
+from tarnwork.scratch import materialize
 
 
 def dedup_latest(
@@ -58,63 +62,88 @@ def dedup_latest(
     )
 
 
+def _typed_like(old: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The named columns of ``new`` in the types of ``old``, written once.
+
+    A merge reads the new rows several times and has to see the same rows each
+    time, whatever they are computed from.
+    """
+    typed = new.select(*[F.col(c).cast(old.schema[c].dataType).alias(c) for c in columns])
+    return materialize(typed, "merge-source")
+
+
 def _merge(
     old: DataFrame,
     new: DataFrame,
     keys: list[str],
     matched: Mapping[str, Column],
     inserted: Mapping[str, Column],
+    broadcast_rows: int,
 ) -> DataFrame:
     """``old`` with matching rows changed, plus the rows of ``new`` without a match.
 
-    ``matched`` and ``inserted`` are written over the columns of ``old`` and the
-    ``_new_*`` columns of ``new``. A full outer join would have to shuffle all of
-    ``old`` however small ``new`` is; a left join lets Spark broadcast a small
-    ``new`` and leave ``old`` where it lies. The unmatched part of ``new`` comes
-    from the keys alone.
+    ``new`` is stored and has the types of ``old``. ``matched`` and ``inserted``
+    are written over the columns of ``old`` and the ``_new_*`` columns of ``new``.
+
+    Where ``new`` is found small (at most ``broadcast_rows`` rows and a fixed size,
+    see :func:`fits_broadcast`) it is broadcast and ``old`` is not shuffled.
+    Otherwise both sides are shuffled; as a left join and an anti join, unlike as
+    a full outer join, Spark can still split a part of ``old`` that is too big for
+    one task.
     """
     types = {c: old.schema[c].dataType for c in old.columns}
-    typed = new.select(
-        *[F.col(c).cast(types[c]).alias(c) if c in keys else F.col(c) for c in new.columns]
-    )
     new_keys = [f"_new_{k}" for k in keys]
-    prefixed = typed.select(*[F.col(c).alias(f"_new_{c}") for c in new.columns])
+    prefixed = new.select(*[F.col(c).alias(f"_new_{c}") for c in new.columns])
+    small = fits_broadcast(new, broadcast_rows)
+
     right = spread_null_keys(prefixed, new_keys, "_new_spread")
     left = spread_null_keys(old, keys, "_spread")
-    on = [
-        F.col(a) == F.col(b) for a, b in zip([*keys, "_spread"], [*new_keys, "_new_spread"])
-    ]
-
-    kept = left.join(right.withColumn("_hit", F.lit(True)), on, "left").select(
+    on = [F.col(a) == F.col(b) for a, b in zip([*keys, "_spread"], [*new_keys, "_new_spread"])]
+    right = right.withColumn("_hit", F.lit(True))
+    kept = left.join(F.broadcast(right) if small else right, on, "left").select(
         *[matched.get(c, F.col(c)).cast(types[c]).alias(c) for c in old.columns]
     )
-    hits = (
-        old.select(*keys)
-        .join(typed.select(*keys), list(keys), "left_semi")
-        .distinct()
-        .withColumn("_spread", F.xxhash64(*keys))
+
+    # Keys alone tell which new rows are unmatched; each key leaves a map task once.
+    old_keys = old.select(*keys)
+    if small:
+        wanted = F.broadcast(new.select(*keys))
+        old_keys = old_keys.join(wanted, list(keys), "left_semi").distinct()
+        old_keys = F.broadcast(old_keys)
+    else:
+        old_keys = old_keys.dropna(how="any").distinct()
+    no_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in new_keys])
+    unmatched = prefixed.where(no_null).join(
+        old_keys, [F.col(a) == F.col(b) for a, b in zip(new_keys, keys)], "left_anti"
     )
-    added = right.join(hits, on, "left_anti").select(
+    added = unmatched.unionByName(prefixed.where(~no_null)).select(
         *[inserted.get(c, F.lit(None)).cast(types[c]).alias(c) for c in old.columns]
     )
     return kept.unionByName(added)
 
 
-def merge_snapshot(history: DataFrame, updates: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+def merge_snapshot(
+    history: DataFrame,
+    updates: DataFrame,
+    keys: str | Sequence[str],
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """History brought up to date: the update's value where it has one, else the old one.
 
     Keys found on one side only are kept; the columns are those of ``history``.
     A NULL in the update never erases an old value (:func:`upsert` writes it).
-    Rows with a NULL key match nothing and are kept from both sides.
+    Rows with a NULL key match nothing and are kept from both sides. The updates
+    are stored and counted first, see :func:`_merge`.
     """
     key_columns = as_list(keys)
     shared = [c for c in history.columns if c in updates.columns and c not in key_columns]
     return _merge(
         history,
-        updates.select(*key_columns, *shared),
+        _typed_like(history, updates, [*key_columns, *shared]),
         key_columns,
         matched={c: F.coalesce(f"_new_{c}", c) for c in shared},
         inserted={c: F.col(f"_new_{c}") for c in [*key_columns, *shared]},
+        broadcast_rows=broadcast_rows,
     )
 
 
@@ -131,14 +160,15 @@ def upsert(
     keys: str | Sequence[str],
     update_cols: Sequence[str] | None = None,
     insert_cols: Sequence[str] | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Merge ``source`` into ``target`` and return the new state.
 
     Matching rows take the source's ``update_cols``, even where they are NULL.
     Source rows without a match are inserted with ``insert_cols``; columns not
     listed become NULL. Target rows without a match stay. Both lists default to
-    all columns the source has. A key that occurs twice in the source raises,
-    which costs one small job over the source's keys.
+    all columns the source has. A key that occurs twice in the source raises. The
+    source is stored and counted first, see :func:`_merge`.
     """
     key_columns = as_list(keys)
     available = [c for c in target.columns if c in source.columns]
@@ -147,15 +177,17 @@ def upsert(
     unknown = [c for c in [*updates, *inserts] if c not in available]
     if unknown:
         raise ValueError(f"columns missing from target or source: {sorted(set(unknown))}")
-    if not duplicate_keys(source, key_columns).isEmpty():
-        raise ValueError(f"source holds duplicate keys in {key_columns}")
     needed = [c for c in available if c in {*key_columns, *updates, *inserts}]
+    stored = _typed_like(target, source, needed)
+    if not duplicate_keys(stored, key_columns).isEmpty():
+        raise ValueError(f"source holds duplicate keys in {key_columns}")
     return _merge(
         target,
-        source.select(*needed),
+        stored,
         key_columns,
         matched={
             c: F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in updates
         },
         inserted={c: F.col(f"_new_{c}") for c in inserts},
+        broadcast_rows=broadcast_rows,
     )

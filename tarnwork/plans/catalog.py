@@ -335,13 +335,10 @@ def dedup_latest_all(t: Tables) -> DataFrame:
 
 
 def _ledger(t: Tables, line_status: str) -> DataFrame:
-    """Parts per ship month, for lines of one status; not every month has returns.
-
-    Written once: a merge reads its inputs more than once.
-    """
+    """Parts per ship month, for lines of one status; not every month has returns."""
     month = F.year("l_shipdate") * 100 + F.month("l_shipdate")
     returned = F.when(F.col("l_returnflag") == "R", F.col("l_shipdate"))
-    ledger = (
+    return (
         t.lineitem.where(F.col("l_linestatus") == line_status)
         .groupBy(F.col("l_partkey").alias("part"), month.alias("month"))
         .agg(
@@ -350,7 +347,6 @@ def _ledger(t: Tables, line_status: str) -> DataFrame:
             F.count(F.lit(1)).alias("n_lines"),
         )
     )
-    return materialize(ledger, "ledger")
 
 
 _LEDGERS = """
@@ -377,7 +373,8 @@ _LEDGERS = """
     """
 )
 def snapshot_merge(t: Tables) -> DataFrame:
-    return merge_snapshot(_ledger(t, "F"), _ledger(t, "O"), ["part", "month"])
+    history = materialize(_ledger(t, "F"), "ledger")
+    return merge_snapshot(history, _ledger(t, "O"), ["part", "month"])
 
 
 @query(
@@ -393,7 +390,7 @@ def snapshot_merge(t: Tables) -> DataFrame:
 )
 def upsert_ledger(t: Tables) -> DataFrame:
     return upsert(
-        _ledger(t, "F"),
+        materialize(_ledger(t, "F"), "ledger"),
         _ledger(t, "O"),
         ["part", "month"],
         update_cols=["quantity", "last_return"],

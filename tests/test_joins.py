@@ -3,7 +3,13 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from tarnwork.operators.joins import enrich_details, hot_keys, join_groups, salted_join
+from tarnwork.operators.joins import (
+    enrich_details,
+    fits_broadcast,
+    hot_keys,
+    join_groups,
+    salted_join,
+)
 
 
 @pytest.fixture(scope="module")
@@ -114,3 +120,11 @@ def test_enrich_details(spark, rows):
     assert rows(enrich_details(orders, details)) == expected
     hot = hot_keys(details.select(F.col("order_id").try_cast("smallint").alias("order_id")), "order_id", rows_per_salt=1)
     assert rows(enrich_details(orders, details, hot=hot)) == expected
+
+
+def test_fits_broadcast_looks_at_rows_and_width(spark):
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
+    assert fits_broadcast(df)
+    assert not fits_broadcast(df, max_rows=99)
+    assert not fits_broadcast(df, max_bytes=100_000)
+    assert fits_broadcast(df.limit(0), max_bytes=0)

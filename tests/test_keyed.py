@@ -96,11 +96,12 @@ def test_merge_snapshot_columns_follow_history(spark, rows):
     history = spark.createDataFrame([(1, "a", 1.0)], "id int, v string, w double")
     updates = spark.createDataFrame([("x", 1, "b"), ("y", 2, "c")], "extra string, id long, v string")
     merged = merge_snapshot(history, updates, "id")
-    assert merged.schema == history.schema
+    assert merged.dtypes == history.dtypes
     assert rows(merged) == [(1, "b", 1.0), (2, "c", None)]
 
 
-def test_merge_snapshot_equals_full_outer_join(spark, rows):
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_merge_snapshot_equals_full_outer_join(spark, rows, broadcast_rows):
     history = spark.range(0, 200, 3).select(
         F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id")).alias("a"),
         (F.col("id") % 4).alias("b"),
@@ -116,19 +117,36 @@ def test_merge_snapshot_equals_full_outer_join(spark, rows):
         .join(updates.alias("u"), ["a", "b"], "fullouter")
         .select("a", "b", F.coalesce("u.v", "h.v"))
     )
-    assert rows(merge_snapshot(history, updates, ["a", "b"])) == rows(plain)
+    merged = merge_snapshot(history, updates, ["a", "b"], broadcast_rows=broadcast_rows)
+    assert rows(merged) == rows(plain)
 
 
-def test_merge_leaves_a_large_history_unshuffled(spark, tmp_path):
+@pytest.mark.parametrize("broadcast_rows", [0, 100])
+def test_merge_broadcasts_counted_updates_only(spark, tmp_path, broadcast_rows):
     spark.range(100_000).select("id", F.col("id").alias("v")).write.parquet(str(tmp_path / "h"))
-    spark.range(3).select("id", F.lit(1).cast("long").alias("v")).write.parquet(str(tmp_path / "u"))
-    merged = merge_snapshot(
-        spark.read.parquet(str(tmp_path / "h")), spark.read.parquet(str(tmp_path / "u")), "id"
-    )
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan
-    # Only the few matched keys are shuffled, to make them distinct.
-    assert plan.count("Exchange hashpartitioning") == 1
+    history = spark.read.parquet(str(tmp_path / "h"))
+    updates = spark.range(3).select("id", F.lit(1).cast("long").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge_snapshot(history, updates, "id", broadcast_rows=broadcast_rows)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert merged.count() == 100_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    if broadcast_rows:
+        # Only the few matched keys are shuffled, to make them distinct.
+        assert "SortMergeJoin" not in plan
+        assert plan.count("Exchange hashpartitioning") == 1
+    else:
+        assert plan.count("SortMergeJoin") == 2
+        assert "BroadcastExchange" not in plan
+
+
+def test_merge_sees_one_version_of_a_random_source(spark):
+    history = spark.range(200).select("id", F.lit(0.0).alias("v"))
+    updates = spark.range(400).where(F.rand() < 0.5).select("id", F.rand().alias("v"))
+    merged = merge_snapshot(history, updates, "id")
+    assert merged.count() == merged.select("id").distinct().count() >= 200
 
 
 def test_upsert_column_lists(spark, rows):
