@@ -26,26 +26,26 @@ HEADLINE = [
     "dedup_latest_one",
     "dedup_latest_all",
     "snapshot_merge",
-    "upsert_ledger",
+    "upsert",
     "upsert_latest_version",
-    "salted_join_all_keys",
+    "salted_join",
     "salted_join_hot_keys",
     "psi_total",
     "bucket_counts",
-    "priority_shares",
+    "group_shares",
     "dominant_event",
     "window_totals",
     "largest_events",
     "user_event_map",
-    "customer_ancestors",
-    "customer_ancestors_by_role",
+    "ancestors",
+    "ancestors_by_role",
     "unpivot_charges",
-    "pivot_statistics",
+    "pivot_stats",
     "zip_nested",
     "json_props",
     "form_body",
     "checks_events",
-    "external_calls",
+    "call_external",
 ]
 
 

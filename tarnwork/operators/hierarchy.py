@@ -74,7 +74,8 @@ def ancestors_by_role(
 ) -> DataFrame:
     """For every node of ``roles``, its ancestors listed per role, nearest first.
 
-    ``pairs`` comes from :func:`ancestors`. One column per value in
+    ``pairs`` is stored, as :func:`ancestors` returns it, so it is counted before
+    a salt is considered. One column per value in
     ``role_values``, ``''`` where no ancestor has that role. Ancestors without a
     role join no list. A list never holds more entries than the node has
     ancestors.
@@ -82,13 +83,11 @@ def ancestors_by_role(
     ranked = roles.select(F.col(node).alias("ancestor"), F.col(role).alias("_role")).where(
         F.col("_role").isin(list(role_values))
     )
-    with_role = salted_join(
-        pairs,
-        ranked,
-        "ancestor",
-        "inner",
-        hot=hot_keys(pairs, "ancestor", rows_per_salt=rows_per_salt),
-    )
+    if pairs.count() > rows_per_salt:
+        hot = hot_keys(pairs, "ancestor", rows_per_salt=rows_per_salt)
+        with_role = salted_join(pairs, ranked, "ancestor", "inner", hot=hot)
+    else:
+        with_role = pairs.join(ranked, "ancestor")
     entry = F.struct("depth", "ancestor")
     lists = with_role.groupBy("node").agg(
         *[

@@ -78,13 +78,13 @@ class Tables:
         return scratch_path(self.spark, name)
 
 
-def query(oracle: str | None = None):
-    """Register a function of the tables under its own name."""
+def query(oracle: str, name: str | None = None):
+    """Register a function of the tables, by default under its own name."""
 
     def register(build: Callable[[Tables], DataFrame]):
-        QUERIES[build.__name__] = lambda spark, path: build(Tables(spark, path))
-        if oracle is not None:
-            ORACLES[build.__name__] = oracle
+        key = name or build.__name__
+        QUERIES[key] = lambda spark, path: build(Tables(spark, path))
+        ORACLES[key] = oracle
         return build
 
     return register
@@ -158,7 +158,10 @@ def date_parts(t: Tables) -> DataFrame:
     return with_date_parts(t.orders, "o_orderdate").select("o_orderkey", "year", "month", "day")
 
 
-@query("select distinct strftime(o_orderdate, '%Y%m') as period from orders order by 1")
+@query(
+    "select distinct strftime(o_orderdate, '%Y%m') as period from orders order by 1",
+    name="list_periods",
+)
 def periods(t: Tables) -> DataFrame:
     return list_periods(t.orders, "o_orderdate")
 
@@ -167,7 +170,8 @@ def periods(t: Tables) -> DataFrame:
     """
     select o_orderkey, o_custkey, o_totalprice, 1997 as year, 199705 as month, 19970514 as day
     from orders where cast(o_orderdate as date) = date '1997-05-14'
-    """
+    """,
+    name="extract_day_roundtrip",
 )
 def extract_one_day(t: Tables) -> DataFrame:
     out = t.scratch("orders-day")
@@ -194,7 +198,7 @@ def extract_all_days(t: Tables) -> DataFrame:
     )
 
 
-@query("select * from customer")
+@query("select * from customer", name="extract_table")
 def extract_customers(t: Tables) -> DataFrame:
     out = t.scratch("customer")
     extract_table(t.customer, out)
@@ -386,7 +390,8 @@ def snapshot_merge(t: Tables) -> DataFrame:
              as last_return,
            case when h.part is not null then h.n_lines end as n_lines
     from h full join u on h.part = u.part and h.month = u.month
-    """
+    """,
+    name="upsert",
 )
 def upsert_ledger(t: Tables) -> DataFrame:
     return upsert(
@@ -449,11 +454,11 @@ def _lines_and_parts(t: Tables) -> tuple[DataFrame, DataFrame]:
     return lines, t.part.select("p_partkey", "p_brand")
 
 
-@query(_PART_SALES)
+@query(_PART_SALES, name="salted_join")
 def salted_join_all_keys(t: Tables) -> DataFrame:
     lines, parts = _lines_and_parts(t)
     return _part_sales(
-        salted_join(lines, parts, "p_partkey", n_salts=16, salt_by=["l_orderkey"], hint="merge")
+        salted_join(lines, parts, "p_partkey", n_salts=16, hint="merge")
     )
 
 
@@ -461,7 +466,7 @@ def salted_join_all_keys(t: Tables) -> DataFrame:
 def salted_join_hot_keys(t: Tables) -> DataFrame:
     lines, parts = _lines_and_parts(t)
     hot = hot_keys(lines, "p_partkey")
-    return _part_sales(salted_join(lines, parts, "p_partkey", hot=hot, salt_by=["l_orderkey"]))
+    return _part_sales(salted_join(lines, parts, "p_partkey", hot=hot))
 
 
 @query(
@@ -557,7 +562,7 @@ def window_totals(t: Tables) -> DataFrame:
     return group_stats(_event_counts(t), "user_id", "event_type", "n", "incumbent")
 
 
-@query(_EVENT_COUNTS + "select user_id, event_type, n from stats where n = max_value")
+@query(_EVENT_COUNTS + "select user_id, event_type, n from stats where n = max_value", name="max_rows")
 def dominant_rows(t: Tables) -> DataFrame:
     counts = _event_counts(t).drop("incumbent")
     return max_rows(counts, "user_id", "n")
@@ -575,7 +580,8 @@ def largest_events(t: Tables) -> DataFrame:
 
 @query(
     _EVENT_COUNTS
-    + "select user_id, event_type from stats where n = max_value and equal_count >= 3"
+    + "select user_id, event_type from stats where n = max_value and equal_count >= 3",
+    name="tied_keys",
 )
 def tied_events(t: Tables) -> DataFrame:
     return tied_keys(_event_counts(t), "user_id", "event_type", "n", min_ties=3)
@@ -599,7 +605,8 @@ def user_event_map(t: Tables) -> DataFrame:
     """
     select user_id, string_agg(distinct event_type, ';' order by event_type) as event_type
     from events group by 1
-    """
+    """,
+    name="collect_joined",
 )
 def event_types_joined(t: Tables) -> DataFrame:
     return collect_joined(t.events, "user_id", ["event_type"])
@@ -653,7 +660,8 @@ def psi_total(t: Tables) -> DataFrame:
            round(current_share, 10) as current_share,
            round(psi_component, 10) as psi_component
     from components
-    """
+    """,
+    name="psi_components",
 )
 def psi_by_bin(t: Tables) -> DataFrame:
     parts = psi_components(_two_periods(t), "value", "period", _SPLITS, "reference", "current")
@@ -680,7 +688,8 @@ def bucket_counts(t: Tables) -> DataFrame:
     from (select cast(strftime(o_orderdate, '%Y%m') as integer) as month, o_orderpriority,
                  count(*) as n
           from orders group by 1, 2)
-    """
+    """,
+    name="group_shares",
 )
 def priority_shares(t: Tables) -> DataFrame:
     counts = (
@@ -711,7 +720,7 @@ _PAIRS = """
 """
 
 
-@query(_PAIRS + "select node, ancestor, depth from pairs")
+@query(_PAIRS + "select node, ancestor, depth from pairs", name="ancestors")
 def customer_ancestors(t: Tables) -> DataFrame:
     return ancestors(_customer_tree(t), "child", "parent")
 
@@ -734,7 +743,8 @@ def customer_ancestors(t: Tables) -> DataFrame:
     from roles r left join pairs p on p.node = r.c_custkey
     left join roles a on a.c_custkey = p.ancestor
     group by 1
-    """
+    """,
+    name="ancestors_by_role",
 )
 def customer_ancestors_by_role(t: Tables) -> DataFrame:
     third = F.col("c_custkey") % 3
@@ -802,7 +812,8 @@ def _event_statistics(t: Tables) -> DataFrame:
            round(avg_then, 6) as last, n_then as last_count, round(min_now, 6) as minimum,
            round(avg_now - avg_then, 6) as variation
     from s
-    """
+    """,
+    name="pivot_stats",
 )
 def pivot_statistics(t: Tables) -> DataFrame:
     rules = {
@@ -962,7 +973,8 @@ def checks_events(t: Tables) -> DataFrame:
     select 'stable_population(value)' as "check", (select count(value) from events) as evaluated,
            round(sum(psi_component), 8) as observed, sum(psi_component) <= 0.1 as success
     from components
-    """
+    """,
+    name="check_psi",
 )
 def check_stability(t: Tables) -> DataFrame:
     return run_checks(_two_periods(t), [_stability(0.1)]).select(
@@ -970,7 +982,7 @@ def check_stability(t: Tables) -> DataFrame:
     )
 
 
-@query("select * from events where value <= 25")
+@query("select * from events where value <= 25", name="failing_rows")
 def failing_events(t: Tables) -> DataFrame:
     return failing_rows(t.events, GreaterThan(column="value", bound=25))
 
@@ -985,7 +997,8 @@ def failing_events(t: Tables) -> DataFrame:
            case event_id % 10 when 0 then 'timeout' when 1 then 'error' else 'success' end
              as outcome
     from events
-    """
+    """,
+    name="call_external",
 )
 def external_calls(t: Tables) -> DataFrame:
     def answer(payload, timeout_s):
