@@ -96,7 +96,13 @@ def write_jdbc(
     max_connections: int = 16,
     **options,
 ) -> None:
-    """Write to a table over at most ``max_connections`` parallel connections."""
+    """Write to a table over at most ``max_connections`` parallel connections.
+
+    Spark merges partitions down to that number, so hand in a stored table
+    (``tarnwork.sources.files.publish``), not a plan still to be computed. A task
+    that is repeated after its commit appends its rows again: databases that need
+    exactly-once should load a staging table and merge from there.
+    """
     (
         df.write.format("jdbc")
         .options(**options)
