@@ -66,7 +66,9 @@ def test_psi_of_one_period_or_nothing(scores):
 
 
 def test_values_outside_the_splits(spark):
-    df = spark.createDataFrame([(0.05, "a"), (2.0, "b"), (None, "a"), (float("nan"), "b")], "v double, p string")
+    df = spark.createDataFrame(
+        [(0.05, "a"), (2.0, "b"), (None, "a"), (float("nan"), "b")], "v double, p string"
+    )
     assert {r.bin for r in bucketize(df, "v", SPLITS).collect()} == {None}
     opened = {r.v: r.bin for r in bucketize(df, "v", SPLITS, open_ended=True).collect()}
     assert opened[0.05] == 0 and opened[2.0] == 10 and opened[None] is None

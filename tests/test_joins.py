@@ -118,7 +118,8 @@ def test_enrich_details(spark, rows):
         (3, "c3", "7", "1", "0"),
     ]
     assert rows(enrich_details(orders, details)) == expected
-    hot = hot_keys(details.select(F.col("order_id").try_cast("smallint").alias("order_id")), "order_id", rows_per_salt=1)
+    keys = details.select(F.col("order_id").try_cast("smallint").alias("order_id"))
+    hot = hot_keys(keys, "order_id", rows_per_salt=1)
     assert rows(enrich_details(orders, details, hot=hot)) == expected
 
 

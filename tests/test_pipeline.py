@@ -97,9 +97,11 @@ def test_day_without_orders(spark, shop):
 
 def test_extract_day_pushes_a_date_range(spark, tmp_path):
     source = str(tmp_path / "s")
-    spark.range(10).select("id", F.date_add(F.lit("2020-01-01"), F.col("id").cast("int")).alias("d")).write.parquet(source)
+    date_column = F.date_add(F.lit("2020-01-01"), F.col("id").cast("int")).alias("d")
+    spark.range(10).select("id", date_column).write.parquet(source)
     pipeline.extract_day(spark.read.parquet(source), "d", "20200103", str(tmp_path / "o"))
-    assert [tuple(r) for r in read_partitions(spark, str(tmp_path / "o")).select("id", "day").collect()] == [(2, 20200103)]
+    written = read_partitions(spark, str(tmp_path / "o")).select("id", "day")
+    assert [tuple(r) for r in written.collect()] == [(2, 20200103)]
 
 
 def test_orders_query():

@@ -172,7 +172,9 @@ def test_pivot_by_rules_second_label_set_with_keep_list(spark):
 
 
 def test_unpivot_then_pivot_is_identity(spark, rows):
-    df = spark.createDataFrame([(1, "s", 1.0, 2.0), (2, "s", 3.0, None)], "id int, s string, a double, b double")
+    df = spark.createDataFrame(
+        [(1, "s", 1.0, 2.0), (2, "s", 3.0, None)], "id int, s string, a double, b double"
+    )
     pivoted = pivot_by_rules(
         df, ["id"], "s", ["a", "b"], {("s", "a"): "a", ("s", "b"): "b"}, default=None
     )
@@ -262,7 +264,8 @@ def test_with_date_parts(spark):
 
 
 def test_date_parts_match_formatted_dates(spark):
-    df = spark.range(0, 20000, 37).select(F.date_add(F.lit("1970-01-01"), F.col("id").cast("int")).alias("d"))
+    days = F.date_add(F.lit("1970-01-01"), F.col("id").cast("int"))
+    df = spark.range(0, 20000, 37).select(days.alias("d"))
     formatted = with_date_parts(df, "d").where(
         (F.col("year") != F.date_format("d", "yyyy").cast("int"))
         | (F.col("month") != F.date_format("d", "yyyyMM").cast("int"))

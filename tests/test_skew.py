@@ -1,0 +1,60 @@
+"""Plain joins with a hot key: Spark splits the hot partition at run time."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tarnwork.operators.joins import enrich_details
+from tarnwork.operators.keyed import merge_snapshot
+
+SETTINGS = {
+    "spark.sql.shuffle.partitions": "32",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+}
+
+
+@pytest.fixture
+def small_partitions(spark):
+    if spark.conf.get("spark.sql.adaptive.enabled") != "true":
+        pytest.skip("needs adaptive execution")
+    before = {key: spark.conf.get(key, None) for key in SETTINGS}
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def hot_rows(spark):
+    """A third of all rows on key 7."""
+    key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))
+    return spark.range(0, 300_000, 1, 16).select(key.alias("k"), F.xxhash64("id").alias("v"))
+
+
+def final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merge_into_a_skewed_history(spark, small_partitions):
+    updates = spark.range(20_000).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("v"))
+    merged = merge_snapshot(hot_rows(spark), updates, "k", broadcast_rows=0)
+    # Multiples of three are new to the history, but for the hot key itself.
+    assert merged.toArrow().num_rows == 300_000 + 6_667
+    assert "SortMergeJoin(skew=true)" in final_plan(merged)
+
+
+def test_details_of_one_order(spark, small_partitions):
+    details = hot_rows(spark).select(
+        F.col("k").cast("string").alias("order_id"),
+        F.col("v").alias("unit_price"),
+        F.lit(1).alias("quantity"),
+        F.lit(0).alias("discount"),
+    )
+    orders = spark.range(20_000).select(F.col("id").alias("order_id"), F.lit("c").alias("customer"))
+    joined = enrich_details(orders, details)
+    assert joined.toArrow().num_rows == 100_000 + 13_333
+    assert "SortMergeJoin(skew=true)" in final_plan(joined)
