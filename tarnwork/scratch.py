@@ -13,17 +13,31 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders this process has written and not yet dropped.
+_written: list[str] = []
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path in the shared scratch folder.
 
-    A local temporary folder is used only where the session names no checkpoint
-    folder, as in tests.
+def scratch_root(spark: SparkSession) -> str:
+    """The folder all executors share.
+
+    ``spark.checkpoint.dir``, or else the folder given to ``setCheckpointDir``.
+    Only a local master may do without either: it then gets a temporary folder,
+    which on a cluster each executor would see differently.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tarnwork-")
-    return f"{root.rstrip('/')}/tarnwork/{name}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        return tempfile.mkdtemp(prefix="tarnwork-")
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new, unused path in the shared scratch folder."""
+    path = f"{scratch_root(spark)}/tarnwork/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
@@ -32,3 +46,16 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete every scratch folder this process has written; how many there were.
+
+    Call it once the results that read them are stored elsewhere.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    dropped = 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        dropped += bool(path.getFileSystem(conf).delete(path, True))
+    return dropped

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import __spark_entry__ as contract
+from tarnwork.plans import catalog
 
 
 def test_entry_runs(spark):
@@ -9,8 +10,10 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+def test_every_query_of_the_catalog_has_an_oracle():
+    assert catalog.queries().keys() == catalog.oracle_sql().keys()
+    assert catalog.queries().keys() <= contract.queries().keys()
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
 
 
 def test_queries_leave_the_session_alone(spark):
