@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwork.llm import mixing, rules, sharding
+from tarnwork.llm import mixing, rules, setjoin, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,3 +61,8 @@ def op9_hash_threshold_mix(spark: SparkSession, folder: str) -> DataFrame:
 def op10_repetition_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return rules.apply_rules(docs, keep=("doc_id",))
+
+
+@query()
+def op8_jaccard_components(spark: SparkSession, folder: str) -> DataFrame:
+    return setjoin.jaccard_components(_table(spark, folder, "documents"))
