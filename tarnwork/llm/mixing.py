@@ -130,14 +130,25 @@ def mix(
     """``sized`` (source, size, h and more) with ``source_size, target, repeats`` added.
 
     ``repeats`` is how often the mix takes a document: no more than ``most``, rounded
-    up. Documents with equal hashes are decided alike, so a source misses its target by
-    at most half the size of the documents that share its boundary hash. Sources
+    up. Documents with equal hashes are decided alike, so a source misses its target
+    by at most half the size of the documents that share its boundary hash. Sources
     without words have target and repeats 0. An empty input gives an empty mix. Only
     the table of sources, which :func:`source_targets` sorts, is ever joined.
     """
-    found = thresholds(sized, materialize(source_targets(sized, weights, share, most), "mix-shares"))
-    found = found.withColumnRenamed("source", "s")
-    joined = sized.join(found, F.col("source").eqNullSafe(F.col("s")), "left")
+    targets = source_targets(sized, weights, share, most)
+    return apply_thresholds(sized, thresholds(sized, targets))
+
+
+def apply_thresholds(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` (source, h and more) with ``source_size, target, repeats`` added.
+
+    Only ``found``, the table of sources, is joined, so texts need not be shuffled.
+    """
+    found = found.select(
+        F.col("source").alias("s"), "source_size", "target", "copies", "takes",
+        *[f"prefix_{i}" for i in range(ROUNDS)],
+    )
+    joined = rows.join(found, F.col("source").eqNullSafe(F.col("s")), "left")
     below, same = F.lit(False), F.lit(True)
     for i in range(ROUNDS):
         bits, edge = _bits(F.col("h"), i), F.col(f"prefix_{i}")
@@ -145,7 +156,7 @@ def mix(
         same = same & (bits == edge)
     extra = (below | (same & F.col("takes"))).cast("long")
     return joined.select(
-        *sized.columns,
+        *rows.columns,
         "source_size",
         "target",
         F.when(F.col("source_size") > 0, F.col("copies") + F.coalesce(extra, F.lit(0)))

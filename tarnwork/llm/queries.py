@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwork.llm import mixing, rules, setjoin, sharding
+from tarnwork.llm import mixing, rules, setjoin, sharding, templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,3 +66,9 @@ def op10_repetition_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_jaccard_components(spark: SparkSession, folder: str) -> DataFrame:
     return setjoin.jaccard_components(_table(spark, folder, "documents"))
+
+
+@query()
+def op2_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    return templates.find_leaks(docs, benchmark).drop("doc_key")
