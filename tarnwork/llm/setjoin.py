@@ -49,7 +49,7 @@ from tarnwork.scratch import materialize
 
 N = 5
 #: A block of documents is closed at so many shingles or documents.
-BLOCK_SHINGLES = 3_000_000
+BLOCK_SHINGLES = 1_000_000
 BLOCK_DOCS = 60_000
 #: Bytes of text behind one counting bucket.
 BUCKET_BYTES = 8 << 20
@@ -60,9 +60,9 @@ _BLOCK = pa.schema(
     [
         ("bucket", pa.int32()),
         ("block", pa.int64()),
-        ("tokens", pa.binary()),  # shingles in one document of the block: uint64
+        ("tokens", pa.binary()),  # shingles in one document of the block, packed
         ("places", pa.binary()),  # that document: uint16
-        ("shared", pa.binary()),  # shingles in several documents: uint64
+        ("shared", pa.binary()),  # shingles in several documents, packed
         ("counts", pa.binary()),  # in how many: uint32
         ("ids", pa.list_(pa.int64())),  # the block's documents, in one row of each block
         ("sizes", pa.binary()),
@@ -113,10 +113,12 @@ def _blocks(batches: Iterator[pa.RecordBatch], n_buckets: int, n: int) -> Iterat
                 yield _pack(held, (task << 32) + made, n_buckets)
                 made, size, docs, held = made + 1, 0, 0, []
             tokens, owners = shingles(piece, n)
-            held.append((ids.slice(piece.first, piece.n_texts), tokens, owners + docs))
+            owners = (owners + docs).astype(np.uint16)
+            held.append((ids.slice(piece.first, piece.n_texts), tokens, owners))
             size, docs = size + len(tokens), docs + piece.n_texts
     if held:
         yield _pack(held, (task << 32) + made, n_buckets)
+    pa.default_memory_pool().release_unused()
 
 
 def _pack(held: list, block: int, n_buckets: int) -> pa.RecordBatch:
@@ -146,7 +148,7 @@ def _pack(held: list, block: int, n_buckets: int) -> pa.RecordBatch:
     one = starts[counts == 1]
     many = counts > 1
     several, times = tokens[starts[many]], counts[many].astype(np.uint32)
-    in_several = owners[np.repeat(many, counts)].astype(np.uint16)
+    in_several = owners[np.repeat(many, counts)]
     edges = [(b << 64) // n_buckets for b in range(1, n_buckets)]
     edges = np.array(edges, np.uint64)
     cut_one = [0, *np.searchsorted(tokens[one], edges), len(one)]
@@ -162,13 +164,13 @@ def _pack(held: list, block: int, n_buckets: int) -> pa.RecordBatch:
         k, m = cut_many[b], cut_many[b + 1]
         if i < j or k < m:
             row(
-                bucket=b, block=block, tokens=tokens[one[i:j]].tobytes(),
-                places=owners[one[i:j]].astype(np.uint16).tobytes(),
-                shared=several[k:m].tobytes(), counts=times[k:m].tobytes(),
+                bucket=b, block=block, tokens=_pack_sorted(tokens[one[i:j]]),
+                places=owners[one[i:j]].tobytes(),
+                shared=_pack_sorted(several[k:m]), counts=times[k:m].tobytes(),
             )
     # This row only passes through its bucket.
     row(
-        bucket=block % n_buckets, block=block, shared=several.tobytes(), counts=times.tobytes(),
+        bucket=block % n_buckets, block=block, shared=_pack_sorted(several), counts=times.tobytes(),
         places=in_several.tobytes(), ids=ids, sizes=sizes.tobytes(),
         signs=signs.tobytes(), holders=holders.tobytes(),
     )
@@ -191,6 +193,18 @@ def _read(value, kind) -> np.ndarray:
     return np.frombuffer(value or b"", kind)
 
 
+def _pack_sorted(tokens: np.ndarray) -> bytes:
+    """Ascending numbers as differences, byte by byte: the leading bytes are mostly zero,
+    which the shuffle's compression removes."""
+    steps = np.diff(tokens, prepend=np.uint64(0))
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpack_sorted(value) -> np.ndarray:
+    planes = np.frombuffer(value or b"", np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel())
+
+
 def _count_bucket(table: pa.Table) -> pa.Table:
     """Answer every block of a bucket with its shingles that stand in two documents.
 
@@ -198,8 +212,8 @@ def _count_bucket(table: pa.Table) -> pa.Table:
     """
     passed = table.filter(table["ids"].is_valid())
     rows = table.filter(table["ids"].is_null()).to_pydict()
-    single = [_read(v, np.uint64) for v in rows["tokens"]]
-    shared = [_read(v, np.uint64) for v in rows["shared"]]
+    single = [_unpack_sorted(v) for v in rows["tokens"]]
+    shared = [_unpack_sorted(v) for v in rows["shared"]]
     counts = [_read(v, np.uint32) for v in rows["counts"]]
     tokens = np.concatenate([*single, *shared, np.zeros(0, np.uint64)])
     times = np.concatenate(
@@ -212,7 +226,7 @@ def _count_bucket(table: pa.Table) -> pa.Table:
     starts = np.flatnonzero(head)
     found = np.add.reduceat(times[order], starts) if len(starts) else np.zeros(0, np.int64)
     frequency = np.empty(len(tokens), np.int64)
-    frequency[order] = np.repeat(found, np.diff(np.append(starts, len(tokens))))
+    frequency[order] = np.repeat(np.minimum(found, 2**32 - 1), np.diff(np.append(starts, len(tokens))))
     out: dict[str, list] = {name: [] for name in _BLOCK.names}
     at, at_shared = 0, sum(map(len, single))
     for i, block in enumerate(rows["block"]):
@@ -223,10 +237,10 @@ def _count_bucket(table: pa.Table) -> pa.Table:
         if not kept.any() and not len(shared[i]):
             continue
         values = {
-            "bucket": -1, "block": block, "tokens": single[i][kept].tobytes(),
+            "bucket": -1, "block": block, "tokens": _pack_sorted(single[i][kept]),
             "places": _read(rows["places"][i], np.uint16)[kept].tobytes(),
-            "counts": mine[kept].astype(np.int64).tobytes(),
-            "shared": shared[i].tobytes(), "sizes": shared_mine.astype(np.int64).tobytes(),
+            "counts": mine[kept].astype(np.uint32).tobytes(),
+            "shared": _pack_sorted(shared[i]), "sizes": shared_mine.astype(np.uint32).tobytes(),
         }
         for name in _BLOCK.names:
             out[name].append(values.get(name))
@@ -242,13 +256,13 @@ def _finish_block(table: pa.Table) -> pa.Table:
     sizes = _read(base["sizes"][0], np.uint32)
     signs = _read(base["signs"][0], np.uint64).reshape(-1, 3)
     holders = _read(base["holders"][0], np.uint16)
-    several, times = _read(base["shared"][0], np.uint64), _read(base["counts"][0], np.uint32)
-    tokens = [_read(v, np.uint64) for v in rows["tokens"]]
+    several, times = _unpack_sorted(base["shared"][0]), _read(base["counts"][0], np.uint32)
+    tokens = [_unpack_sorted(v) for v in rows["tokens"]]
     owners = [_read(v, np.uint16) for v in rows["places"]]
-    counts = [_read(v, np.int64) for v in rows["counts"]]
+    counts = [_read(v, np.uint32) for v in rows["counts"]]
     # Of the shingles in several documents of the block, the counts came back by bucket.
-    names = np.concatenate([_read(v, np.uint64) for v in rows["shared"]] + [several[:0]])
-    found = np.concatenate([_read(v, np.int64) for v in rows["sizes"]] + [np.zeros(0, np.int64)])
+    names = np.concatenate([_unpack_sorted(v) for v in rows["shared"]] + [several[:0]])
+    found = np.concatenate([_read(v, np.uint32) for v in rows["sizes"]] + [times[:0]])
     order = np.argsort(names)
     tokens.append(np.repeat(several, times))
     owners.append(_read(base["places"][0], np.uint16))
@@ -313,18 +327,22 @@ def _overlaps(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return materialize(counted.select("a", "b", "overlap", linked.alias("linked")), "overlaps")
 
 
-def link_sets(sets: DataFrame, threshold: int) -> DataFrame:
+def link_sets(holders: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     """``node, label`` of the sets that have a link: equal labels, one component.
 
-    ``sets`` (sign, n, tokens) holds each set once.
+    ``holders`` (sign, block, n, tokens) has each set once per block, ``classes`` (sign,
+    block) names one block for each. Only sets in lists of two or more are ever moved.
     """
     singles = F.col("n") - F.size("tokens")
     room = F.col("n") - _least(F.col("n"), threshold) + 1 - singles
+    heads = holders.where(room > 0).select(
+        "sign", "block", "n", singles.alias("singles"),
+        F.slice("tokens", F.lit(1), F.greatest(room, F.lit(0))).alias("head"),
+    )
     entries = materialize(
-        sets.where(room > 0).select(
-            "sign", "n", singles.alias("singles"),
-            F.posexplode(F.slice("tokens", F.lit(1), F.greatest(room, F.lit(0)))).alias("i", "token"),
-        ).select("token", "sign", "n", (F.col("singles") + F.col("i")).alias("p")),
+        heads.join(classes.select("sign", "block"), ["sign", "block"], "left_semi")
+        .select("sign", "n", "singles", F.posexplode("head").alias("i", "token"))
+        .select("token", "sign", "n", (F.col("singles") + F.col("i")).alias("p")),
         "entries",
     )
     leaders = materialize(
@@ -340,6 +358,11 @@ def link_sets(sets: DataFrame, threshold: int) -> DataFrame:
         ),
         "lists",
     )
+    listed = lists.select("sign").distinct().join(classes.select("sign", "block"), "sign")
+    sets = materialize(
+        holders.join(materialize(listed, "listed"), ["sign", "block"], "left_semi").select("sign", "n", "tokens"),
+        "listed-sets",
+    )
     near = lists.where(
         (F.col("sign") != F.col("leader"))
         & _fits(F.col("n"), F.col("p"), F.col("lead_n"), F.col("lead_p"), threshold)
@@ -445,13 +468,15 @@ def jaccard_components(
     component. A null id is never the smallest. Repeated rows give repeated results.
     """
     stored = shared_shingles(docs, doc_id, text, n)
-    holders = stored.where(F.col("tokens").isNotNull())
-    first = holders.groupBy("sign").agg(F.min("block").alias("block"))
-    sets = materialize(
-        holders.join(first, ["sign", "block"], "left_semi").select("sign", "n", "tokens"), "distinct"
+    holder = F.when(F.col("tokens").isNotNull(), F.col("block"))
+    classes = materialize(
+        stored.where(F.col("sign").isNotNull()).groupBy("sign")
+        .agg(F.min("doc_id").alias("root"), F.min(holder).alias("block")),
+        "classes",
     )
-    roots = stored.where(F.col("sign").isNotNull()).groupBy("sign").agg(F.min("doc_id").alias("root"))
-    labels = link_sets(sets, threshold).select(F.col("node").alias("sign"), "label")
+    roots = classes.select("sign", "root")
+    holders = stored.where(F.col("tokens").isNotNull())
+    labels = link_sets(holders, classes, threshold).select(F.col("node").alias("sign"), "label")
     rooted = materialize(
         roots.join(labels, "sign", "left").withColumn("label", F.coalesce("label", "sign")), "roots"
     )
