@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwork.llm import mixing, rules, setjoin, sharding, templates
+from tarnwork.llm import (
+    chat,
+    classifier,
+    licenses,
+    mixing,
+    pii,
+    rules,
+    setjoin,
+    sharding,
+    templates,
+    token_files,
+)
+from tarnwork.scratch import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,3 +84,74 @@ def op8_jaccard_components(spark: SparkSession, folder: str) -> DataFrame:
 def op2_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, benchmark = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
     return templates.find_leaks(docs, benchmark).drop("doc_key")
+
+
+#: Under this key, pseudonyms of different runs agree.
+PSEUDONYM_KEY = b"op1 registered query"
+
+
+@query()
+def op1_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return pii.pseudonymize(docs, PSEUDONYM_KEY)
+
+
+@query()
+def op3_typed_chat(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(r"\### Assistant: </turn> ok").alias("text"),
+    )
+    parts = turns.unionByName(extra).withColumn("parts", chat.text_parts(F.col("text")))
+    written = materialize(chat.format_chats(parts), "chats")
+    read = materialize(
+        written.select(
+            "conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+            chat.read_spans(F.col("formatted"), F.col("loss")).alias("loss_text"), "attachments",
+            "attachment_tokens",
+        ),
+        "chats-read",
+    )
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, "").cast("binary"), 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+        F.size("attachments").cast("long").alias("n_attachments"), "attachment_tokens",
+    )
+
+
+@query()
+def op4_orc_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_path(spark, "tokens.orc")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_tokens(_table(spark, folder, "documents"), path, tokenizer)
+    return token_files.token_index(spark, path)
+
+
+@query()
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents have no paths: here they are laid out as a tree by source, language and id."""
+    id_ = F.col("doc_id")
+    name = F.when(id_ % 50 == 0, F.lit("LICENSE")).otherwise(F.concat(id_.cast("string"), F.lit(".txt")))
+    place = F.concat_ws("/", "source", "lang", F.floor(id_ / 5000).cast("string"), F.floor(id_ / 50).cast("string"), name)
+    files = _table(spark, folder, "documents").select("doc_id", place.alias("path"), "text")
+    return licenses.scan_licenses(files, keep=("doc_id",))
+
+
+@query()
+def op7_boosted_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    trees = classifier.fit(docs, labels, learn=fold != 0)
+    return classifier.score(docs, trees, keep=("doc_id",)).select(
+        "doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )

@@ -30,9 +30,9 @@ CHUNK_BYTES = 4 << 20
 
 #: A byte-level pre-tokenizer never joins a visible character with white space after it,
 #: so a text may be cut there and the pieces be encoded one by one, each distinct one
-#: once. ``_RUN`` finds texts that hold longer runs of white space.
+#: once. ``_RUN`` finds texts that hold longer runs of white space, or the mark below.
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
-_RUN = re.compile(r"^ |\s[ \n]")
+_RUN = re.compile(r"^ |\s[ \n]|\0")
 #: Before the first piece of a text, and before one that brings its own white space.
 _BARE = "\0"
 

@@ -1,0 +1,138 @@
+from __future__ import annotations
+
+import hashlib
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tarnwork.llm import chat, queries, token_files
+from tarnwork.scratch import materialize, scratch_path
+
+from .conftest import plain
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+NASTY = ["", None, "\\", "<|end|>\n", "<|turn:user|>\n", r"\0\1\2", "|<\\>|", "a\n<|end|>", "日本 😀", r"\### Assistant: </turn> ok"]
+
+
+def test_typed_parts_become_numbered_placeholders(spark):
+    turns = [
+        (1, 1, "assistant", [("text", "It is <b>", None, None), ("image", None, "s3://x/a.png", 2), ("text", "|", None, None)]),
+        (1, 0, "user", [("image", None, "b.png", 3), ("text", "What? ", None, None), ("audio", None, "c.wav", 10), ("scan|", None, "d", None)]),
+        (2, 0, None, None), (2, 0, None, None), (3, 5, "assistant", []),
+    ]
+    df = spark.createDataFrame(turns, f"conv_id long, turn long, role string, parts array<{chat.PART}>")
+    stored = materialize(chat.format_chats(df))
+    out = {r.conv_id: r for r in stored.collect()}
+    assert out[1].formatted == (
+        "<|turn:user|>\n<|image:1|>What? <|audio:2|><|scan\\2:3|><|end|>\n"
+        "<|turn:assistant|>\nIt is \\1b><|image:4|>\\2<|end|>\n"
+    )
+    assert [tuple(a) for a in out[1].attachments] == [
+        (1, "image", "b.png", 768), (2, "audio", "c.wav", 250), (3, "scan|", "d", 0), (4, "image", "s3://x/a.png", 512),
+    ]
+    assert out[1].attachment_tokens == 1530 and out[2].n_turns == 2 and out[3].loss == []
+    assert [out[1].formatted[a:b] for a, b in out[1].loss] == ["It is \\1b>", "\\2"]
+    read = stored.select("conv_id", chat.read_turns(F.col("formatted")).alias("t"), chat.read_spans(F.col("formatted"), F.col("loss")).alias("l"))
+    back = {r.conv_id: r for r in read.collect()}
+    assert [tuple(t) for t in back[1].t] == [("user", "What? "), ("assistant", "It is <b>|")]
+    assert back[1].l == "It is <b>|" and [tuple(t) for t in back[2].t] == [("", ""), ("", "")]
+
+
+def test_query_returns_what_went_in(spark, tmp_path):
+    turns = [(c, t, ["user", "assistant", None, "as|<s"][(c + t) % 4], NASTY[(3 * c + t) % len(NASTY)]) for c in range(12) for t in range(c)]
+    turns += [(1, 0, "assistant", "again"), (1, 0, "assistant", "again"), (None, None, None, "x")]
+    folder = str(tmp_path)
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    expected = defaultdict(list)
+    extra = r"\### Assistant: </turn> ok"
+    for c, t, role, text in [*turns, (-7, 0, "user", extra), (-7, 1, "assistant", extra)]:
+        expected[c].append((t if t is not None else -1, role or "", text or ""))
+    got = {r.conv_id: r for r in queries.op3_typed_chat(spark, folder).collect()}
+    assert got.keys() == expected.keys()
+    for c, rows in expected.items():
+        rows.sort()
+        whole = "".join(f"{role}\n{text}\n" for _, role, text in rows)
+        loss = "".join(text for _, role, text in rows if role == "assistant")
+        assert got[c].n_turns == len(rows)
+        assert got[c].turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
+        assert (got[c].loss_chars, got[c].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
+def test_chats_of_no_turns(spark):
+    none = spark.createDataFrame([], f"conv_id long, turn long, role string, parts array<{chat.PART}>")
+    assert chat.format_chats(none).collect() == []
+
+
+ODD_TEXTS = [
+    "", " ", "  a", "a  b \n\n c", "　 z  \t q", "a\x1c b", "it's  don't\n 12 34\r\n", "日本 語。 \n", "<|endoftext|> a",
+    "a \n b\n", "\n a", "\na", "a\n", "\0x y", "a \0b", "\n\nb", "a  b", "a\u0085\nb", "x" * 3000,
+]
+
+
+def test_pieces_encode_like_whole_texts(sample):
+    texts = ODD_TEXTS + [r.text for r in sample.limit(60).collect()]
+    whole = Tokenizer.from_file(TOKENIZER)
+    whole.encode_special_tokens = True
+    expected = [e.ids + [2] for e in whole.encode_batch(texts, add_special_tokens=False)]
+    encoder = token_files._Encoder(TOKENIZER)
+    for _ in range(2):  # with nothing remembered, and with all
+        flat, counts = encoder.encode(texts)
+        assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == expected
+
+
+def expected_index(rows):
+    whole = Tokenizer.from_file(TOKENIZER)
+    whole.encode_special_tokens = True
+    start, out = 0, []
+    for doc_id, text in sorted(rows, key=lambda r: r[0]):
+        ids = whole.encode(text or "", add_special_tokens=False).ids + [2]
+        out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_files_are_ordered_and_complete(spark, sample, odd_rows):
+    rows = [(r.doc_id, r.text) for r in sample.collect()] + [(1000 + i, t) for i, t in enumerate(ODD_TEXTS)]
+    rows += [(2000 + i, r[1]) for i, r in enumerate(odd_rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    path = scratch_path(spark, "tokens")
+    token_files.write_tokens(docs, path, TOKENIZER)
+    got = sorted(tuple(r) for r in token_files.token_index(spark, path).collect())
+    assert got == expected_index(rows)
+    some = token_files.read_tokens(spark, path, [3, 1001, 77777])
+    assert sorted(r.doc_id for r in some.collect()) == [3, 1001]
+    assert "PushedFilters: [In(doc_id" in some._jdf.queryExecution().executedPlan().toString()
+
+
+def test_files_hold_bloom_filters_and_stripes(spark, sample):
+    import glob
+
+    import pyarrow.orc as orc
+
+    path = scratch_path(spark, "tokens")
+    token_files.write_tokens(sample, path, TOKENIZER)
+    files = glob.glob(path.removeprefix("file:") + "/part-*.orc")
+    assert files and all(orc.ORCFile(f).nstripes >= 1 for f in files)
+    assert sum(orc.ORCFile(f).nrows for f in files) == sample.count()
+    bloom = spark._jvm.org.apache.orc.OrcFile
+    conf = spark._jsc.hadoopConfiguration()
+    reader = bloom.createReader(spark._jvm.org.apache.hadoop.fs.Path(files[0]), bloom.readerOptions(conf))
+    streams = reader.rows().readStripeFooter(reader.getStripes().get(0)).getStreamsList()
+    kinds = {(streams.get(i).getColumn(), streams.get(i).getKind().toString()) for i in range(streams.size())}
+    assert (1, "BLOOM_FILTER_UTF8") in kinds and (1, "ROW_INDEX") in kinds
+
+
+@pytest.mark.parametrize("which", ["odd", "nothing"])
+def test_null_repeated_and_no_documents(spark, request, which):
+    docs = request.getfixturevalue(which)
+    path = scratch_path(spark, "tokens")
+    token_files.write_tokens(docs, path, TOKENIZER)
+    got = plain(token_files.token_index(spark, path))
+    assert len(got) == docs.count()
+    ends = {start + n for _, start, n, _ in got}
+    assert all(start in ends or start == 0 for _, start, _, _ in got)
