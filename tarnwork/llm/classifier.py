@@ -109,8 +109,8 @@ def fit_trees(
     depth: int = 4,
     rate: float = 0.15,
     bins: int = 64,
-    ridge: float = 1.0,
-    least: float = 4.0,
+    ridge: float = 0.5,
+    least: float = 0.3,
 ) -> Trees:
     """Boost trees for the logistic loss.
 

@@ -62,10 +62,9 @@ def term_weights(files: DataFrame, text: str, vocabulary: Sequence[str]) -> dict
     The result has a row for each term of the templates, no more.
     """
     known = F.array(*[F.lit(t) for t in vocabulary])
-    found = files.select(
-        F.explode(F.concat(F.array_intersect(terms(F.col(f"`{text}`")), known), F.array(F.lit("")))).alias("t")
-    )
-    # A null text has no terms and is still counted as a file.
+    inside = F.array_intersect(terms(F.coalesce(F.col(f"`{text}`"), F.lit(""))), known)
+    # The empty term counts the files, those without any term too.
+    found = files.select(F.explode(F.concat(inside, F.array(F.lit("")))).alias("t"))
     counts = {r["t"]: r["n"] for r in found.groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = counts.pop("", 0)
     weight = lambda n: math.log((1 + total) / (1 + n)) + 1

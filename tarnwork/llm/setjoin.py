@@ -184,7 +184,7 @@ def _column(values: list, kind: pa.DataType) -> pa.Array:
     lists = [v for v in values if v is not None]
     lengths = [None if v is None else len(v) for v in values]
     offsets = spread(np.array([x or 0 for x in lengths], np.int64)).astype(np.int32)
-    mask = pa.array([x is None for x in lengths])
+    mask = pa.array([x is None for x in lengths], pa.bool_())
     content = pa.concat_arrays(lists) if lists else pa.array([], kind.value_type)
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), content, mask=mask)
 
