@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnwork.llm import mixing, rules, setjoin, sharding, templates
+from tarnwork.operators.joins import fits_broadcast
 from tarnwork.scratch import materialize
 
 #: Sources by name weigh so much in turn.
@@ -19,6 +20,12 @@ WEIGHTS = (5, 2, 1)
 SHARDS = 8
 
 
+def _small(stored: DataFrame) -> DataFrame:
+    """A stored list of ids, broadcast where it was counted and is small: then the texts
+    need not be shuffled. A larger one is joined by a shuffle of both sides."""
+    return F.broadcast(stored) if fits_broadcast(stored) else stored
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules keep."""
     packed = docs.select(F.struct("*").alias("row"), F.col("text"))
@@ -33,13 +40,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = setjoin.jaccard_components(docs.select("doc_id", "text"))
     groups = materialize(groups, "groups")
     gone = groups.where("doc_id != component_id").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
+    left = docs.join(_small(materialize(gone, "gone")), "doc_id", "left_anti")
     unclear = (
         groups.where("doc_id is null or doc_id = component_id").groupBy("doc_id").count()
         .where("count > 1").select(F.col("doc_id").alias("again"))
     )
     unclear = materialize(unclear, "unclear")
-    same = F.col("doc_id").eqNullSafe(F.col("again"))
+    unclear, same = _small(unclear), F.col("doc_id").eqNullSafe(F.col("again"))
     return left.join(unclear, same, "left_anti").unionByName(
         left.join(unclear, same, "left_semi").dropDuplicates(["doc_id", "text"])
     )
@@ -49,7 +56,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that hold no item of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaks = templates.find_leaks(docs.select("doc_id", "text"), benchmark)
-    leaks = materialize(leaks.select("doc_key").distinct(), "leaks")
+    leaks = _small(materialize(leaks.select("doc_key").distinct(), "leaks"))
     return docs.join(leaks, templates.row_key("doc_id", "text") == F.col("doc_key"), "left_anti")
 
 

@@ -45,6 +45,7 @@ from tarnwork.llm.words import (
     window_hashes,
     windows_inside,
 )
+from tarnwork.operators.joins import fits_broadcast
 from tarnwork.scratch import materialize
 
 N = 5
@@ -359,8 +360,11 @@ def link_sets(holders: DataFrame, classes: DataFrame, threshold: int) -> DataFra
         "lists",
     )
     listed = lists.select("sign").distinct().join(classes.select("sign", "block"), "sign")
+    listed = materialize(listed, "listed")
+    # Where they are few, and that was counted, the sets need no shuffle.
+    listed = F.broadcast(listed) if fits_broadcast(listed) else listed
     sets = materialize(
-        holders.join(materialize(listed, "listed"), ["sign", "block"], "left_semi").select("sign", "n", "tokens"),
+        holders.join(listed, ["sign", "block"], "left_semi").select("sign", "n", "tokens"),
         "listed-sets",
     )
     near = lists.where(
