@@ -200,14 +200,20 @@ def _measures(i: int, check: Check) -> dict[str, Column]:
 
 
 def _psi_of(i: int, check: StablePopulation) -> Column:
-    def share(side: str, b: int) -> Column:
-        counts = [F.col(f"{side}_{i}_{n}") for n in range(check.bins())]
-        return F.coalesce(
-            F.try_divide(counts[b], reduce(lambda x, y: x + y, counts)), F.lit(0.0)
+    """Sum of the bins' terms, over arrays of counts: its size is linear in the bins."""
+
+    def shares(side: str) -> Column:
+        counts = F.array(*[F.col(f"{side}_{i}_{n}") for n in range(check.bins())])
+        total = F.aggregate(counts, F.lit(0).cast("long"), lambda x, y: x + y)
+        # The outer function binds the total, so it is added up once.
+        bound = F.transform(
+            F.array(total),
+            lambda t: F.transform(counts, lambda n: F.coalesce(F.try_divide(n, t), F.lit(0.0))),
         )
+        return F.get(bound, F.lit(0))
 
-    terms = [psi_term(share("baseline", b), share("current", b)) for b in range(check.bins())]
-    return reduce(lambda x, y: x + y, terms)
+    terms = F.zip_with(shares("baseline"), shares("current"), lambda b, c: psi_term(b, c))
+    return F.aggregate(terms, F.lit(0.0), lambda x, y: x + y)
 
 
 def _result(i: int, check: Check) -> Column:

@@ -15,10 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: A key is hot only when it holds more than this share of all rows, so there
-#: are never more than 1 / HOT_SHARE hot keys: the list is safe to broadcast.
-HOT_SHARE = 0.001
-#: Rows one salt is meant to carry. Keys below this size are never salted.
+from tarnwork.scratch import materialize
+
+#: Rows one salt is meant to carry. A key with more of them is hot.
 ROWS_PER_SALT = 5_000_000
 
 
@@ -49,20 +48,19 @@ def comparable_columns(df: DataFrame) -> list[str]:
 def hot_keys(
     df: DataFrame,
     on: str | Sequence[str],
-    share: float = HOT_SHARE,
     rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows, and how many salts each needs.
+    """Keys with more than ``rows_per_salt`` rows, and how many salts each needs.
 
-    Fewer than ``1 / share`` rows come out, whatever the input size. NULL counts
-    as a key.
+    No more than one row in ``rows_per_salt`` comes out. NULL counts as a key. The
+    list is stored, so that its uses do not count again.
     """
     keys = as_list(on)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
-    return counts.where((F.col("_n") > rows_per_salt) & (F.col("_n") > total * share)).select(
+    hot = counts.where(F.col("_n") > rows_per_salt).select(
         *keys, F.ceil(F.col("_n") / rows_per_salt).cast("int").alias("_salts")
     )
+    return materialize(hot, "hot-keys")
 
 
 def fits_broadcast(
@@ -79,14 +77,15 @@ def fits_broadcast(
     return (stored.agg(size).first()[0] or 0) <= max_bytes
 
 
-def _with_salt_count(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
-    """Add ``_salts``: NULL for ordinary keys."""
+def _with_salt_count(
+    df: DataFrame, keys: list[str], hot: DataFrame, small: bool
+) -> DataFrame:
+    """Add ``_salts``: NULL for ordinary keys. ``small``: ``hot`` was sized and fits."""
     renamed = hot.select(
         *[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)], F.col("_salts")
     )
     match = [F.col(k).eqNullSafe(F.col(f"_hot_{i}")) for i, k in enumerate(keys)]
-    # hot_keys() bounds this list to 1 / share rows.
-    return df.join(F.broadcast(renamed), _all(match), "left").drop(
+    return df.join(F.broadcast(renamed) if small else renamed, _all(match), "left").drop(
         *[f"_hot_{i}" for i in range(len(keys))]
     )
 
@@ -112,7 +111,9 @@ def salted_join(
     """Same rows as ``fact.join(dim, on, how)``, with the skewed fact side spread out.
 
     Either every key is spread over ``n_salts``, or, with ``hot`` from
-    :func:`hot_keys`, only the keys listed there. ``salt_by`` names the columns
+    :func:`hot_keys`, only the keys listed there. A key listed twice counts once, with
+    its larger number of salts; the list is broadcast only if it is found small, else
+    joined like any table. ``salt_by`` names the columns
     that tell fact rows apart; the default is all of them. Exact copies of a row
     share a salt. ``null_safe`` lets NULL match NULL. ``hint="merge"`` rules out
     a broadcast; without it Spark broadcasts ``dim`` when it is small enough,
@@ -130,15 +131,18 @@ def salted_join(
         raise ValueError(f"columns on both sides: {sorted(clash)}")
 
     row_hash = F.xxhash64(*(salt_by or comparable_columns(fact)))
+    if hot is not None:
+        small = fits_broadcast(hot)
+        hot = hot.groupBy(*keys).agg(F.max("_salts").alias("_salts"))
     if hot is None:
         left = fact.withColumn("_salt", F.pmod(row_hash, F.lit(n_salts)).cast("int"))
         right, copies = dim, F.lit(n_salts)
     else:
-        left = _with_salt_count(fact, keys, hot)
+        left = _with_salt_count(fact, keys, hot, small)
         left = left.withColumn(
             "_salt", F.coalesce(F.pmod(row_hash, F.col("_salts")).cast("int"), F.lit(0))
         ).drop("_salts")
-        right, copies = _with_salt_count(dim, keys, hot), F.coalesce("_salts", F.lit(1))
+        right, copies = _with_salt_count(dim, keys, hot, small), F.coalesce("_salts", F.lit(1))
 
     kept = [c for c in dim.columns if c not in keys]
     right = right.select(

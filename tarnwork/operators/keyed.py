@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnwork.operators.joins import (
+    BROADCAST_BYTES,
     BROADCAST_ROWS,
     ROWS_PER_SALT,
     as_list,
     comparable_columns,
-    fits_broadcast,
-    join_groups,
     spread_null_keys,
 )
+from tarnwork.operators.windows import max_rows
 from tarnwork.scratch import materialize
 
 
@@ -35,8 +37,8 @@ def dedup_latest(
     shuffle, so a hot key costs one row per map task.
 
     ``ties="all"`` keeps every row that equals the key's newest ``order_by``
-    column; rows where it is NULL are dropped. The maximum is pre-aggregated and
-    joined back with hot keys spread out.
+    column; rows where it is NULL are dropped, see
+    :func:`tarnwork.operators.windows.max_rows`.
     """
     key_columns, order = as_list(keys), as_list(order_by)
     if ties == "one":
@@ -53,13 +55,7 @@ def dedup_latest(
         raise ValueError("ties must be 'one' or 'all'")
     if len(order) != 1:
         raise ValueError("ties='all' takes a single order column")
-    known = df.where(F.col(order[0]).isNotNull())
-    newest = known.groupBy(*key_columns).agg(F.max(order[0]).alias("_newest"))
-    return (
-        join_groups(known, newest, key_columns, rows_per_salt=rows_per_salt)
-        .where(F.col(order[0]) == F.col("_newest"))
-        .drop("_newest")
-    )
+    return max_rows(df, key_columns, order[0], rows_per_salt)
 
 
 def _typed_like(old: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -68,8 +64,46 @@ def _typed_like(old: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataF
     A merge reads the new rows several times and has to see the same rows each
     time, whatever they are computed from.
     """
-    typed = new.select(*[F.col(c).cast(old.schema[c].dataType).alias(c) for c in columns])
-    return materialize(typed, "merge-source")
+    typed = [
+        _exact(F.col(c), c, new.schema[c].dataType, old.schema[c].dataType).alias(c) for c in columns
+    ]
+    return materialize(new.select(*typed), "merge-source")
+
+
+def _exact(value: Column, name: str, have: T.DataType, want: T.DataType) -> Column:
+    """The value in another type; one that would change or be lost raises.
+
+    Unlike a plain cast, this does not depend on the session's ANSI setting.
+    """
+    if have == want or isinstance(have, T.NullType):
+        return value.cast(want)
+    cast = value.try_cast(want)
+    same = cast.isNotNull()
+    if not isinstance(have, T.StringType):
+        same = same & cast.try_cast(have).eqNullSafe(value)
+    message = f"a value of column {name!r} does not fit type {want.simpleString()}"
+    return F.when(value.isNull() | same, cast).otherwise(F.raise_error(F.lit(message)).cast(want))
+
+
+@dataclass(frozen=True)
+class SourceSize:
+    rows: int
+    text_bytes: int
+    most_per_key: int
+
+    def is_small(self, rows: int) -> bool:
+        return self.rows <= rows and self.text_bytes <= BROADCAST_BYTES
+
+
+def _measure(stored: DataFrame, keys: Sequence[str]) -> SourceSize:
+    """Rows, bytes as text, and rows of the most frequent non-NULL key, in one job."""
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    per_key = stored.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("_bytes"),
+    )
+    found = per_key.agg(F.sum("_n"), F.sum("_bytes"), F.max(F.when(known, F.col("_n")))).first()
+    return SourceSize(*[x or 0 for x in found])
 
 
 def _merge(
@@ -78,15 +112,15 @@ def _merge(
     keys: list[str],
     matched: Mapping[str, Column],
     inserted: Mapping[str, Column],
-    broadcast_rows: int,
+    small: bool,
 ) -> DataFrame:
     """``old`` with matching rows changed, plus the rows of ``new`` without a match.
 
     ``new`` is stored and has the types of ``old``. ``matched`` and ``inserted``
     are written over the columns of ``old`` and the ``_new_*`` columns of ``new``.
 
-    Where ``new`` is found small (at most ``broadcast_rows`` rows and a fixed size,
-    see :func:`fits_broadcast`) it is broadcast and ``old`` is not shuffled.
+    Where ``new`` was measured and is ``small``, it is broadcast and ``old`` is not
+    shuffled.
     Otherwise both sides are shuffled; as a left join and an anti join, unlike as
     a full outer join, Spark can still split a part of ``old`` that is too big for
     one task.
@@ -94,8 +128,6 @@ def _merge(
     types = {c: old.schema[c].dataType for c in old.columns}
     new_keys = [f"_new_{k}" for k in keys]
     prefixed = new.select(*[F.col(c).alias(f"_new_{c}") for c in new.columns])
-    small = fits_broadcast(new, broadcast_rows)
-
     right = spread_null_keys(prefixed, new_keys, "_new_spread")
     left = spread_null_keys(old, keys, "_spread")
     on = [F.col(a) == F.col(b) for a, b in zip([*keys, "_spread"], [*new_keys, "_new_spread"])]
@@ -137,13 +169,14 @@ def merge_snapshot(
     """
     key_columns = as_list(keys)
     shared = [c for c in history.columns if c in updates.columns and c not in key_columns]
+    stored = _typed_like(history, updates, [*key_columns, *shared])
     return _merge(
         history,
-        _typed_like(history, updates, [*key_columns, *shared]),
+        stored,
         key_columns,
         matched={c: F.coalesce(f"_new_{c}", c) for c in shared},
         inserted={c: F.col(f"_new_{c}") for c in [*key_columns, *shared]},
-        broadcast_rows=broadcast_rows,
+        small=_measure(stored, key_columns).is_small(broadcast_rows),
     )
 
 
@@ -179,7 +212,8 @@ def upsert(
         raise ValueError(f"columns missing from target or source: {sorted(set(unknown))}")
     needed = [c for c in available if c in {*key_columns, *updates, *inserts}]
     stored = _typed_like(target, source, needed)
-    if not duplicate_keys(stored, key_columns).isEmpty():
+    size = _measure(stored, key_columns)
+    if size.most_per_key > 1:
         raise ValueError(f"source holds duplicate keys in {key_columns}")
     return _merge(
         target,
@@ -189,5 +223,5 @@ def upsert(
             c: F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in updates
         },
         inserted={c: F.col(f"_new_{c}") for c in inserts},
-        broadcast_rows=broadcast_rows,
+        small=size.is_small(broadcast_rows),
     )

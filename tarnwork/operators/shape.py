@@ -147,16 +147,13 @@ def collect_joined(
     )
 
 
-def infer_json_schema(df: DataFrame, col: str, sample: float | None = None) -> T.StructType:
+def infer_json_schema(df: DataFrame, col: str) -> T.StructType:
     """Schema of the JSON objects in a text column, merged over all rows.
 
     One distributed aggregate inside the JVM; only the merged schema text comes
-    back. Text that is not a JSON object is ignored. ``sample`` reads a fraction
-    of the rows for the *schema only*.
+    back. Text that is not a JSON object is ignored.
     """
     rows = df.select(F.try_parse_json(F.col(col).cast("string")).alias("v"))
-    if sample is not None:
-        rows = rows.sample(fraction=sample, seed=0)
     is_object = F.schema_of_variant("v").startswith("OBJECT<")
     merged = rows.select(F.schema_of_variant_agg(F.when(is_object, F.col("v")))).first()[0]
     if not merged.startswith("OBJECT<"):

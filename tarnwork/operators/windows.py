@@ -63,6 +63,23 @@ def dominant_key(
     )
 
 
+def _leaders(df: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """The rows that lead their group within their input partition; stored.
+
+    They hold all rows with the group's maximum, and little else. Spark drops the other
+    rows on the map side, before the shuffle. Because the partition is part of the
+    window's key, the rows of one group, exact copies too, stay spread over many tasks,
+    and a task that runs again sends its rows to the same place.
+    """
+    inside = Window.partitionBy(*groups, "_part").orderBy(F.col(value).desc())
+    ranked = (
+        df.where(F.col(value).isNotNull())
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_rank", F.rank().over(inside))
+    )
+    return materialize(ranked.where(F.col("_rank") == 1).drop("_part", "_rank"), "leaders")
+
+
 def max_rows(
     df: DataFrame,
     group: str | Sequence[str],
@@ -71,9 +88,10 @@ def max_rows(
 ) -> DataFrame:
     """All rows whose value equals their group's maximum."""
     groups = as_list(group)
-    peaks = df.groupBy(*groups).agg(F.max(value).alias("_max"))
+    leaders = _leaders(df, groups, value)
+    peaks = leaders.groupBy(*groups).agg(F.max(value).alias("_max"))
     return (
-        join_groups(df, peaks, groups, rows_per_salt=rows_per_salt)
+        join_groups(leaders, peaks, groups, rows_per_salt=rows_per_salt)
         .where(F.col(value) == F.col("_max"))
         .drop("_max")
     )
@@ -89,13 +107,14 @@ def tied_keys(
 ) -> DataFrame:
     """The keys that share a group's maximum, where at least ``min_ties`` rows do."""
     groups = as_list(group)
+    leaders = _leaders(df.select(*groups, key, value), groups, value)
     peaks = (
-        _group_peaks(df, groups, key, value, None)
+        _group_peaks(leaders, groups, key, value, None)
         .where(F.col("_best._ties") >= min_ties)
         .select(*groups, "_max")
     )
     return (
-        join_groups(df, peaks, groups, rows_per_salt=rows_per_salt)
+        join_groups(leaders, peaks, groups, rows_per_salt=rows_per_salt)
         .where(F.col(value) == F.col("_max"))
         .select(*groups, key)
         .distinct()

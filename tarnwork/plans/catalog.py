@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnwork.operators.checks import (
@@ -125,10 +125,8 @@ def order_details(t: Tables) -> DataFrame:
     """
 )
 def daily_revenue(t: Tables) -> DataFrame:
-    # Exact money in whole numbers: cents times percent.
-    cents = (F.col("l_extendedprice") * 100 + 0.5).cast("long")
-    percent = (F.col("l_discount") * 100 + 0.5).cast("long")
-    revenue = cents * (100 - percent)
+    price, discount = F.col("l_extendedprice"), F.col("l_discount")
+    revenue = price.cast("decimal(12,2)") * (1 - discount.cast("decimal(4,2)"))
     # Details are summed per order before they meet the order's date, so the join
     # reads one row per order and reuses the partitioning of the sums.
     per_order = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
@@ -140,7 +138,7 @@ def daily_revenue(t: Tables) -> DataFrame:
         .groupBy("day")
         .agg(
             F.sum("n").alias("n_details"),
-            (F.sum("revenue") / 10_000).alias("revenue"),
+            F.sum("revenue").cast("double").alias("revenue"),
         )
     )
 
@@ -212,7 +210,7 @@ def extract_customers(t: Tables) -> DataFrame:
 def csv_roundtrip(t: Tables) -> DataFrame:
     out = t.scratch("orders-csv")
     columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
-    write_csv(t.orders.select(*columns), out, single_file=True)
+    write_csv(t.orders.select(*columns), out)
     return read_csv(t.spark, out).select(
         F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"),
         F.col("o_custkey").try_cast("bigint").alias("o_custkey"),
@@ -230,6 +228,18 @@ def json_file_roundtrip(t: Tables) -> DataFrame:
     return read_json(t.spark, out, schema=source.schema, multiline=False)
 
 
+@query("select event_id, event_type, value from events")
+def json_documents_roundtrip(t: Tables) -> DataFrame:
+    """Multi-line documents, one array of some events per file; the schema is inferred."""
+    out = t.scratch("events-documents")
+    rows = F.collect_list(F.struct("event_id", "event_type", "value"))
+    text = F.to_json(rows, {"pretty": "true", "ignoreNullFields": "false"})
+    number = F.floor(F.col("event_id") / 5000).alias("document")
+    documents = t.events.groupBy(number).agg(text.alias("body"))
+    documents.write.partitionBy("document").text(out)
+    return read_json(t.spark, f"{out}/*").select("event_id", "event_type", "value")
+
+
 @query(
     """
     select o_orderkey, o_totalprice from orders
@@ -517,20 +527,26 @@ def _event_counts(t: Tables) -> DataFrame:
     )
 
 
+#: Aggregates joined back, so that the windows are checked by other means.
 _EVENT_COUNTS = """
     with counts as (
         select user_id, event_type, count(*) as n,
                max(case when value > 150 then event_type end) as incumbent
-        from events group by 1, 2),
-    marked as (
-        select *, max(n) over (partition by user_id) as max_value,
-               max(incumbent) over (partition by user_id) as group_incumbent,
-               row_number() over (partition by user_id order by n, event_type) as row_number
-        from counts),
+        from events group by user_id, event_type),
+    users as (
+        select user_id as u, max(n) as top, max(incumbent) as favourite from counts group by user_id),
+    tops as (
+        select u, count(*) as sharing from users join counts on u = user_id and n = top group by u),
+    places as (
+        select a.user_id as u, a.event_type as kind, count(*) as place
+        from counts a join counts b on a.user_id = b.user_id
+             and (b.n, b.event_type) <= (a.n, a.event_type)
+        group by a.user_id, a.event_type),
     stats as (
-        select *, count(case when n = max_value then 1 end)
-                      over (partition by user_id, n) as equal_count
-        from marked)
+        select user_id, event_type, n, incumbent, top as max_value, favourite as group_incumbent,
+               place as row_number, case when n = top then sharing else 0 end as equal_count
+        from counts join users on users.u = user_id join tops on tops.u = user_id
+             join places on places.u = user_id and kind = event_type)
 """
 
 
@@ -564,9 +580,7 @@ def window_totals(t: Tables) -> DataFrame:
 
 @query(_EVENT_COUNTS + "select user_id, event_type, n from stats where n = max_value", name="max_rows")
 def dominant_rows(t: Tables) -> DataFrame:
-    # Joined back to itself, so the counts are stored instead of computed again.
-    counts = materialize(_event_counts(t).drop("incumbent"), "event-counts")
-    return max_rows(counts, "user_id", "n")
+    return max_rows(_event_counts(t).drop("incumbent"), "user_id", "n")
 
 
 @query(
@@ -585,8 +599,7 @@ def largest_events(t: Tables) -> DataFrame:
     name="tied_keys",
 )
 def tied_events(t: Tables) -> DataFrame:
-    counts = materialize(_event_counts(t), "event-counts")
-    return tied_keys(counts, "user_id", "event_type", "n", min_ties=3)
+    return tied_keys(_event_counts(t), "user_id", "event_type", "n", min_ties=3)
 
 
 @query(
@@ -772,13 +785,17 @@ def unpivot_charges(t: Tables) -> DataFrame:
     )
 
 
+def _spread(value: Column) -> Column:
+    return F.max(value) - F.min(value)
+
+
 def _event_statistics(t: Tables) -> DataFrame:
     """Statistics of event values in the second half of the month against the first."""
     value, late = F.col("value"), F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
     size = F.when(value < 10, "low").when(value < 50, "mid").otherwise("high")
-    statistics = {"average": F.avg, "count": F.count, "maximum": F.max, "minimum": F.min}
+    statistics = {"mean": F.avg, "rows": F.count, "top": F.max, "spread": _spread}
     wide = t.events.groupBy(
-        size.alias("range"), F.col("event_type").alias("column_name")
+        size.alias("band"), F.col("event_type").alias("kind")
     ).agg(
         *[
             agg(F.when(half, value)).cast("double").alias(f"{name}_{side}")
@@ -787,19 +804,19 @@ def _event_statistics(t: Tables) -> DataFrame:
         ]
     )
     cells = ", ".join(
-        f"struct('{name}' as statistic, {name}_now as value, {name}_then as previous_value, "
-        f"{name}_now - {name}_then as variation)"
+        f"struct('{name}' as statistic, {name}_now as late, {name}_then as early, "
+        f"{name}_now - {name}_then as step)"
         for name in statistics
     )
-    return wide.selectExpr("range", "column_name", f"inline(array({cells}))")
+    return wide.selectExpr("band", "kind", f"inline(array({cells}))")
 
 
 @query(
     """
     with s as (
         select case when value < 10 then 'low' when value < 50 then 'mid' else 'high' end
-                 as "range",
-               event_type as column_name,
+                 as band,
+               event_type as kind,
                avg(value) filter (where ts >= timestamp '2024-01-16') as avg_now,
                avg(value) filter (where ts < timestamp '2024-01-16') as avg_then,
                min(value) filter (where ts >= timestamp '2024-01-16') as min_now,
@@ -809,31 +826,25 @@ def _event_statistics(t: Tables) -> DataFrame:
                cast(count(*) filter (where ts >= timestamp '2024-01-16') as double) as n_now,
                cast(count(*) filter (where ts < timestamp '2024-01-16') as double) as n_then
         from events group by 1, 2)
-    select "range", column_name, round(avg_now, 6) as current, n_now as current_count,
-           round(coalesce(max_now, max_then, min_then, n_now - n_then), 6) as "except",
-           round(avg_then, 6) as last, n_then as last_count, round(min_now, 6) as minimum,
-           round(avg_now - avg_then, 6) as variation
+    select band, kind, round(avg_now - avg_then, 6) as mean_step, n_then as early_rows,
+           round(max_then - min_then, 6) as early_spread, round(max_now, 6) as late_top,
+           round(coalesce(avg_now, n_now, max_now - min_now, avg_then, max_then,
+                          (max_now - min_now) - (max_then - min_then)), 6) as "except"
     from s
     """,
     name="pivot_stats",
 )
 def pivot_statistics(t: Tables) -> DataFrame:
     rules = {
-        ("average", "value"): "current",
-        ("average", "previous_value"): "last",
-        ("average", "variation"): "variation",
-        ("minimum", "value"): "minimum",
-        ("count", "value"): "current_count",
-        ("count", "previous_value"): "last_count",
+        ("mean", "step"): "mean_step",
+        ("rows", "early"): "early_rows",
+        ("spread", "early"): "early_spread",
+        ("top", "late"): "late_top",
     }
+    ids = ["band", "kind"]
     pivoted = pivot_by_rules(
-        _event_statistics(t),
-        ["range", "column_name"],
-        "statistic",
-        ["value", "previous_value", "variation"],
-        rules,
+        _event_statistics(t), ids, "statistic", ["late", "early", "step"], rules
     )
-    ids = ["range", "column_name"]
     return pivoted.select(
         *ids, *[F.round(c, 6).alias(c) for c in pivoted.columns if c not in ids]
     )
@@ -892,21 +903,21 @@ def json_props(t: Tables) -> DataFrame:
 
 @query(
     """
-    select event_id, event_type as title, 'bar' as body, cast(user_id as varchar) as user_id
+    select event_id, event_type as action, 'u' || user_id as actor, 'a b' as note
     from events
     """
 )
 def form_body(t: Tables) -> DataFrame:
-    body = F.format_string("title=%s&body=bar&userId=%d", "event_type", "user_id")
-    forms = parse_form(t.events.select("event_id", body.alias("form")), "form")
+    forms = parse_form(t.events.select("event_id", _event_form().alias("form")), "form")
     return forms.select(
-        "event_id",
-        F.col("form")["title"].alias("title"),
-        F.col("form")["body"].alias("body"),
-        F.col("form")["userId"].alias("user_id"),
+        "event_id", *[F.col("form")[name].alias(name) for name in ("action", "actor", "note")]
     )
 
 
+def _event_form() -> Column:
+    return F.format_string("action=%s&actor=u%d&note=a+b", "event_type", "user_id")
+
+
 # --- checks -----------------------------------------------------------------------------
 
 
@@ -928,23 +939,23 @@ def _stability(max_psi: float | None) -> StablePopulation:
     select 'known type' as "check", 'good_type' as "column", 'warning' as severity,
            count(*) as evaluated, count(*) - count(good_type) as unexpected,
            count(good_type) / count(*) as success_ratio, cast(null as double) as observed,
-           count(good_type) / count(*) >= 0.66 as success
+           count(good_type) / count(*) >= 0.7 as success
     from e
     union all
     select 'greater_than(value)', 'value', 'critical', count(value),
-           count(*) filter (where value <= 25),
-           (count(value) - count(*) filter (where value <= 25)) / count(value), null,
-           (count(value) - count(*) filter (where value <= 25)) / count(value) >= 1
+           count(*) filter (where value <= 2.5),
+           (count(value) - count(*) filter (where value <= 2.5)) / count(value), null,
+           (count(value) - count(*) filter (where value <= 2.5)) / count(value) >= 0.9
     from e
     union all
     select 'between(value)', 'value', 'critical', count(value),
-           count(*) filter (where value < 0),
-           (count(value) - count(*) filter (where value < 0)) / count(value), null,
-           (count(value) - count(*) filter (where value < 0)) / count(value) >= 1
+           count(*) filter (where value > 300),
+           (count(value) - count(*) filter (where value > 300)) / count(value), null,
+           (count(value) - count(*) filter (where value > 300)) / count(value) >= 1
     from e
     union all
     select 'aggregate_between(value)', 'value', 'critical', count(value), null, null,
-           round(avg(value), 6), avg(value) >= 1 and avg(value) < 40
+           round(avg(value), 6), avg(value) >= 20 and avg(value) < 60
     from e
     union all
     select 'equals(good_type)', 'good_type', 'critical', count(*),
@@ -959,10 +970,10 @@ def checks_events(t: Tables) -> DataFrame:
     results = run_checks(
         events,
         [
-            NotNull(column="good_type", mostly=0.66, severity="warning", name="known type"),
-            GreaterThan(column="value", bound=25),
-            Between(column="value", min_value=0),
-            AggregateBetween(column="value", min_value=1, max_value=40, strict_max=True),
+            NotNull(column="good_type", mostly=0.7, severity="warning", name="known type"),
+            GreaterThan(column="value", bound=2.5, mostly=0.9),
+            Between(column="value", max_value=300),
+            AggregateBetween(column="value", min_value=20, max_value=60, strict_max=True),
             Equals(column="good_type", constant="click", mostly=0.1),
         ],
     )
@@ -984,9 +995,9 @@ def check_stability(t: Tables) -> DataFrame:
     )
 
 
-@query("select * from events where value <= 25", name="failing_rows")
+@query("select * from events where value <= 12.5", name="failing_rows")
 def failing_events(t: Tables) -> DataFrame:
-    return failing_rows(t.events, GreaterThan(column="value", bound=25))
+    return failing_rows(t.events, GreaterThan(column="value", bound=12.5))
 
 
 # --- external calls -----------------------------------------------------------------------
@@ -997,7 +1008,8 @@ def failing_events(t: Tables) -> DataFrame:
     select event_id,
            case event_id % 10 when 0 then null when 1 then 500 else 201 end as status,
            case event_id % 10 when 0 then 'timeout' when 1 then 'error' else 'success' end
-             as outcome
+             as outcome,
+           event_type as action, 'u' || user_id as actor
     from events
     """,
     name="call_external",
@@ -1009,11 +1021,11 @@ def external_calls(t: Tables) -> DataFrame:
             raise TimeoutError
         return 500 if last_digit == 1 else 201
 
-    # Calls wait on the service, so the rows are spread over all cores.
-    cores = t.spark.sparkContext.defaultParallelism
-    events = t.events.select("event_id", "event_type")
-    called = call_external(events, answer, ["event_id", "event_type"], n_partitions=cores)
-    return called.select("event_id", "status", "outcome")
+    events = t.events.select("event_id", _event_form().alias("form"))
+    called = parse_form(call_external(events, answer, ["event_id", "form"]), "form")
+    return called.select(
+        "event_id", "status", "outcome", *[F.col("form")[n].alias(n) for n in ("action", "actor")]
+    )
 
 
 def queries() -> dict[str, Query]:

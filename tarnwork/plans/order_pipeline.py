@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import argparse
 import os
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 from functools import partial
 
@@ -83,10 +83,15 @@ def build_order_details(
     order_columns: Sequence[str] = ORDER_COLUMNS,
     detail_key: str = "order_id",
     detail_columns: Sequence[str] = DETAIL_COLUMNS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """The published table: order columns and detail columns, one row per detail."""
+    """The published table: order columns and detail columns, one row per detail.
+
+    Spark splits the details of a huge order at run time; ``hot``, the list of such
+    orders from :func:`tarnwork.operators.joins.hot_keys`, salts them instead.
+    """
     return enrich_details(
-        orders.select(*order_columns), details, order_key, detail_key, detail_columns
+        orders.select(*order_columns), details, order_key, detail_key, detail_columns, hot
     )
 
 
@@ -105,21 +110,33 @@ def run(
     tables_path: str,
     details_csv: str,
     result_csv: str,
-    result_table: str = "order_details_complete",
+    result_table: str = "published_order_lines",
     day: str | None = None,
     strides: int = 8,
     result_mode: str = "append",
+    result_files: int | None = None,
+    stride_columns: Mapping[str, str] | None = None,
     **options: str,
 ) -> DataFrame:
     """The whole pipeline for one day, or for all days.
 
+    ``stride_columns`` names a numeric or date column of each large table besides
+    ``orders``, by which it is read in ``strides`` parallel parts; a table that is not
+    named comes over one connection into one task. ``result_files`` is the number of
+    CSV files (None: as many as the result has partitions).
+
     The loop runs once per source table, each turn a distributed job of its own.
     """
     orders_path = f"{tables_path}/orders"
     orders_schema = None
     for table in [row[0] for row in list_jdbc_tables(spark, url, **options).collect()]:
         if table != "orders":
-            extract_table(read_jdbc(spark, url, table, **options), f"{tables_path}/{table}")
+            column = (stride_columns or {}).get(table)
+            if column:
+                rows = read_jdbc_partitioned(spark, url, table, column, strides, **options)
+            else:
+                rows = read_jdbc(spark, url, table, **options)
+            extract_table(rows, f"{tables_path}/{table}")
             continue
         source = read_jdbc_partitioned(
             spark, url, orders_query(day), "order_id", strides, **options
@@ -135,7 +152,7 @@ def run(
     return publish(
         result,
         partial(write_jdbc, url=url, table=result_table, mode=result_mode, **options),
-        partial(write_csv, path=result_csv, single_file=True),
+        partial(write_csv, path=result_csv, n_files=result_files),
     )
 
 

@@ -11,10 +11,6 @@ from pyspark.sql import types as T
 
 from tarnwork.scratch import materialize
 
-#: Largest number of rows one CSV file is asked to hold.
-ROWS_PER_SINGLE_FILE = 1_000_000
-
-
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -32,20 +28,16 @@ def read_csv(
 def write_csv(
     df: DataFrame,
     path: str,
-    single_file: bool = False,
+    n_files: int | None = None,
     mode: str = "overwrite",
-    rows_per_file: int = ROWS_PER_SINGLE_FILE,
 ) -> None:
     """CSV with a header.
 
-    ``single_file`` is for reports: up to ``rows_per_file`` rows go into one
-    file. A larger result is spread over as many files as it needs, so one task
-    never writes more than about that many rows. ``df`` is counted first; pass
-    one that is cheap to read twice.
+    Rows are dealt to ``n_files`` files, each written by one task; None keeps the
+    partitions as they are. One file is for reports of known size.
     """
-    if single_file:
-        n_files = -(-df.count() // rows_per_file)
-        df = df.coalesce(1) if n_files <= 1 else df.repartition(n_files)
+    if n_files is not None:
+        df = df.repartition(n_files)
     df.write.mode(mode).option("header", True).csv(path)
 
 

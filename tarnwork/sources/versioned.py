@@ -1,8 +1,11 @@
 """Versioned tables: each version is a complete parquet snapshot.
 
 ``<path>/version=N`` holds version N. A version counts once Spark's ``_SUCCESS``
-marker is there, so a write that broke off is never read; a second writer of the
-same version fails because the directory exists. Nothing is ever overwritten.
+marker is there, so a write that broke off is never read, and the next version takes a
+number above it. One writer at a time: two that start together may pick the same
+number, and then usually, but not always, one of them fails. Nothing is overwritten.
+
+:func:`upsert_partitions` changes a plain partitioned table in place instead.
 """
 
 from __future__ import annotations
@@ -15,11 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarnwork.operators.joins import as_list, fits_broadcast
 from tarnwork.operators.keyed import upsert
+from tarnwork.scratch import materialize
+from tarnwork.sources.files import write_partitioned
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """The complete versions of a table, oldest first."""
+def versions(spark: SparkSession, path: str, unfinished: bool = False) -> list[int]:
+    """The complete versions of a table, oldest first; ``unfinished`` ones too if asked."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -29,7 +35,7 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     for status in fs.listStatus(root):
         match = re.fullmatch(r"version=(\d+)", status.getPath().getName())
         marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if match and fs.exists(marker):
+        if match and (unfinished or fs.exists(marker)):
             found.append(int(match.group(1)))
     return sorted(found)
 
@@ -38,7 +44,8 @@ def _write_version(
     df: DataFrame, path: str, version: int, partition_by: Sequence[str] | None
 ) -> None:
     # Partition directories carry no types, so the schema is kept next to the data.
-    schema = df.sparkSession.range(1).select(F.lit(df.schema.json()).alias("schema"))
+    facts = {"schema": df.schema.jsonValue(), "partition_by": list(partition_by or [])}
+    schema = df.sparkSession.range(1).select(F.lit(json.dumps(facts)).alias("facts"))
     schema.coalesce(1).write.mode("overwrite").text(f"{path}/_schema/version={version}")
     target = f"{path}/version={version}"
     if not partition_by:
@@ -51,11 +58,16 @@ def _write_version(
 def create_versioned(
     df: DataFrame, path: str, partition_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """Write version 0 and return it."""
+    """Write the first version and return it."""
     if versions(df.sparkSession, path):
         raise ValueError(f"a versioned table already exists at {path}")
-    _write_version(df, path, 0, partition_by)
-    return read_version(df.sparkSession, path, 0)
+    version = max(versions(df.sparkSession, path, unfinished=True), default=-1) + 1
+    _write_version(df, path, version, partition_by)
+    return read_version(df.sparkSession, path, version)
+
+
+def _facts(spark: SparkSession, path: str, version: int) -> dict:
+    return json.loads(spark.read.text(f"{path}/_schema/version={version}").first()[0])
 
 
 def read_version(
@@ -71,8 +83,7 @@ def read_version(
         version = known[-1]
     elif version not in known:
         raise ValueError(f"version {version} not found at {path}; there are {known}")
-    text = spark.read.text(f"{path}/_schema/version={version}").first()[0]
-    schema = T.StructType.fromJson(json.loads(text))
+    schema = T.StructType.fromJson(_facts(spark, path, version)["schema"])
     return spark.read.schema(schema).parquet(f"{path}/version={version}").select(*schema.names)
 
 
@@ -87,10 +98,42 @@ def upsert_versioned(
 ) -> int:
     """Merge ``source`` into the latest version, write the result as the next one.
 
-    Returns the new version number. Earlier versions stay readable.
+    Returns the new version number. Earlier versions stay readable. Unless
+    ``partition_by`` is given, the layout of the latest version is kept.
     """
+    target = read_version(spark, path)
     latest = versions(spark, path)[-1]
-    target = read_version(spark, path, latest)
+    if partition_by is None:
+        partition_by = _facts(spark, path, latest)["partition_by"]
     merged = upsert(target, source, keys, update_cols, insert_cols)
-    _write_version(merged, path, latest + 1, partition_by)
-    return latest + 1
+    version = versions(spark, path, unfinished=True)[-1] + 1
+    _write_version(merged, path, version, partition_by)
+    return version
+
+
+def upsert_partitions(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: str | Sequence[str],
+    partition_by: Sequence[str],
+    update_cols: Sequence[str] | None = None,
+    insert_cols: Sequence[str] | None = None,
+) -> None:
+    """Merge ``source`` into a plain parquet table, rewriting only the partitions it touches.
+
+    The partition columns have to be among the keys, so a row never changes its
+    partition. Partitions without source rows are neither read nor written.
+    """
+    key_columns = as_list(keys)
+    if not set(partition_by) <= set(key_columns):
+        raise ValueError("the partition columns have to be keys")
+    stored = materialize(source, "upsert-source")
+    touched = materialize(stored.select(*partition_by).distinct(), "touched")
+    match = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in partition_by]
+    wanted = touched.select(*[F.col(c).alias(f"_t_{c}") for c in partition_by])
+    wanted = F.broadcast(wanted) if fits_broadcast(touched) else wanted
+    target = spark.read.parquet(path).join(wanted, match, "left_semi")
+    merged = upsert(target, stored, key_columns, update_cols, insert_cols)
+    # Stored first: the write replaces the files that the merge reads.
+    write_partitioned(materialize(merged, "upserted"), path, partition_by)

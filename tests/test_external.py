@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from tarnwork.operators.external import call_external
@@ -16,7 +17,7 @@ def test_every_row_gets_one_outcome(spark, rows):
         return 500 if payload["id"] % 10 == 1 else 201
 
     df = spark.range(100_000).select("id", F.concat(F.lit("foo_"), "id").alias("label"))
-    called = materialize(call_external(df, answer, ["id", "label"], n_partitions=20))
+    called = materialize(call_external(df, answer, ["id", "label"], rows_per_task=5000))
     assert called.columns == ["id", "label", "status", "outcome"]
     counts = called.groupBy("outcome", "status").count()
     assert rows(counts) == [("error", 500, 10_000), ("success", 201, 80_000), ("timeout", None, 10_000)]
@@ -59,8 +60,43 @@ def test_null_and_large_numbers_pass_through(spark, rows):
     ]
     with pytest.raises(ValueError):
         call_external(df, answer, ["big"], max_in_flight=0)
+    with pytest.raises(ValueError):
+        call_external(df.withColumn("outcome", F.lit(1)), answer, ["big"])
+
+
+def test_mistakes_of_the_callback_fail_the_job(spark):
+    def answer(payload, timeout_s):
+        return payload["no such key"]
+
+    with pytest.raises(PythonException, match="no such key"):
+        call_external(spark.range(3), answer, ["id"]).collect()
+
+
+def test_network_errors_count_as_timeouts(spark, rows):
+    def answer(payload, timeout_s):
+        raise ConnectionResetError
+
+    assert rows(call_external(spark.range(1), answer, ["id"])) == [(0, None, "timeout")]
+
+
+def test_the_next_batch_starts_before_the_last_call_ends(spark):
+    def answer(payload, timeout_s):
+        import time
+
+        if payload["id"] == 0:
+            time.sleep(1.0)
+        return int(time.time() * 1000) % 1_000_000_000
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        got = call_external(spark.range(0, 10, 1, 1), answer, ["id"], max_in_flight=2).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    when = {r.id: r.status for r in got}
+    assert when[7] < when[0]
 
 
 def test_response_body_to_map(spark):
-    df = spark.createDataFrame([("title=foo_1&body=bar&userId=1",)], "body string")
-    assert parse_form(df, "body").first().body == {"title": "foo_1", "body": "bar", "userId": "1"}
+    df = spark.createDataFrame([("colour=blue&size=7&n=",)], "body string")
+    assert parse_form(df, "body").first().body == {"colour": "blue", "size": "7", "n": ""}

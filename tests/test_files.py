@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import glob
+import os
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
+from tarnwork import scratch
 from tarnwork.operators.shape import with_date_parts
-from tarnwork.scratch import materialize, scratch_path
+from tarnwork.scratch import materialize
 from tarnwork.sources.files import (
     list_periods,
     publish,
@@ -35,7 +37,7 @@ def dated(spark):
 
 def test_csv_roundtrip(spark, tmp_path, rows):
     df = spark.createDataFrame([(1, "a,b"), (2, None)], "id int, v string")
-    write_csv(df, str(tmp_path / "c"), single_file=True)
+    write_csv(df, str(tmp_path / "c"), n_files=1)
     assert len(glob.glob(str(tmp_path / "c" / "*.csv"))) == 1
     back = read_csv(spark, str(tmp_path / "c"))
     assert [f.dataType.simpleString() for f in back.schema.fields] == ["string", "string"]
@@ -44,11 +46,12 @@ def test_csv_roundtrip(spark, tmp_path, rows):
     assert rows(typed) == [(1, "a,b"), (2, None)]
 
 
-def test_single_csv_splits_when_large(spark, tmp_path):
-    df = spark.range(1000)
-    write_csv(df, str(tmp_path / "c"), single_file=True, rows_per_file=300)
-    assert 2 <= len(glob.glob(str(tmp_path / "c" / "*.csv"))) <= 4
-    assert read_csv(spark, str(tmp_path / "c")).count() == 1000
+@pytest.mark.parametrize("n_rows", [30, 3000])
+def test_number_of_csv_files_does_not_follow_the_size(spark, tmp_path, n_rows):
+    for n_files in (1, 3):
+        write_csv(spark.range(n_rows), str(tmp_path / "c"), n_files=n_files)
+        assert len(glob.glob(str(tmp_path / "c" / "*.csv"))) == n_files
+        assert read_csv(spark, str(tmp_path / "c")).count() == n_rows
 
 
 def test_json_multiline_and_lines(spark, tmp_path, rows):
@@ -113,20 +116,42 @@ def test_publish_computes_once(spark, tmp_path, rows):
     stored = publish(
         df,
         lambda d: d.write.parquet(str(tmp_path / "a")),
-        lambda d: write_csv(d, str(tmp_path / "b"), single_file=True),
+        lambda d: write_csv(d, str(tmp_path / "b"), n_files=1),
     )
     assert stored.count() == spark.read.parquet(str(tmp_path / "a")).count() == 50
     assert seen.value == 50
 
 
-def test_scratch_follows_the_session(spark):
-    class Session:
-        def __init__(self, folder):
-            self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+class Session:
+    """A session that knows only its settings and master."""
 
-    assert scratch_path(Session("hdfs://shared/ck/"), "x").startswith("hdfs://shared/ck/tarnwork/x-")
-    assert scratch_path(Session("s3://b/ck"), "x") != scratch_path(Session("s3://b/ck"), "x")
-    assert "tarnwork" in scratch_path(Session(None), "x")
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        assert f"{folder}/tarnwork/" in materialize(spark.range(3)).inputFiles()[0]
+    def __init__(self, folder=None, checkpoint=None, master="local[2]"):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = self
+        self.master, self.checkpoint = master, checkpoint
+
+    def getCheckpointDir(self):
+        return self.checkpoint
+
+
+def test_scratch_follows_the_session(monkeypatch):
+    monkeypatch.setattr(scratch, "_written", [])
+    named = Session("hdfs://shared/ck/", "hdfs://other", "yarn")
+    assert scratch.scratch_path(named, "x").startswith("hdfs://shared/ck/tarnwork/x-")
+    assert scratch.scratch_path(named, "x") != scratch.scratch_path(named, "x")
+    set_in_context = Session(None, "hdfs://other/ck", "spark://host:7077")
+    assert scratch.scratch_path(set_in_context, "x").startswith("hdfs://other/ck/tarnwork/x-")
+    for master in ("local", "local[2]"):
+        assert "tarnwork" in scratch.scratch_path(Session(master=master), "x")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            scratch.scratch_path(Session(master=master), "x")
+
+
+def test_scratch_can_be_dropped(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_written", [])
+    stored = scratch.materialize(spark.range(3))
+    folder = stored.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    assert os.path.isdir(folder)
+    assert scratch.drop_scratch(spark) == 1 and not os.path.exists(folder)
+    assert scratch.drop_scratch(spark) == 0

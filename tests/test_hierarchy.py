@@ -4,49 +4,43 @@ from pyspark.sql import functions as F
 
 from tarnwork.operators.hierarchy import ancestors, ancestors_by_role
 
-EMPLOYEES = [
-    (801, None), (1016, 801), (1003, 801), (1019, 801), (1010, 1003), (1005, 1003),
-    (1004, 1005), (1001, 1003), (1012, 1004), (1002, 1004), (1015, 1004), (1008, 1019),
-    (1006, 1019), (1014, 1019), (1011, 1019),
-]
-LEADERS = {801: "diretor", 1003: "gerente", 1019: "gerente", 1005: "supervisor", 1004: "supervisor"}
+#: Places and the place each lies in.
+PLACES = [(1, None), (2, 1), (3, 1), (4, 2), (5, 4), (6, 5), (7, 5), (8, 3), (9, 3), (10, 2)]
+KINDS = {1: "site", 2: "hall", 3: "hall", 4: "rack", 5: "rack"}
 
 
 def edges(spark, data):
-    return spark.createDataFrame(data, "employee int, manager int")
+    return spark.createDataFrame(data, "inner int, outer int")
 
 
 def test_ancestors_by_role(spark):
-    roles = spark.createDataFrame(
-        [(e, LEADERS.get(e, "emp")) for e, _ in EMPLOYEES], "level_0 int, cargo string"
-    )
-    pairs = ancestors(edges(spark, EMPLOYEES), "employee", "manager")
-    wanted = ["supervisor", "gerente", "diretor"]
-    listed = ancestors_by_role(pairs, roles, "level_0", "cargo", wanted)
-    assert listed.columns == ["level_0", *wanted]
-    got = {r.level_0: tuple(r)[1:] for r in listed.collect()}
-    expected = {801: ("", "", "")}
-    expected |= dict.fromkeys((1016, 1003, 1019), ("", "", "801"))
-    expected |= dict.fromkeys((1010, 1005, 1001), ("", "1003", "801"))
-    expected |= {1004: ("1005", "1003", "801")}
-    expected |= dict.fromkeys((1012, 1002, 1015), ("1004;1005", "1003", "801"))
-    expected |= dict.fromkeys((1008, 1006, 1014, 1011), ("", "1019", "801"))
+    kinds = spark.createDataFrame([(p, KINDS.get(p, "unit")) for p, _ in PLACES], "place int, kind string")
+    pairs = ancestors(edges(spark, PLACES), "inner", "outer")
+    wanted = ["rack", "hall", "site"]
+    listed = ancestors_by_role(pairs, kinds, "place", "kind", wanted)
+    assert listed.columns == ["place", *wanted]
+    got = {r.place: tuple(r)[1:] for r in listed.collect()}
+    expected = {1: ("", "", ""), 5: ("4", "2", "1")}
+    expected |= dict.fromkeys((2, 3), ("", "", "1"))
+    expected |= dict.fromkeys((4, 10), ("", "2", "1"))
+    expected |= dict.fromkeys((6, 7), ("5;4", "2", "1"))
+    expected |= dict.fromkeys((8, 9), ("", "3", "1"))
     assert got == expected
-    again = ancestors_by_role(pairs, roles, "level_0", "cargo", wanted, rows_per_salt=1)
-    assert {r.level_0: tuple(r)[1:] for r in again.collect()} == expected
+    again = ancestors_by_role(pairs, kinds, "place", "kind", wanted, rows_per_salt=1)
+    assert {r.place: tuple(r)[1:] for r in again.collect()} == expected
 
 
 def test_second_hierarchy(spark, rows):
-    data = [(2, None), *[(e, 2) for e in (1, 3, 4, 5, 8)], *[(e, 5) for e in (6, 7, 9)]]
-    pairs = ancestors(edges(spark, data), "employee", "manager")
-    assert pairs.count() == 11
-    assert pairs.agg(F.max("depth")).first()[0] == 2
+    data = [(50, None), (51, 50), (52, 50), (53, 50), (54, 52), (55, 52), (56, 55)]
+    pairs = ancestors(edges(spark, data), "inner", "outer")
+    assert pairs.count() == 10
+    assert pairs.agg(F.max("depth")).first()[0] == 3
 
 
 def test_cycles_end(spark, rows):
-    two = ancestors(edges(spark, [(1, 2), (2, 1)]), "employee", "manager")
+    two = ancestors(edges(spark, [(1, 2), (2, 1)]), "inner", "outer")
     assert rows(two, "node", "ancestor") == [(1, 2), (2, 1)]
-    tail = ancestors(edges(spark, [(1, 2), (2, 3), (3, 1), (4, 1), (5, 5)]), "employee", "manager")
+    tail = ancestors(edges(spark, [(1, 2), (2, 3), (3, 1), (4, 1), (5, 5)]), "inner", "outer")
     assert rows(tail) == [
         (1, 2, 1), (1, 3, 2), (2, 1, 2), (2, 3, 1), (3, 1, 1), (3, 2, 2),
         (4, 1, 1), (4, 2, 2), (4, 3, 3),
@@ -62,7 +56,7 @@ def test_long_chain(spark):
 
 def test_shortest_distance_with_two_parents(spark, rows):
     data = [(1, 2), (2, 3), (1, 3), (3, 4)]
-    assert rows(ancestors(edges(spark, data), "employee", "manager")) == [
+    assert rows(ancestors(edges(spark, data), "inner", "outer")) == [
         (1, 2, 1), (1, 3, 1), (1, 4, 2), (2, 3, 1), (2, 4, 2), (3, 4, 1),
     ]
 
@@ -83,4 +77,4 @@ def test_salted_walk_equals_recursive_cte(spark, rows):
 
 
 def test_no_edges(spark):
-    assert ancestors(edges(spark, [(1, None)]), "employee", "manager").count() == 0
+    assert ancestors(edges(spark, [(1, None)]), "inner", "outer").count() == 0

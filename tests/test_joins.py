@@ -75,6 +75,24 @@ def test_salted_join_keeps_duplicate_dimension_rows(skewed, rows):
     assert rows(salted_join(fact, doubled, "plan", hot=hot)) == rows(plain)
 
 
+def test_a_key_listed_twice_does_not_multiply_rows(skewed, rows):
+    fact, dim = skewed
+    hot = hot_keys(fact, "plan", rows_per_salt=500)
+    twice = hot.unionAll(hot.withColumn("_salts", F.col("_salts") + 1))
+    plain = fact.join(dim, "plan", "left").select("id", "phone", "plan", "name", "level")
+    assert rows(salted_join(fact, dim, "plan", hot=twice)) == rows(plain)
+
+
+def test_a_long_list_of_hot_keys_is_not_broadcast(skewed, rows, monkeypatch):
+    from tarnwork.operators import joins
+
+    fact, dim = skewed
+    monkeypatch.setattr(joins, "fits_broadcast", lambda table: False)
+    hot = hot_keys(fact, "plan", rows_per_salt=100)
+    plain = fact.join(dim, "plan", "left").select("id", "phone", "plan", "name", "level")
+    assert rows(salted_join(fact, dim, "plan", hot=hot)) == rows(plain)
+
+
 def test_salted_join_arguments(skewed):
     fact, dim = skewed
     with pytest.raises(ValueError):

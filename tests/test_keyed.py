@@ -8,38 +8,13 @@ from pyspark.sql import functions as F
 from tarnwork.operators.keyed import dedup_latest, merge_snapshot, upsert
 
 
-def moment(text):
-    return datetime.strptime(text, "%Y-%m-%d %H:%M:%S")
-
-
-TRANSACTIONS_SCHEMA = (
-    "cd_id string, ts_last_transaction_date timestamp, vl_price string, nm_arquivo string, "
-    "dt_arquivots timestamp, ts_currentdate timestamp, dat_ref string"
-)
-TRANSACTION_KEYS = ["cd_id", "nm_arquivo", "dt_arquivots", "ts_currentdate", "dat_ref"]
-
-
-def transaction(when, price):
-    return (
-        "id1",
-        when and moment(when),
-        price,
-        "20241012_RAW_DATA.txt",
-        moment("2024-10-13 03:14:50"),
-        moment("2024-10-13 11:07:57"),
-        "2024-10-12",
-    )
-
-
 @pytest.mark.parametrize("ties", ["one", "all"])
 def test_dedup_latest_keeps_newest(spark, ties):
-    df = spark.createDataFrame(
-        [transaction("2023-12-18 12:22:13", "-14.90"), transaction("2024-05-13 12:39:08", "-12.90")],
-        TRANSACTIONS_SCHEMA,
-    )
-    got = dedup_latest(df, TRANSACTION_KEYS, "ts_last_transaction_date", ties=ties)
+    readings = [("w7", 2, datetime(2021, 3, day, hour), level) for day, hour, level in [(4, 9, 1.5), (11, 6, 0.25), (4, 23, 8.0)]]
+    df = spark.createDataFrame(readings, "well string, probe int, seen timestamp, level double")
+    got = dedup_latest(df, ["well", "probe"], "seen", ties=ties)
     assert got.columns == df.columns
-    assert [r.vl_price for r in got.collect()] == ["-12.90"]
+    assert [r.level for r in got.collect()] == [0.25]
 
 
 def test_dedup_latest_exact_tie(spark, rows):
@@ -100,6 +75,30 @@ def test_merge_snapshot_columns_follow_history(spark, rows):
     assert rows(merged) == [(1, "b", 1.0), (2, "c", None)]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    ("value", "kind"), [("abc", "string"), (3_000_000_000, "long"), (1.5, "double"), (float("nan"), "double")]
+)
+def test_values_that_do_not_fit_raise(spark, ansi, value, kind):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        history = spark.createDataFrame([(1, 5)], "id int, v int")
+        for schema, row in ((f"id {kind}, v int", (value, 1)), (f"id int, v {kind}", (1, value))):
+            updates = spark.createDataFrame([row], schema)
+            for merge in (merge_snapshot, upsert):
+                with pytest.raises(Exception, match="does not fit"):
+                    merge(history, updates, "id")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_values_that_fit_are_converted(spark, rows):
+    history = spark.createDataFrame([(1, 5)], "id int, v int")
+    updates = spark.createDataFrame([("1", 7.0), ("2", None)], "id string, v double")
+    assert rows(upsert(history, updates, "id")) == [(1, 7), (2, None)]
+
+
 @pytest.mark.parametrize("broadcast_rows", [0, 1000])
 def test_merge_snapshot_equals_full_outer_join(spark, rows, broadcast_rows):
     history = spark.range(0, 200, 3).select(

@@ -72,7 +72,7 @@ def test_one_day(spark, shop, rows):
     result = run(spark, path, day="19980504")
     assert result.columns == [*pipeline.ORDER_COLUMNS, *pipeline.DETAIL_COLUMNS]
     assert rows(result, "order_id", "unit_price") == [(11067, "1.0"), (11067, "9.8"), (11069, "5.0")]
-    assert written == [("order_details_complete", "append", 3)]
+    assert written == [("published_order_lines", "append", 3)]
     assert read_csv(spark, str(path / "result")).count() == 3
     extracted = read_partitions(spark, str(path / "tables" / "orders"))
     assert {r.day for r in extracted.select("day").distinct().collect()} == {19980504}
@@ -88,6 +88,20 @@ def test_all_days_then_one_day_again(spark, shop):
     assert [w[1:] for w in written] == [("overwrite", 4), ("append", 3)]
 
 
+def test_named_tables_are_read_in_strides(spark, shop, monkeypatch):
+    path, _ = shop
+    strides = []
+    plain = pipeline.read_jdbc_partitioned
+
+    def read(session, url, query, column, n, **options):
+        strides.append((query.split()[0], column, n))
+        return plain(session, url, query, column, n, **options)
+
+    monkeypatch.setattr(pipeline, "read_jdbc_partitioned", read)
+    run(spark, path, strides=3, stride_columns={"region": "id"}, result_files=2)
+    assert ("region", "id", 3) in strides and len(list((path / "result").glob("*.csv"))) == 2
+
+
 def test_day_without_orders(spark, shop):
     path, _ = shop
     assert run(spark, path, day="19990101").count() == 0
