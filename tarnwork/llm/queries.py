@@ -69,7 +69,57 @@ def op9_hash_threshold_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query()
+def _rules_sql() -> str:
+    lengths = list(rules.NGRAM_LIMITS)
+    dups = ", ".join(f"coalesce(dup_chars_{n}, 0) as dup_chars_{n}" for n in lengths)
+    sums = ", ".join(
+        f"cast(sum(length(words[p])) filter (where n = {n}) as bigint) as dup_chars_{n}" for n in lengths
+    )
+    fine = " and ".join(f"dup_chars_{n} <= {x} * word_chars" for n, x in rules.NGRAM_LIMITS.items())
+    space = r"[\x20\x09-\x0D]+"
+    return rf"""
+    with docs as (
+        select doc_id, coalesce(text, '') as text,
+               [x for x in string_split_regex(coalesce(text, ''), '{space}') if x <> ''] as words
+        from documents),
+    runs as (
+        select doc_id, n, i, array_to_string(words[i:i + n - 1], ' ') as run
+        from docs, (select unnest({[3, *lengths]}) as n) as lengths,
+             lateral (select unnest(range(1, greatest(len(words) - n + 2, 1))) as i) as places),
+    marked as (
+        select doc_id, n, i, row_number() over (partition by doc_id, n, run order by i) as nth,
+               count(*) over (partition by doc_id, n, run) as times
+        from runs),
+    hits as (
+        select distinct doc_id, n, unnest(range(i, i + n)) as p from marked
+        where case when n = 3 then times > 1 else nth > 1 end),
+    covered as (
+        select doc_id, count(*) filter (where n = 3) as n_repeat_words, {sums}
+        from hits join docs using (doc_id) group by doc_id),
+    lines as (
+        select doc_id, line, count(*) - 1 as again,
+               length(regexp_replace(line, '{space}', '', 'g')) as chars
+        from (select doc_id, unnest(string_split(text, chr(10))) as line from docs) as split
+        group by doc_id, line),
+    repeats as (
+        select doc_id, cast(sum(again) as bigint) as n_dup_lines,
+               cast(sum(again * chars) as bigint) as dup_line_chars
+        from lines where chars > 0 group by doc_id),
+    measured as (
+        select doc_id, len(words) as n_words, length(array_to_string(words, '')) as word_chars,
+               length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+               coalesce(n_dup_lines, 0) as n_dup_lines,
+               coalesce(n_repeat_words, 0) as n_repeat_words,
+               coalesce(dup_line_chars, 0) as dup_line_chars, {dups}
+        from docs left join covered using (doc_id) left join repeats using (doc_id)),
+    judged as (
+        select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from measured)
+    select *, not base_failed and dup_line_chars <= {rules.LINE_LIMIT} * word_chars and {fine} as kept
+    from judged
+    """
+
+
+@query(_rules_sql())
 def op10_repetition_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return rules.apply_rules(docs, keep=("doc_id",))
@@ -96,7 +146,31 @@ def op1_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pseudonymize(docs, PSEUDONYM_KEY)
 
 
-@query()
+@query(
+    r"""
+    with turns as (
+        select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+        from conversations
+        union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+        union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    written as (
+        select *, role || text as said,
+               length('<|turn:' || role || '|>' || chr(10) || text || '<|end|>' || chr(10)) as plain
+        from turns)
+    select conv_id, count(*) as n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text))
+             as turns_sha256,
+           cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint)
+             as loss_chars,
+           sha256(coalesce(string_agg(text, '' order by turn, role, text)
+                             filter (where role = 'assistant'), '')) as loss_sha256,
+           cast(sum(plain + length(said)
+                    - length(replace(replace(replace(said, '\', ''), '<', ''), '|', ''))) as bigint)
+             as formatted_chars,
+           cast(0 as bigint) as n_attachments, cast(0 as bigint) as attachment_tokens
+    from written group by conv_id
+    """
+)
 def op3_typed_chat(spark: SparkSession, folder: str) -> DataFrame:
     turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(

@@ -8,7 +8,6 @@ parallel, and looking up documents skips files, stripes and row groups by metada
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import partial
@@ -16,45 +15,46 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tarnwork.llm.words import Piece, pieces, spread
 from tarnwork.scratch import materialize
 
 END_ID = 2
-#: Encoded pieces that a task remembers before it starts over.
-MEMO = 800_000
-#: Bytes of text that are encoded together.
-CHUNK_BYTES = 4 << 20
+#: Distinct pieces that a task remembers before it starts over.
+MEMO = 2_000_000
 
-#: A byte-level pre-tokenizer never joins a visible character with white space after it,
-#: so a text may be cut there and the pieces be encoded one by one, each distinct one
-#: once. ``_RUN`` finds texts that hold longer runs of white space, or the mark below.
-_CUT = re.compile(r"(?<=\S)(?=[ \n])")
-_RUN = re.compile(r"^ |\s[ \n]|\0")
-#: Before the first piece of a text, and before one that brings its own white space.
-_BARE = "\0"
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_ASCII = np.arange(256) < 128
+_GAP = np.isin(np.arange(256), [10, 32])
+_VISIBLE = (np.arange(256) > 32) & (np.arange(256) < 127)
 
 
-def cut(text: str) -> list[str]:
-    """Pieces of a text: a space goes before each that begins with neither \\n nor \\0."""
-    if not text:
-        return []
-    if _RUN.search(text):
-        return [_BARE + piece for piece in _CUT.split(text)]
-    pieces = text.replace("\n", " \n").split(" ")
-    pieces[0] = _BARE + pieces[0]
-    return pieces
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Places at which a byte-level pre-tokenizer always cuts a text.
 
-
-def _spelled(piece: str) -> str:
-    first = piece[:1]
-    return piece[1:] if first == _BARE else piece if first == "\n" else " " + piece
+    It takes runs of letters, of digits and of other signs, each with at most one space
+    before. So a run of letters ends before any other ASCII character, and nothing
+    visible is joined with white space after it. Letters are told from their bytes:
+    ASCII, and the Latin letters from U+00C0 to U+024F. Other places are left uncut.
+    """
+    latin = np.zeros(len(data), bool)  # last byte of a two-byte Latin letter
+    lead, last = data[:-1], data[1:]
+    latin[1:] = (lead >= 0xC3) & (lead <= 0xC8) & (last >= 0x80)
+    latin[1:] &= ~((lead == 0xC3) & ((last == 0x97) | (last == 0xB7)))  # the signs x and :
+    before = _LETTER[data] | latin
+    after_letters = before[:-1] & (_ASCII & ~_LETTER)[data[1:]]
+    after_signs = _VISIBLE[data[:-1]] & _GAP[data[1:]]
+    return np.flatnonzero(after_letters | after_signs) + 1
 
 
 class _Encoder:
-    """Encodes texts piece by piece, remembering pieces."""
+    """Encodes texts piece by piece, each distinct piece once.
+
+    Pieces are told apart by 64-bit hashes, in numpy; only new ones become strings.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -64,48 +64,51 @@ class _Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.keys = np.zeros(0, np.uint64)  # ascending
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids, self.used = np.zeros(1 << 20, np.int32), 0
-        self.starts, self.lengths = np.zeros(MEMO, np.int64), np.zeros(MEMO, np.int64)
-
-    def _learn(self, new: list[str]) -> None:
-        n = len(self.known)
-        room = n + len(new)
-        if room > len(self.starts):
-            self.starts = np.resize(self.starts, 2 * room)
-            self.lengths = np.resize(self.lengths, 2 * room)
-        spelled = list(map(_spelled, new))
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(spelled, add_special_tokens=False)]
+
+    def _learn(self, keys: np.ndarray, pieces_: list[str]) -> None:
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(pieces_, add_special_tokens=False)]
         lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
         flat = np.fromiter(chain.from_iterable(encoded), np.int32, int(lengths.sum()))
         while self.used + len(flat) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * len(self.ids))
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.int32)])
         self.ids[self.used : self.used + len(flat)] = flat
-        self.starts[n:room] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[n:room] = lengths
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.starts = np.insert(self.starts, at, self.used + np.cumsum(lengths) - lengths)
+        self.lengths = np.insert(self.lengths, at, lengths)
         self.used += len(flat)
-        self.known.update(zip(new, range(n, room)))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, each with the end id, and how many each has."""
-        if len(self.known) > MEMO:
+    def encode(self, piece: Piece) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, each text's followed by the end id, and how many each has."""
+        if len(self.keys) > MEMO:
             self.clear()
-        pieces: list[str] = []
-        counts = []
-        for text in texts:
-            found = cut(text)
-            pieces += found
-            counts.append(len(found))
-        new = list(set(pieces) - self.known.keys())
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        lengths, starts = self.lengths[at], self.starts[at]
-        ends = np.cumsum(lengths)
-        sums = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
+        data, bounds = piece.data, piece.bounds
+        opens = np.zeros(len(data) + 1, bool)
+        opens[bounds] = True
+        opens[cuts(data)] = True
+        starts = np.flatnonzero(opens[:-1])
+        ends = np.append(starts[1:], len(data)) if len(starts) else starts
+        keys, first, which = np.unique(
+            piece.hash_spans(starts, ends), return_index=True, return_inverse=True
+        )
+        at = np.searchsorted(self.keys, keys)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == keys[known]
+        if not known.all():
+            text = data.tobytes()
+            new = first[~known]
+            self._learn(keys[~known], [text[a:b].decode() for a, b in zip(starts[new], ends[new])])
+            at = np.searchsorted(self.keys, keys)
+        at = at[which]
+        lengths, where = self.lengths[at], self.starts[at]
+        stops = np.cumsum(lengths)
+        sums = np.concatenate([[0], stops])[np.searchsorted(starts, bounds)]
         n_tokens = np.diff(sums) + 1
-        source = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
-        flat = np.full(len(source) + len(texts), END_ID, np.int32)
+        source = np.arange(sums[-1]) + np.repeat(where - (stops - lengths), lengths)
+        flat = np.full(len(source) + piece.n_texts, END_ID, np.int32)
         keep = np.ones(len(flat), bool)
         keep[np.cumsum(n_tokens) - 1] = False
         flat[keep] = self.ids[source]
@@ -115,22 +118,16 @@ class _Encoder:
 def _encode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     encoder, place = _Encoder(path), 0
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).fill_null("")
-        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-        low = 0
-        while low < len(texts):
-            done = sizes[low - 1] if low else 0
-            high = max(low + 1, int(np.searchsorted(sizes, done + CHUNK_BYTES)))
-            high = min(high, len(texts))
-            flat, counts = encoder.encode(texts.slice(low, high - low).to_pylist())
-            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        ids = batch.column(0)
+        for piece in pieces(batch.column(1)):
+            flat, counts = encoder.encode(piece)
+            offsets = spread(counts).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            places = pa.array(np.arange(place, place + high - low), pa.int64())
-            place += high - low
+            places = pa.array(np.arange(place, place + piece.n_texts), pa.int64())
+            place += piece.n_texts
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(low, high - low), places, lists], ["doc_id", "place", "ids"]
+                [ids.slice(piece.first, piece.n_texts), places, lists], ["doc_id", "place", "ids"]
             )
-            low = high
 
 
 def write_tokens(

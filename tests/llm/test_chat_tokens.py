@@ -6,11 +6,13 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tarnwork.llm import chat, queries, token_files
+from tarnwork.llm.words import pieces
 from tarnwork.scratch import materialize, scratch_path
 
 from .conftest import plain
@@ -70,7 +72,7 @@ def test_chats_of_no_turns(spark):
 
 ODD_TEXTS = [
     "", " ", "  a", "a  b \n\n c", "　 z  \t q", "a\x1c b", "it's  don't\n 12 34\r\n", "日本 語。 \n", "<|endoftext|> a",
-    "a \n b\n", "\n a", "\na", "a\n", "\0x y", "a \0b", "\n\nb", "a  b", "a\u0085\nb", "x" * 3000,
+    "a \n b\n", "\n a", "\na", "a\n", "\0x y", "a \0b", "\n\nb", "a  b", "a\u0085\nb", "x" * 3000, "don't we're they'dx 's ''s", "a×b÷c é×, naïve, Ÿes. łódź; ǆ!", "a1b2 3c,4 5.6", "ab\tc d\r\ne", "é é", "汉a b汉 ",
 ]
 
 
@@ -80,9 +82,12 @@ def test_pieces_encode_like_whole_texts(sample):
     whole.encode_special_tokens = True
     expected = [e.ids + [2] for e in whole.encode_batch(texts, add_special_tokens=False)]
     encoder = token_files._Encoder(TOKENIZER)
-    for _ in range(2):  # with nothing remembered, and with all
-        flat, counts = encoder.encode(texts)
-        assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == expected
+    for limit in (1 << 20, 1 << 20, 2000):  # with nothing remembered, with all, in small pieces
+        got = []
+        for piece in pieces(pa.array(texts), limit=limit):
+            flat, counts = encoder.encode(piece)
+            got += [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])]
+        assert got == expected
 
 
 def expected_index(rows):
