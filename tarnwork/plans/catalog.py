@@ -903,7 +903,7 @@ def json_props(t: Tables) -> DataFrame:
 
 @query(
     """
-    select event_id, event_type as action, 'u' || user_id as actor, 'a b' as note
+    select event_id, event_type as action, 'u' || user_id as actor, 'a+b' as note
     from events
     """
 )

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tarnwork import scratch
 from tarnwork.operators.shape import with_date_parts
-from tarnwork.scratch import materialize
 from tarnwork.sources.files import (
     list_periods,
     publish,
