@@ -8,9 +8,10 @@ parallel, and looking up documents skips files, stripes and row groups by metada
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator, Sequence
-from functools import partial
+from functools import lru_cache, partial
 from itertools import chain
 
 import numpy as np
@@ -22,8 +23,8 @@ from tarnwork.llm.words import Piece, pieces, spread
 from tarnwork.scratch import materialize
 
 END_ID = 2
-#: Distinct pieces that a task remembers before it starts over.
-MEMO = 2_000_000
+#: Distinct pieces that a worker process remembers before it starts over.
+MEMO = 1_000_000
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
@@ -115,8 +116,16 @@ class _Encoder:
         return flat, n_tokens
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> _Encoder:
+    """One encoder per worker process: its pieces serve all tasks that run there."""
+    # Spark runs a task per core; threads of the tokenizer's own would only cost memory.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return _Encoder(path)
+
+
 def _encode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    encoder, place = _Encoder(path), 0
+    encoder, place = _encoder(path), 0
     for batch in batches:
         ids = batch.column(0)
         for piece in pieces(batch.column(1)):
