@@ -2,8 +2,8 @@
 
 Texts become templates: numbers, units after numbers, and capitalised words give way to
 typed placeholders. Hashes of windows of eight template tokens are joined with those of
-the benchmark; windows of one document and item that lie at the same distance form an
-alignment. In an alignment, what stands in the slots must be consistent: a value of the
+the benchmark, and so are those of the text in one letter case, where names stay words;
+windows of one document and item that lie at the same distance form an alignment. In an alignment, what stands in the slots must be consistent: a value of the
 item always became the same value in the document. That holds for verbatim copies and
 for re-parameterised ones, not for texts that merely share phrases.
 
@@ -28,6 +28,11 @@ SHARE = 0.3
 ODD_SLOT = 5
 
 NUMBER, NAME, UNIT = "0", "1", "2"  # no other token holds a digit
+MARKS = (NUMBER, NAME, UNIT)
+
+#: What windows are made of: templates, or texts in one case with numbers and units as
+#: placeholders. Where a pair is found in several views, the first of them is given.
+TEMPLATE, FOLDED = range(2)
 
 # Units that follow a number.
 UNITS = [
@@ -50,45 +55,82 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(text, f"{_SPACE}+"), lambda t: t != "")
 
 
-def template(text: Column) -> Column:
-    """A :func:`plain` text with placeholders: token by token as many as before."""
-    out = F.regexp_replace(text, rf"{_TOKEN_START}[^\x20\x09-\x0D\p{{Nd}}]*\p{{Nd}}{_IN_TOKEN}*", NUMBER)
-    out = F.regexp_replace(out, rf"{_TOKEN_START}\p{{Lu}}{_IN_TOKEN}*", NAME)
+def one_case(text: Column) -> Column:
+    """Equal for texts that differ in letter case only; as many tokens as before."""
+    return F.lower(F.replace(F.upper(text), F.lit("ẞ"), F.lit("SS")))
+
+
+def _numbers(text: Column) -> Column:
+    return F.regexp_replace(text, rf"{_TOKEN_START}[^\x20\x09-\x0D\p{{Nd}}]*\p{{Nd}}{_IN_TOKEN}*", NUMBER)
+
+
+def _units(text: Column) -> Column:
     units = "|".join(UNITS)
-    out = F.regexp_replace(
-        out, rf"(?<={_TOKEN_START}{NUMBER}{_SPACE})(?:{units})(?!{_IN_TOKEN})", UNIT
+    return F.regexp_replace(
+        text, rf"(?<={_TOKEN_START}{NUMBER}{_SPACE})(?:{units})(?!{_IN_TOKEN})", UNIT
     )
-    return F.lower(out)
 
 
-def _windows(parts: Column, n: int) -> Column:
-    """Hashes of all windows of ``n`` tokens.
+def template(text: Column) -> Column:
+    """A :func:`plain` text with placeholders: token by token as many as before."""
+    return F.lower(_units(F.regexp_replace(_numbers(text), rf"{_TOKEN_START}\p{{Lu}}{_IN_TOKEN}*", NAME)))
+
+
+def folded(text: Column) -> Column:
+    """As :func:`template`, but names stay words, and letter case does not count."""
+    return _units(one_case(_numbers(text)))
+
+
+def _with_tokens(table: DataFrame, text: Column) -> DataFrame:
+    """``views`` added: the tokens of both views."""
+    out = table.withColumn("_plain_", plain(text))
+    views = [tokens(view(F.col("_plain_"))) for view in (template, folded)]
+    return out.withColumn("views", F.struct(*[v.alias(f"v{k}") for k, v in enumerate(views)])).drop("_plain_")
+
+
+def _by_place(views: Column, n: int, at_place) -> Column:
+    """``at_place(views, i)`` for the start ``i`` (from 1) of each run of ``n`` tokens.
 
     The outer function binds the tokens to a variable. Used directly in the inner one,
     their whole expression would be evaluated again for every window.
     """
 
-    def hashes(t: Column) -> Column:
-        last = F.size(t) - (n - 1)
-        places = F.when(last > 0, F.sequence(F.lit(1), last))
-        return F.transform(places, lambda i: F.xxhash64(F.slice(t, i, n)))
+    def places(v: Column) -> Column:
+        last = F.size(v["v0"]) - (n - 1)
+        starts = F.when(last > 0, F.sequence(F.lit(1), last))
+        return F.transform(starts, lambda i: at_place(v, i))
+
+    return F.get(F.transform(F.array(views), places), F.lit(0))
+
+
+def _doc_hashes(v: Column, i: Column, n: int) -> Column:
+    """Hashes of a window in its views; the second only where names make it another one."""
+    part, words = F.slice(v["v0"], i, n), F.slice(v["v1"], i, n)
+    return F.array(F.xxhash64(part), F.when(F.array_contains(part, NAME), F.xxhash64(words)))
 
-    return F.get(F.transform(F.array(parts), hashes), F.lit(0))
+
+def _literals(part: Column) -> Column:
+    return F.size(F.filter(part, lambda t: ~t.isin(*MARKS)))
 
 
 def item_windows(benchmark: DataFrame, item_id: str, text: str, n: int) -> DataFrame:
-    """``h, item, at, n_item`` of the benchmark's windows that hold enough literals."""
-    parts = benchmark.select(
-        F.col(f"`{item_id}`").alias("item"), tokens(template(plain(F.col(f"`{text}`")))).alias("t")
+    """``h, item, view, at, n_item`` of the benchmark's windows that hold enough literals."""
+    parts = _with_tokens(
+        benchmark.select(F.col(f"`{item_id}`").alias("item"), F.col(f"`{text}`").alias("text")), F.col("text")
     )
-    marks = F.array(F.lit(NUMBER), F.lit(NAME), F.lit(UNIT))
-    placed = parts.select("item", "t", F.posexplode(_windows(F.col("t"), n)).alias("at", "h"))
-    literal = F.size(
-        F.filter(F.slice("t", F.col("at") + 1, n), lambda t: ~F.array_contains(marks, t))
+
+    def of_window(v: Column, i: Column) -> Column:
+        slices = [F.slice(v[f"v{view}"], i, n) for view in (TEMPLATE, FOLDED)]
+        return F.array(*[F.struct(F.xxhash64(s).alias("h"), _literals(s).alias("words")) for s in slices])
+
+    placed = parts.select("item", F.posexplode(_by_place(F.col("views"), n, of_window)).alias("at", "both"))
+    placed = placed.select("item", "at", F.posexplode("both").alias("view", "w"))
+    rich = placed.where(F.col("w.words") >= LITERALS).select("w.h", "item", "view", "at")
+    counts = rich.groupBy(F.col("item").alias("i"), F.col("view").alias("v")).agg(
+        F.count(F.lit(1)).alias("n_item")
     )
-    rich = placed.where(literal >= LITERALS).select("h", "item", "at")
-    counts = rich.groupBy("item").agg(F.count(F.lit(1)).alias("n_item"))
-    return rich.join(counts.withColumnRenamed("item", "i"), F.col("item").eqNullSafe(F.col("i"))).drop("i")
+    same = F.col("item").eqNullSafe(F.col("i")) & (F.col("view") == F.col("v"))
+    return rich.join(counts, same).drop("i", "v")
 
 
 def row_key(doc_id: str, text: str) -> Column:
@@ -110,36 +152,40 @@ def find_leaks(
 
     ``doc_key`` (:func:`row_key`), ``doc_id``, ``item_id``, ``n_windows`` matched at
     distinct places of the item, ``item_windows``, ``n_slots`` and ``n_changed``: slots
-    whose value differs from the item's. Null or short texts (fewer than ``n`` tokens),
+    whose value differs from the item's. They are those of the template, or, where only the
+    words agree, in whatever letter case, those of the words. Null or short texts (fewer than ``n`` tokens),
     on either side, match nothing. Repeated documents give one row, as do repeated
     items. Other columns are ignored.
     """
     items = benchmark.select(item_id, item_text).dropDuplicates()
     wanted = materialize(item_windows(items, item_id, item_text, n), "item-windows")
     key = row_key(doc_id, text)
-    found = docs.select(
-        key.alias("doc_key"),
-        F.posexplode(_windows(tokens(template(plain(F.col(f"`{text}`")))), n)).alias("pos", "h"),
-    )
+    found = _with_tokens(docs.select(key.alias("doc_key"), F.col(f"`{text}`").alias("body")), F.col("body"))
+    found = found.select(
+        "doc_key",
+        F.posexplode(_by_place(F.col("views"), n, lambda v, i: _doc_hashes(v, i, n))).alias("pos", "hs"),
+    ).select("doc_key", "pos", F.posexplode("hs").alias("nth", "h"))
     # Broadcast only what was counted and sized; else both sides are shuffled by hash.
     side = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
     hits = materialize(
-        found.join(side, "h").select(
-            "doc_key", "item", "at", "n_item", (F.col("pos") - F.col("at")).alias("shift")
+        found.join(side, "h").where((F.col("nth") == TEMPLATE) | (F.col("view") != TEMPLATE)).select(
+            "doc_key", "item", "view", "at", "n_item", (F.col("pos") - F.col("at")).alias("shift")
         ).distinct(),
         "template-hits",
     )
-    aligned = hits.groupBy("doc_key", "item", "shift", "n_item").agg(
+    aligned = hits.groupBy("doc_key", "item", "view", "shift", "n_item").agg(
         F.collect_set("at").alias("ats")  # no more than the item has windows
     )
-    enough = hits.groupBy("doc_key", "item").agg(
+    enough = hits.groupBy("doc_key", "item", "view").agg(
         F.countDistinct("at").alias("m"), F.first("n_item").alias("k")
     ).where(F.col("m") >= share * F.col("k")).select(
-        F.col("doc_key").alias("d"), F.col("item").alias("i")
+        F.col("doc_key").alias("d"), F.col("item").alias("i"), F.col("view").alias("v")
     )
     aligned = materialize(
         aligned.join(
-            enough, (F.col("doc_key") == F.col("d")) & F.col("item").eqNullSafe(F.col("i")), "left_semi"
+            enough,
+            (F.col("doc_key") == F.col("d")) & F.col("item").eqNullSafe(F.col("i")) & (F.col("view") == F.col("v")),
+            "left_semi",
         ),
         "template-runs",
     )
@@ -156,43 +202,61 @@ def find_leaks(
         sources, F.col("item").eqNullSafe(F.col("i"))
     )
     inside = F.flatten(F.transform("ats", lambda a: F.sequence(a, a + (n - 1))))
+    named = F.col("view") == TEMPLATE
+
+    def of_view(side: str) -> tuple[Column, Column]:
+        """Tokens with placeholders and values of a side, in the view of the run."""
+        marked = F.when(named, F.col(f"{side}_template")).otherwise(F.col(f"{side}_folded"))
+        return marked, F.when(named, F.col(f"{side}_plain")).otherwise(F.col(f"{side}_words"))
+
+    item_marked, item_values = of_view("item")
+    _, doc_values = of_view("doc")
+    runs = runs.select(
+        "doc_key", "doc_id", "item", "view", "n_item", "ats", "shift", item_marked.alias("marked"),
+        item_values.alias("old"), doc_values.alias("new"),
+    )
     slots = F.transform(
-        F.filter(F.array_distinct(inside), lambda p: F.get("item_template", p).isin(NUMBER, NAME, UNIT)),
+        F.filter(F.array_distinct(inside), lambda p: F.get("marked", p).isin(*MARKS)),
         lambda p: F.struct(
-            F.get("item_plain", p).alias("old"),
-            F.get("doc_plain", p + F.col("shift")).alias("new"),
+            F.get("old", p).alias("old"), F.get("new", p + F.col("shift")).alias("new")
         ),
     )
-    judged = runs.select("doc_key", "doc_id", "item", "n_item", "ats", slots.alias("slots")).withColumn(
+    judged = runs.select("doc_key", "doc_id", "item", "view", "n_item", "ats", slots.alias("slots")).withColumn(
         "odd",
         F.size(F.array_distinct("slots"))
         - F.size(F.array_distinct(F.transform("slots", lambda s: s["old"]))),
     )
     consistent = judged.where(ODD_SLOT * F.col("odd") <= F.size(F.array_distinct("slots")))
     changed = F.size(F.filter("slots", lambda s: ~s["old"].eqNullSafe(s["new"])))
-    return (
+    by_view = (
         consistent.select(
-            "doc_key", "doc_id", "item", "n_item", F.size("slots").alias("s"), changed.alias("c"),
-            F.explode("ats").alias("at"), F.xxhash64("ats", "slots").alias("run"),
+            "doc_key", "doc_id", "item", "view", "n_item", F.size("slots").alias("s"), changed.alias("c"),
+            F.explode("ats").alias("at"),
         )
-        .groupBy("doc_key", "doc_id", "item", "n_item")
+        .groupBy("doc_key", "doc_id", "item", "view", "n_item")
         .agg(
             F.countDistinct("at").cast("long").alias("n_windows"),
             F.max("s").cast("long").alias("n_slots"),
             F.min("c").cast("long").alias("n_changed"),
         )
         .where(F.col("n_windows") >= share * F.col("n_item"))
+    )
+    figures = F.struct("view", "n_windows", F.col("n_item").cast("long").alias("item_windows"), "n_slots", "n_changed")
+    return (
+        by_view.groupBy("doc_key", "doc_id", "item").agg(F.min(figures).alias("first"))
         .select(
-            "doc_key", "doc_id", F.col("item").alias("item_id"), "n_windows",
-            F.col("n_item").cast("long").alias("item_windows"), "n_slots", "n_changed",
+            "doc_key", "doc_id", F.col("item").alias("item_id"), "first.n_windows", "first.item_windows",
+            "first.n_slots", "first.n_changed",
         )
     )
 
 
 def _both(table: DataFrame, text: str, name: str) -> DataFrame:
-    """Plain tokens and template tokens of a text, place by place; stored."""
+    """Plain tokens and those of the views of a text, place by place; stored."""
     cleaned = plain(F.col(text))
-    arrays = table.withColumn(f"{name}_plain", tokens(cleaned)).withColumn(
-        f"{name}_template", tokens(template(cleaned))
+    makes = {"plain": lambda x: x, "words": one_case, "template": template, "folded": folded}
+    arrays = table.select(
+        *[c for c in table.columns if c != text],
+        *[tokens(make(cleaned)).alias(f"{name}_{view}") for view, make in makes.items()],
     )
-    return materialize(arrays.drop(text), f"{name}-tokens")
+    return materialize(arrays, f"{name}-tokens")

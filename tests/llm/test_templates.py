@@ -114,3 +114,12 @@ def test_empty_tables_and_extra_columns(spark, odd, nothing):
     assert find_leaks(odd, items.where(F.lit(False))).collect() == []
     named = spark.createDataFrame([(1, QUESTION, 5, 6)], "doc_id long, text string, item long, h long")
     assert find_leaks(named, items).count() == 1
+
+
+@pytest.mark.parametrize("change", [str.upper, str.lower, str.title])
+def test_copies_in_another_letter_case(spark, change):
+    item = "Then Tom Gray Weighed Both Of Them again, 3 kg on the left of the straße and the Rest Behind It"
+    docs = [(1, change(f"so they say {item} and more")), (2, change("quite another text of the same kind " * 3))]
+    assert [r[:2] for r in leaks(spark, docs, [(5, item)])] == [(1, 5)]
+    other = change(item.replace("3 kg", "8 kg"))
+    assert [r[:2] + r[-2:] for r in leaks(spark, [(1, other)], [(5, item)])] == [(1, 5, 2, 1)]
