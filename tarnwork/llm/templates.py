@@ -5,7 +5,8 @@ typed placeholders. Hashes of windows of eight template tokens are joined with t
 the benchmark, and so are those of the text in one letter case, where names stay words;
 windows of one document and item that lie at the same distance form an alignment. In an alignment, what stands in the slots must be consistent: a value of the
 item always became the same value in the document. That holds for verbatim copies and
-for re-parameterised ones, not for texts that merely share phrases.
+for re-parameterised ones, not for texts that merely share phrases. Windows of few words are
+compared verbatim, and items made of such windows also as whole templates.
 
 DataFrame functions only. Texts are read once for the windows, and again for those few
 documents that have a window in common with the benchmark.
@@ -30,9 +31,11 @@ ODD_SLOT = 5
 NUMBER, NAME, UNIT = "0", "1", "2"  # no other token holds a digit
 MARKS = (NUMBER, NAME, UNIT)
 
-#: What windows are made of: templates, or texts in one case with numbers and units as
-#: placeholders. Where a pair is found in several views, the first of them is given.
-TEMPLATE, FOLDED = range(2)
+#: How an item is found: by windows of its template; by windows in one letter case with
+#: numbers and units as placeholders; verbatim, where windows of few words count too; whole,
+#: in either of the first two views, where none of its windows there has enough words.
+#: Where a pair is found in several ways, the first of them is given.
+TEMPLATE, FOLDED, VERBATIM, WHOLE_TEMPLATE, WHOLE_FOLDED = range(5)
 
 # Units that follow a number.
 UNITS = [
@@ -82,9 +85,9 @@ def folded(text: Column) -> Column:
 
 
 def _with_tokens(table: DataFrame, text: Column) -> DataFrame:
-    """``views`` added: the tokens of both views."""
+    """``views`` added: tokens of the template, of the folded text, and the words themselves."""
     out = table.withColumn("_plain_", plain(text))
-    views = [tokens(view(F.col("_plain_"))) for view in (template, folded)]
+    views = [tokens(view(F.col("_plain_"))) for view in (template, folded, one_case)]
     return out.withColumn("views", F.struct(*[v.alias(f"v{k}") for k, v in enumerate(views)])).drop("_plain_")
 
 
@@ -103,10 +106,18 @@ def _by_place(views: Column, n: int, at_place) -> Column:
     return F.get(F.transform(F.array(views), places), F.lit(0))
 
 
+def _verbatim(words: Column) -> Column:
+    return F.xxhash64(F.lit("verbatim"), words)
+
+
 def _doc_hashes(v: Column, i: Column, n: int) -> Column:
-    """Hashes of a window in its views; the second only where names make it another one."""
-    part, words = F.slice(v["v0"], i, n), F.slice(v["v1"], i, n)
-    return F.array(F.xxhash64(part), F.when(F.array_contains(part, NAME), F.xxhash64(words)))
+    """Hashes of a window: its template, its folded tokens where names make them others,
+    and its words where it may hold few literals (that takes a number, as units follow one)."""
+    part, other = F.slice(v["v0"], i, n), F.slice(v["v1"], i, n)
+    words = _verbatim(F.slice(v["v2"], i, n))
+    if n > LITERALS:
+        words = F.when(F.array_contains(other, NUMBER), words)
+    return F.array(F.xxhash64(part), F.when(F.array_contains(part, NAME), F.xxhash64(other)), words)
 
 
 def _literals(part: Column) -> Column:
@@ -114,23 +125,54 @@ def _literals(part: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame, item_id: str, text: str, n: int) -> DataFrame:
-    """``h, item, view, at, n_item`` of the benchmark's windows that hold enough literals."""
+    """``h, item, view, at, n_item, width``: what to look for, and how many windows the item has.
+
+    A window holds ``n`` tokens, or the whole item where that has fewer.
+    """
     parts = _with_tokens(
         benchmark.select(F.col(f"`{item_id}`").alias("item"), F.col(f"`{text}`").alias("text")), F.col("text")
-    )
+    ).where(F.size("views.v0") > 0)
+    width = F.least(F.size("views.v0"), F.lit(n))
 
     def of_window(v: Column, i: Column) -> Column:
-        slices = [F.slice(v[f"v{view}"], i, n) for view in (TEMPLATE, FOLDED)]
-        return F.array(*[F.struct(F.xxhash64(s).alias("h"), _literals(s).alias("words")) for s in slices])
+        w = F.least(F.size(v["v0"]), F.lit(n))
+        part, other = F.slice(v["v0"], i, w), F.slice(v["v1"], i, w)
+        rich = _literals(other) >= LITERALS
+        words = F.when(rich, F.xxhash64(other)).otherwise(_verbatim(F.slice(v["v2"], i, w)))
+        return F.array(
+            F.struct(F.xxhash64(part).alias("h"), _literals(part).alias("words")),
+            F.struct(F.xxhash64(other).alias("h"), _literals(other).alias("words")),
+            F.struct(words.alias("h"), F.lit(n).alias("words")),
+        )
 
-    placed = parts.select("item", F.posexplode(_by_place(F.col("views"), n, of_window)).alias("at", "both"))
-    placed = placed.select("item", "at", F.posexplode("both").alias("view", "w"))
-    rich = placed.where(F.col("w.words") >= LITERALS).select("w.h", "item", "view", "at")
+    windows = parts.select(
+        "item", "views", width.alias("width"), _by_place(F.col("views"), width, of_window).alias("ws")
+    )
+    placed = windows.select("item", "width", F.posexplode("ws").alias("at", "all"))
+    placed = placed.select("item", "width", "at", F.posexplode("all").alias("view", "w"))
+    rich = placed.where((F.col("w.words") >= LITERALS) | (F.col("view") == VERBATIM)).select(
+        "w.h", "item", "view", "at", "width"
+    )
     counts = rich.groupBy(F.col("item").alias("i"), F.col("view").alias("v")).agg(
         F.count(F.lit(1)).alias("n_item")
     )
     same = F.col("item").eqNullSafe(F.col("i")) & (F.col("view") == F.col("v"))
-    return rich.join(counts, same).drop("i", "v")
+    sought = rich.join(counts, same).select("h", "item", "view", "at", "n_item", "width")
+    for view, whole in ((TEMPLATE, WHOLE_TEMPLATE), (FOLDED, WHOLE_FOLDED)):
+        richest = F.array_max(
+            F.transform("ws", lambda w, i: F.struct(w[view]["words"], -i, w[view]["h"]))  # noqa: B023
+        )
+        best = windows.where(_literals(F.col(f"views.v{view}")) >= LITERALS).select(
+            "item", "width", F.size("ws").cast("long").alias("n_item"), richest.alias("b")
+        ).toDF("item", "width", "n_item", "b").select(
+            "item", "width", "n_item", F.col("b").cast("struct<words:int,back:int,h:bigint>").alias("b")
+        )
+        sought = sought.unionByName(
+            best.where(F.col("b.words") < LITERALS).select(
+                "b.h", "item", F.lit(whole).alias("view"), (-F.col("b.back")).alias("at"), "n_item", "width"
+            )
+        )
+    return sought
 
 
 def row_key(doc_id: str, text: str) -> Column:
@@ -153,22 +195,28 @@ def find_leaks(
     ``doc_key`` (:func:`row_key`), ``doc_id``, ``item_id``, ``n_windows`` matched at
     distinct places of the item, ``item_windows``, ``n_slots`` and ``n_changed``: slots
     whose value differs from the item's. They are those of the template, or, where only the
-    words agree, in whatever letter case, those of the words. Null or short texts (fewer than ``n`` tokens),
-    on either side, match nothing. Repeated documents give one row, as do repeated
+    words agree, in whatever letter case, those of the words. Items of fewer than ``n``
+    tokens are found whole; templates of fewer than ``LITERALS`` words only verbatim. Null
+    texts and those without a token match nothing. Repeated documents give one row, as do repeated
     items. Other columns are ignored.
     """
     items = benchmark.select(item_id, item_text).dropDuplicates()
     wanted = materialize(item_windows(items, item_id, item_text, n), "item-windows")
     key = row_key(doc_id, text)
     found = _with_tokens(docs.select(key.alias("doc_key"), F.col(f"`{text}`").alias("body")), F.col("body"))
-    found = found.select(
-        "doc_key",
-        F.posexplode(_by_place(F.col("views"), n, lambda v, i: _doc_hashes(v, i, n))).alias("pos", "hs"),
-    ).select("doc_key", "pos", F.posexplode("hs").alias("nth", "h"))
+    widths = [r[0] for r in wanted.select("width").distinct().collect()]  # up to n of them
+    places = [
+        _by_place(F.col("views"), w, lambda v, i, w=w: _doc_hashes(v, i, w)) for w in sorted(widths)
+    ] or [F.lit(None).cast("array<array<bigint>>")]
+    found = found.select("doc_key", F.explode(F.array(*places)).alias("places")).select(
+        "doc_key", F.posexplode("places").alias("pos", "hs")
+    ).select("doc_key", "pos", F.posexplode("hs").alias("nth", "h")).where("h is not null")
     # Broadcast only what was counted and sized; else both sides are shuffled by hash.
     side = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
     hits = materialize(
-        found.join(side, "h").where((F.col("nth") == TEMPLATE) | (F.col("view") != TEMPLATE)).select(
+        found.join(side, "h").where(
+            (F.col("nth") == 0) | ~F.col("view").isin(TEMPLATE, WHOLE_TEMPLATE)
+        ).select(
             "doc_key", "item", "view", "at", "n_item", (F.col("pos") - F.col("at")).alias("shift")
         ).distinct(),
         "template-hits",
@@ -178,7 +226,9 @@ def find_leaks(
     )
     enough = hits.groupBy("doc_key", "item", "view").agg(
         F.countDistinct("at").alias("m"), F.first("n_item").alias("k")
-    ).where(F.col("m") >= share * F.col("k")).select(
+    ).where(
+        (F.col("m") >= share * F.col("k")) | F.col("view").isin(WHOLE_TEMPLATE, WHOLE_FOLDED)
+    ).select(
         F.col("doc_key").alias("d"), F.col("item").alias("i"), F.col("view").alias("v")
     )
     aligned = materialize(
@@ -201,8 +251,7 @@ def find_leaks(
     runs = aligned.join(bodies, F.col("doc_key") == F.col("d")).join(
         sources, F.col("item").eqNullSafe(F.col("i"))
     )
-    inside = F.flatten(F.transform("ats", lambda a: F.sequence(a, a + (n - 1))))
-    named = F.col("view") == TEMPLATE
+    named = F.col("view").isin(TEMPLATE, WHOLE_TEMPLATE)
 
     def of_view(side: str) -> tuple[Column, Column]:
         """Tokens with placeholders and values of a side, in the view of the run."""
@@ -210,11 +259,28 @@ def find_leaks(
         return marked, F.when(named, F.col(f"{side}_plain")).otherwise(F.col(f"{side}_words"))
 
     item_marked, item_values = of_view("item")
-    _, doc_values = of_view("doc")
+    doc_marked, doc_values = of_view("doc")
     runs = runs.select(
         "doc_key", "doc_id", "item", "view", "n_item", "ats", "shift", item_marked.alias("marked"),
-        item_values.alias("old"), doc_values.alias("new"),
+        item_values.alias("old"), doc_values.alias("new"), doc_marked.alias("doc_marked"),
+        F.least(F.size(item_marked), F.lit(n)).alias("width"),
+    )
+    whole = (F.col("shift") >= 0) & F.slice(
+        "doc_marked", F.greatest("shift", F.lit(0)) + 1, F.size("marked")
+    ).eqNullSafe(F.col("marked"))
+    said = F.filter(
+        "ats",
+        lambda a: F.slice("old", a + 1, F.col("width"))
+        == F.slice("new", a + F.col("shift") + 1, F.col("width")),
+    )
+    ats = (
+        F.when(F.col("view") == VERBATIM, said)
+        .when(F.col("view").isin(TEMPLATE, FOLDED), F.col("ats"))
+        .when(whole, F.sequence(F.lit(0), (F.col("n_item") - 1).cast("int")))
+        .otherwise(F.array().cast("array<int>"))
     )
+    runs = runs.withColumn("ats", ats).where(F.size("ats") > 0)
+    inside = F.flatten(F.transform("ats", lambda a: F.sequence(a, a + (F.col("width") - 1))))
     slots = F.transform(
         F.filter(F.array_distinct(inside), lambda p: F.get("marked", p).isin(*MARKS)),
         lambda p: F.struct(

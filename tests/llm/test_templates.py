@@ -123,3 +123,21 @@ def test_copies_in_another_letter_case(spark, change):
     assert [r[:2] for r in leaks(spark, docs, [(5, item)])] == [(1, 5)]
     other = change(item.replace("3 kg", "8 kg"))
     assert [r[:2] + r[-2:] for r in leaks(spark, [(1, other)], [(5, item)])] == [(1, 5, 2, 1)]
+
+
+DENSE = [
+    (1, "What is 15 percent of 240 plus 30 percent of 50?"), (2, "Who Wrote The Novel War And Peace In 1869?"),
+    (3, "Name two primes."), (4, "12 7 9 11 3 8 5 1 6"), (5, "Ann has 5 Pears and Bob has 3 Plums and Carl has 2 Figs"),
+]
+
+
+def test_items_dense_in_slots(spark):
+    docs = [(i, f"some words before: {text} And some after.") for i, text in DENSE]
+    assert [r[:2] for r in leaks(spark, docs, DENSE)] == [(i, i) for i, _ in DENSE]
+    others = [
+        (1, "so what is 25 percent of 80 plus 10 percent of 90 then"),
+        (2, "THE 5 AND 6 OR 7 PERCENT OF 8 PLUS 9 PERCENT OF 10"), (3, "name ten primes"),
+        (4, "13 7 9 11 3 8 6 1 6"), (5, "Tom has 7 Kiwis and Ned has 9 Limes and Sue has 1 Melons"),
+        (6, "what is 25 percent of 80 plus 10 percent and 90"), (7, None), (8, "12"),
+    ]
+    assert [r[:2] + r[-2:] for r in leaks(spark, others, DENSE)] == [(1, 1, 6, 4), (5, 5, 9, 9)]
