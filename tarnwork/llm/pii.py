@@ -73,37 +73,37 @@ def _digits(text: str, key: bytes, kind: str, back: bool) -> str:
     return str(permute(int(text), 10 ** len(text), key, f"{kind}{len(text)}", back)).zfill(len(text))
 
 
-def _card(found: re.Match, key: bytes, back: bool) -> str | None:
-    digits = re.sub(r"\D", "", found[0])
+def _card(found: str, key: bytes, back: bool) -> str | None:
+    digits = re.sub(r"\D", "", found)
     if not 13 <= len(digits) <= 19 or luhn_digit(digits[:-1]) != int(digits[-1]):
         return None
     body = _digits(digits[:-1], key, "card", back)
-    return _refill(found[0], body + str(luhn_digit(body)))
+    return _refill(found, body + str(luhn_digit(body)))
 
 
 def _iban_check(country: str, body: str) -> int:
     return 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
 
 
-def _iban(found: re.Match, key: bytes, back: bool) -> str | None:
-    plain = re.sub(r"[ -]", "", found[0])
+def _iban(found: str, key: bytes, back: bool) -> str | None:
+    plain = re.sub(r"[ -]", "", found)
     country, check, body = plain[:2], plain[2:4], plain[4:]
     if not 11 <= len(body) <= 30 or _iban_check(country, body) != int(check):
         return None
     body = _mixed(body, key, "iban", back)
-    return _refill(found[0], f"{country}{_iban_check(country, body):02d}{body}")
+    return _refill(found, f"{country}{_iban_check(country, body):02d}{body}")
 
 
-def _phone(found: re.Match, key: bytes, back: bool) -> str | None:
-    digits = re.sub(r"\D", "", found[0])
+def _phone(found: str, key: bytes, back: bool) -> str | None:
+    digits = re.sub(r"\D", "", found)
     if not 8 <= len(digits) <= 15:
         return None
-    code = len(re.match(r"\+?(\d{0,3})", found[0])[1]) if found[0][0] == "+" else 0
-    return _refill(found[0], digits[:code] + _digits(digits[code:], key, "phone", back))
+    code = len(re.match(r"\+?(\d{0,3})", found)[1]) if found[0] == "+" else 0
+    return _refill(found, digits[:code] + _digits(digits[code:], key, "phone", back))
 
 
-def _address(found: re.Match, key: bytes, back: bool) -> str | None:
-    parts = [int(p) for p in found[0].split(".")]
+def _address(found: str, key: bytes, back: bool) -> str | None:
+    parts = [int(p) for p in found.split(".")]
     if max(parts) > 255:
         return None
     value = permute(int.from_bytes(bytes(parts), "big"), 1 << 32, key, "ip", back)
@@ -126,8 +126,8 @@ def _mixed(text: str, key: bytes, kind: str, back: bool) -> str:
     return "".join(reversed(out))
 
 
-def _mail(found: re.Match, key: bytes, back: bool) -> str | None:
-    name, _, host = found[0].partition("@")
+def _mail(found: str, key: bytes, back: bool) -> str | None:
+    name, _, host = found.partition("@")
     plain = re.sub(r"[^A-Za-z0-9]", "", name)
     return f"{_refill(name, _mixed(plain, key, 'mail', back))}@{host}" if plain else None
 
@@ -143,15 +143,50 @@ def _day(year: int, month: int, day: int, key: bytes, back: bool) -> dt.date | N
     return dt.date.fromordinal(_FIRST_DAY + permute(ordinal - _FIRST_DAY, size, key, "date", back))
 
 
-def _iso_date(found: re.Match, key: bytes, back: bool) -> str | None:
-    new = _day(*map(int, re.split(r"[-/.]", found[0])), key=key, back=back)
-    return new and _refill(found[0], new.strftime("%Y%m%d"))
+def _iso_date(found: str, key: bytes, back: bool) -> str | None:
+    new = _day(*map(int, re.split(r"[-/.]", found)), key=key, back=back)
+    return new and _refill(found, new.strftime("%Y%m%d"))
 
 
-def _day_first(found: re.Match, key: bytes, back: bool) -> str | None:
-    day, month, year = map(int, re.split(r"[-/.]", found[0]))
+def _day_first(found: str, key: bytes, back: bool) -> str | None:
+    day, month, year = map(int, re.split(r"[-/.]", found))
     new = _day(year, month, day, key, back)
-    return new and _refill(found[0], new.strftime("%d%m%Y"))
+    return new and _refill(found, new.strftime("%d%m%Y"))
+
+
+# Characters of an IBAN by country.
+IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 "
+    "EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 "
+    "IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 "
+    "NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 "
+    "TN24 TR26 UA29 VA22 VG24 XK20"
+).split()}
+
+
+def _readings(kind: str, found: str) -> list[str]:
+    """What of a match to try in turn: a greedy one may run on into the next words."""
+    if kind not in ("iban", "phone"):
+        return [found]
+    ends = [m.start() for m in re.finditer(r"[ .-]", found)]
+    parts = [found, *(found[:e] for e in reversed(ends))]  # the longest first
+    if kind == "iban":
+        length = IBAN_LENGTHS.get(found[:2])
+        fixed = [p for p in parts if sum(map(str.isalnum, p)) == length]
+        return [*fixed, found] if length else parts
+    for e in ends:  # complete: nothing more is taken after a space
+        if found[e] == " " and _complete(found[:e]):
+            return [found[:e], *(p for p in parts if len(p) < e)]
+    return parts
+
+
+def _complete(phone: str) -> bool:
+    """A number of the length that its country has, or one whose last group hangs on a dash
+    or dot. Elsewhere lengths vary, and groups set off by spaces may belong to it."""
+    n = sum(map(str.isdigit, phone))
+    if re.match(r"\+1(?!\d)", phone):
+        return n >= 11
+    return n >= 8 and re.search(r"[-.]\d{4}$", phone) is not None
 
 
 _END = r"(?![\w])"
@@ -192,15 +227,21 @@ def pseudonymize_text(text: str, key: bytes, back: bool = False) -> tuple[str, l
         return text, []
     work = {name: make for name, _, make in KINDS}
     out, spans, done, length = [], [], 0, 0
-    for found in _pattern().finditer(text):
-        new = work[found.lastgroup](found, key, back)
-        if new is None:
+    search, at = _pattern().search, 0
+    while found := search(text, at):
+        kind, start = found.lastgroup, found.start()
+        for value in _readings(kind, found[0]):
+            new = work[kind](value, key, back)
+            if new is not None:
+                break
+        else:
+            at = start + 1  # another value may begin inside the match
             continue
-        out += [text[done : found.start()], new]
-        length += found.start() - done
-        spans.append((found.lastgroup, length, length + len(new)))
+        out += [text[done:start], new]
+        length += start - done
+        spans.append((kind, length, length + len(new)))
         length += len(new)
-        done = found.end()
+        done = at = start + len(value)
     return "".join([*out, text[done:]]) if out else text, spans
 
 

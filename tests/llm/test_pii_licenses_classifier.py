@@ -186,3 +186,22 @@ def test_scores_of_odd_documents(spark, odd, nothing):
     assert len(out) == odd.count() and all(0 <= r.score <= 1 for r in out)
     assert classifier.score(nothing, trees, ("doc_id",)).collect() == []
     classifier.fit(nothing, labels.limit(0), labels.doc_id != 4)
+
+
+IBAN, PHONE = "DE89 3704 0044 0532 0130 00", "+1 (017) 555-7713"
+
+
+@pytest.mark.parametrize(
+    "value, text",
+    [
+        (IBAN, "IBAN {} BIC COBADEFFXXX"), (IBAN, "{} EUR 500"), (IBAN, "AB12 {}"), (PHONE, "call {} 2024"),
+        (PHONE, "{} 12 34"), ("+44 20 7946 0958", "{} 2024"), ("4845168114407329", "+1 22 {}"),
+        ("4845-1681-1440-7329", "no. 1234 {}"), ("97.51.17.173", "99-99-2000 {}"), ("+49 30 12 34 56 78", "{}"),
+    ],
+)
+def test_values_beside_other_words(value, text):
+    alone, _ = pii.pseudonymize_text(value, KEY)
+    assert alone != value
+    new, spans = pii.pseudonymize_text(text.format(value), KEY)
+    assert new == text.format(alone) and len(spans) == 1
+    assert pii.pseudonymize_text(new, KEY, back=True)[0] == text.format(value)
