@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnwork.llm import (
     chat,
     classifier,
+    fim,
     licenses,
     mixing,
     pii,
@@ -229,3 +230,46 @@ def op7_boosted_quality(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query(
+    r"""
+    with drawn as (
+        select doc_id, coalesce(text, '') as text,
+               sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h
+        from documents),
+    cut as (
+        select doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') as units,
+               [cast('0x' || substr(h, 8 * k + 1, 8) as bigint) for k in range(4)] as h
+        from drawn),
+    formed as (
+        select *, len(units) as n,
+               case when text = '' or contains(text, '<P>') or contains(text, '<S>')
+                         or contains(text, '<M>') or h[3] % 100 >= 90 then 'plain'
+                    when h[4] % 100 < 20 then 'spm' else 'psm' end as form,
+               least(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) as a,
+               greatest(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) as b
+        from cut),
+    parts as (
+        select *, array_to_string(units[1:a], '') as p, array_to_string(units[a + 1:b], '') as m,
+               array_to_string(units[b + 1:], '') as s
+        from formed)
+    select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+           case when form <> 'plain' then length(m) end as middle_chars,
+           sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                            else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+           sha256(text) as restored_sha256
+    from parts
+    """
+)
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    written = fim.fill_in_middle(_table(spark, folder, "documents"))
+
+    def digest(text: Column) -> Column:
+        return F.sha2(text.cast("binary"), 256)
+
+    return written.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        digest(F.col("output")).alias("output_sha256"),
+        digest(fim.restore(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
