@@ -51,26 +51,36 @@ def cuts(data: np.ndarray) -> np.ndarray:
     return np.flatnonzero(after_letters | after_signs) + 1
 
 
-class _Encoder:
+class PieceEncoder:
     """Encodes texts piece by piece, each distinct piece once.
 
-    Pieces are told apart by 64-bit hashes, in numpy; only new ones become strings.
+    Pieces are told apart by 64-bit hashes, in numpy; only new ones become strings. A
+    subclass says where pieces may be cut and encodes them.
     """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+    def __init__(self) -> None:
         self.clear()
 
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)  # ascending
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.exact = np.zeros(0, bool)
         self.ids, self.used = np.zeros(1 << 20, np.int32), 0
 
+    def opens(self, piece: Piece) -> np.ndarray:
+        """For each byte, and the end, whether a piece may begin there."""
+        raise NotImplementedError
+
+    def encode_pieces(self, pieces_: list[str]) -> list[list[int]]:
+        raise NotImplementedError
+
+    def is_exact(self, piece: str, ids: list[int]) -> bool:
+        """Whether the ids stand for the piece, byte for byte."""
+        return True
+
     def _learn(self, keys: np.ndarray, pieces_: list[str]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(pieces_, add_special_tokens=False)]
+        encoded = self.encode_pieces(pieces_)
+        exact = [self.is_exact(p, ids) for p, ids in zip(pieces_, encoded)]
         lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
         flat = np.fromiter(chain.from_iterable(encoded), np.int32, int(lengths.sum()))
         while self.used + len(flat) > len(self.ids):
@@ -80,17 +90,15 @@ class _Encoder:
         self.keys = np.insert(self.keys, at, keys)
         self.starts = np.insert(self.starts, at, self.used + np.cumsum(lengths) - lengths)
         self.lengths = np.insert(self.lengths, at, lengths)
+        self.exact = np.insert(self.exact, at, exact)
         self.used += len(flat)
 
-    def encode(self, piece: Piece) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, each text's followed by the end id, and how many each has."""
+    def ids_of(self, piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of the texts, how many each has, and whether its pieces are all exact."""
         if len(self.keys) > MEMO:
             self.clear()
         data, bounds = piece.data, piece.bounds
-        opens = np.zeros(len(data) + 1, bool)
-        opens[bounds] = True
-        opens[cuts(data)] = True
-        starts = np.flatnonzero(opens[:-1])
+        starts = np.flatnonzero(self.opens(piece)[:-1])
         ends = np.append(starts[1:], len(data)) if len(starts) else starts
         keys, first, which = np.unique(
             piece.hash_spans(starts, ends), return_index=True, return_inverse=True
@@ -106,26 +114,71 @@ class _Encoder:
         at = at[which]
         lengths, where = self.lengths[at], self.starts[at]
         stops = np.cumsum(lengths)
-        sums = np.concatenate([[0], stops])[np.searchsorted(starts, bounds)]
-        n_tokens = np.diff(sums) + 1
+        borders = np.searchsorted(starts, bounds)
+        sums = np.concatenate([[0], stops])[borders]
+        odd = spread(~self.exact[at])[borders]
         source = np.arange(sums[-1]) + np.repeat(where - (stops - lengths), lengths)
-        flat = np.full(len(source) + piece.n_texts, END_ID, np.int32)
+        return self.ids[source], np.diff(sums), np.diff(odd) == 0
+
+    def encode(self, piece: Piece) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, each text's followed by the end id, and how many each has."""
+        ids, counts, _ = self.ids_of(piece)
+        n_tokens = counts + 1
+        flat = np.full(len(ids) + piece.n_texts, END_ID, np.int32)
         keep = np.ones(len(flat), bool)
         keep[np.cumsum(n_tokens) - 1] = False
-        flat[keep] = self.ids[source]
+        flat[keep] = ids
         return flat, n_tokens
 
 
+class ByteLevelEncoder(PieceEncoder):
+    """Ids as the tokenizer file gives them: its added tokens are found in the texts first,
+    but special ones are ordinary text if ``special_as_text``."""
+
+    def __init__(self, path: str, special_as_text: bool = False):
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        added = [t for t in added if not (t.special and special_as_text)]
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
+            raise ValueError("added tokens that depend on the text around them are not supported")
+        self.added = [t.content.encode() for t in added]
+
+    def opens(self, piece: Piece) -> np.ndarray:
+        out = np.zeros(len(piece.data) + 1, bool)
+        out[piece.bounds] = True
+        out[cuts(piece.data)] = True
+        text = piece.data.tobytes() if self.added else b""
+        for token in self.added:
+            at = text.find(token)
+            while at >= 0:
+                end = at + len(token)
+                border = np.searchsorted(piece.bounds, at, "right")
+                inside = piece.bounds[border] >= end  # not across two texts
+                if inside:
+                    out[at:end] = False
+                    out[[at, end]] = True
+                at = text.find(token, end if inside else at + 1)
+        return out
+
+    def encode_pieces(self, pieces_: list[str]) -> list[list[int]]:
+        found = self.tokenizer.encode_batch_fast(pieces_, add_special_tokens=False)
+        return [e.ids for e in found]
+
+
 @lru_cache(maxsize=1)
-def _encoder(path: str) -> _Encoder:
+def byte_level(path: str, special_as_text: bool = False) -> ByteLevelEncoder:
     """One encoder per worker process: its pieces serve all tasks that run there."""
     # Spark runs a task per core; threads of the tokenizer's own would only cost memory.
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return _Encoder(path)
+    return ByteLevelEncoder(path, special_as_text)
 
 
 def _encode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    encoder, place = _encoder(path), 0
+    encoder, place = byte_level(path), 0
     for batch in batches:
         ids = batch.column(0)
         for piece in pieces(batch.column(1)):
@@ -137,6 +190,7 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(piece.first, piece.n_texts), places, lists], ["doc_id", "place", "ids"]
             )
+    pa.default_memory_pool().release_unused()
 
 
 def write_tokens(
@@ -151,7 +205,8 @@ def write_tokens(
     """Write ``doc_id, place, ids`` of every document as ORC, ascending by id.
 
     ``place`` is the row's number in its file. ``tokenizer`` is a file that every
-    executor can read. A null text has only the end id; null ids come first, documents
+    executor can read; where a text holds the string of one of its added tokens, that token
+    is written, as the tokenizer does unless told otherwise. A null text has only the end id; null ids come first, documents
     of equal ids in the order of a hash of their texts.
     """
     chosen = docs.select(

@@ -71,7 +71,7 @@ def test_chats_of_no_turns(spark):
 
 
 ODD_TEXTS = [
-    "", " ", "  a", "a  b \n\n c", "　 z  \t q", "a\x1c b", "it's  don't\n 12 34\r\n", "日本 語。 \n", "<|endoftext|> a",
+    "", " ", "  a", "a  b \n\n c", "　 z  \t q", "a\x1c b", "it's  don't\n 12 34\r\n", "日本 語。 \n", "<|endoftext|> a", "a<|endoftext|><|endoftext|>b <|endof", "text|>", "<|endoftext",
     "a \n b\n", "\n a", "\na", "a\n", "\0x y", "a \0b", "\n\nb", "a  b", "a\u0085\nb", "x" * 3000, "don't we're they'dx 's ''s", "a×b÷c é×, naïve, Ÿes. łódź; ǆ!", "a1b2 3c,4 5.6", "ab\tc d\r\ne", "é é", "汉a b汉 ",
 ]
 
@@ -79,9 +79,8 @@ ODD_TEXTS = [
 def test_pieces_encode_like_whole_texts(sample):
     texts = ODD_TEXTS + [r.text for r in sample.limit(60).collect()]
     whole = Tokenizer.from_file(TOKENIZER)
-    whole.encode_special_tokens = True
     expected = [e.ids + [2] for e in whole.encode_batch(texts, add_special_tokens=False)]
-    encoder = token_files._Encoder(TOKENIZER)
+    encoder = token_files.ByteLevelEncoder(TOKENIZER)
     for limit in (1 << 20, 1 << 20, 2000):  # with nothing remembered, with all, in small pieces
         got = []
         for piece in pieces(pa.array(texts), limit=limit):
@@ -92,7 +91,6 @@ def test_pieces_encode_like_whole_texts(sample):
 
 def expected_index(rows):
     whole = Tokenizer.from_file(TOKENIZER)
-    whole.encode_special_tokens = True
     start, out = 0, []
     for doc_id, text in sorted(rows, key=lambda r: r[0]):
         ids = whole.encode(text or "", add_special_tokens=False).ids + [2]
