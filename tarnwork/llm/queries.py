@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnwork.llm import (
+    alignment,
     chat,
     classifier,
     fim,
     licenses,
     mixing,
+    packing,
     pii,
     rules,
     setjoin,
@@ -273,3 +275,21 @@ def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
         digest(F.col("output")).alias("output_sha256"),
         digest(fim.restore(F.col("output"), F.col("form"))).alias("restored_sha256"),
     )
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, folder, "documents")
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.link_counts(docs, a, b)
+
+
+@query()
+def op13_swap_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, folder, "documents")
+    places, _ = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return places

@@ -1,0 +1,281 @@
+"""Operators 11 to 13 against plain second implementations."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tarnwork.llm import alignment, fim, packing
+from tarnwork.llm.words import pieces
+from tarnwork.scratch import materialize
+
+from .conftest import plain
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+
+ODD_TEXTS = [
+    "", " ", "  two  spaces ", "tail ", "a<|endoftext|>b", "<s> </s> <unk>", "▁ literal", "né à l'été",
+    "日本語 テキスト", "tabs\tand\nlines\r\n", "emoji 👩‍👩‍👧 x", "0123 456,789.01", "\u0000nul", "don't can't",
+    "ünï" * 40, "x" * 5000, "word " * 3000, "<P>marked", "a<S", "<M", "½ ﬁ é", "a b　c",
+]
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    rows = [(i, t, "en", "a", len(t)) for i, t in enumerate(ODD_TEXTS)] + [(None, None, None, None, None)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+
+
+# --- 11 -----------------------------------------------------------------------
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 300_000), st.integers(1, 9000), st.integers(1, 40)), max_size=12))
+def test_boundary_set_selects_and_ranks(spans):
+    chosen = sorted({v for start, n, step in spans for v in range(start, start + n * step, step)})
+    values = np.array(chosen, np.int64)
+    found = fim.BoundarySet(values)
+    assert len(found) == len(values)
+    assert found.select(np.arange(len(values))).tolist() == chosen
+    below = np.unique(np.concatenate([values, values + 1, [0, 1 << 20]]))
+    assert found.rank(below).tolist() == np.searchsorted(values, below).tolist()
+
+
+def test_every_kind_of_container_is_used():
+    runs, few = np.arange(100), 65536 + np.arange(0, 3000, 3)
+    many = 2 * 65536 + np.arange(0, 65536, 3)
+    found = fim.BoundarySet(np.concatenate([runs, few, many]))
+    assert [type(c).__name__ for c in found.containers] == ["_Runs", "_Array", "_Bitmap"]
+
+
+def brute_fim(doc_id, text):
+    text = text or ""
+    units = re.findall(r"[A-Za-z]+|[^A-Za-z]", text)
+    h = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(h[k : k + 8], 16) for k in (0, 8, 16, 24)]
+    a, b = sorted(x % (len(units) + 1) for x in h[:2])
+    p, m, s = ("".join(x) for x in (units[:a], units[a:b], units[b:]))
+    if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return (doc_id, len(units), "plain", None, None, text)
+    if h[3] % 100 < 20:
+        return (doc_id, len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}")
+    return (doc_id, len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}")
+
+
+@pytest.mark.parametrize("name", ["odd", "texts", "nothing"])
+def test_fim_equals_brute_force_and_goes_back(request, name):
+    docs = request.getfixturevalue(name)
+    many = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1000))
+    got = plain(fim.fill_in_middle(many))
+    expected = sorted((brute_fim(r["doc_id"], r["text"]) for r in many.collect()), key=repr)
+    assert got == expected
+    both = fim.fill_in_middle(many, keep=("doc_id", "text", "n", "source"))
+    back = fim.restore(F.col("output"), F.col("form"))
+    assert both.columns.count("n") == 1
+    assert both.where(~back.eqNullSafe(F.coalesce("text", F.lit("")))).count() == 0
+
+
+# --- 12 -----------------------------------------------------------------------
+
+
+def brute_alignment(rows):
+    """Plain walks over the bytes of each token."""
+    a, b = Tokenizer.from_file(BYTE_BPE), sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE)
+    a.encode_special_tokens = True
+    chars = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    of = {chr(c): c for c in chars} | {
+        chr(256 + k): c for k, c in enumerate(c for c in range(256) if c not in chars)
+    }
+    counts, docs = Counter(), []
+    for doc_id, text in rows:
+        groups, links, n_a, n_b = [], [], 0, 0
+        a_ids = a.encode(f" {text}", add_special_tokens=False).ids if text else []
+        b_ids = b.encode(text) if text else []
+        a_bytes = [bytes(of[c] for c in a.id_to_token(i)) for i in a_ids]
+        b_bytes = []
+        for i in b_ids:
+            piece = b.id_to_piece(i)
+            byte = re.fullmatch("<0x(..)>", piece)
+            b_bytes.append(bytes.fromhex(byte[1]) if byte else piece.replace("▁", " ").encode())
+        want = f" {text}".encode()
+        if text and b"".join(a_bytes) == want == b"".join(b_bytes):
+            n_a, n_b = len(a_ids), len(b_ids)
+            spans = []
+            for tokens in (a_bytes, b_bytes):
+                ends = np.cumsum([len(t) for t in tokens]).tolist()
+                spans.append(list(zip([0, *ends], ends)))
+            j = 0
+            group_a, group_b, taken = [], [], 0
+            for i, (start, end) in enumerate(spans[0]):
+                while j < n_b and spans[1][j][1] <= start:
+                    j += 1
+                k = j
+                while k < n_b and spans[1][k][0] < end:
+                    links.append((a_ids[i], b_ids[k]))
+                    k += 1
+            b_ends = {e: i for i, (_, e) in enumerate(spans[1])}
+            for i, (_, end) in enumerate(spans[0]):
+                group_a.append(a_ids[i])
+                if end in b_ends:
+                    group_b = b_ids[taken : b_ends[end] + 1]
+                    taken = b_ends[end] + 1
+                    groups.append(f"{','.join(map(str, group_a))}|{','.join(map(str, group_b))}")
+                    group_a = []
+        counts.update(links)
+        digest = hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else ""
+        docs.append((doc_id, n_a, n_b, len(groups), links, digest))
+    best = defaultdict(int)
+    for (_, y), n in counts.items():
+        best[y] = max(best[y], n)
+    return sorted(
+        (
+            (doc_id, n_a, n_b, n_groups, len(links), sum(counts[x] == best[x[1]] for x in links),
+             sum(counts[x] for x in links), digest)
+            for doc_id, n_a, n_b, n_groups, links, digest in docs
+        ),
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("name", ["odd", "texts", "nothing", "sample"])
+@pytest.mark.parametrize("block", [2_000_000, 500])
+def test_alignment_equals_brute_force(request, monkeypatch, name, block):
+    docs = request.getfixturevalue(name)
+    monkeypatch.setattr(alignment, "BLOCK_LINKS", block)
+    got = plain(alignment.link_counts(docs, BYTE_BPE, PIECE_BPE))
+    assert got == brute_alignment([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+def test_alignment_gives_ids_cuts_and_links(spark, texts):
+    found = alignment.align(texts, BYTE_BPE, PIECE_BPE).where("size(a_ids) > 0").collect()
+    assert len(found) > 15
+    for r in found:
+        assert (r["a_cuts"][-1], r["b_cuts"][-1]) == (len(r["a_ids"]), len(r["b_ids"]))
+        assert sorted(set(r["a_links"])) == list(range(len(r["a_ids"])))
+        assert sorted(set(r["b_links"])) == list(range(len(r["b_ids"])))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.integers(1, 60)), st.sets(st.integers(1, 60)))
+def test_diagonal_groups_end_where_both_end(x, y):
+    a, b = (np.array(sorted(s | {61}), np.int64) for s in (x, y))
+    both = np.intersect1d(a, b)
+    a_cuts, b_cuts = alignment.diagonal_groups(a, b)
+    assert a[a_cuts - 1].tolist() == b[b_cuts - 1].tolist() == both.tolist()
+    links = set(zip(*(v.tolist() for v in alignment.overlaps(a, b, a_cuts, b_cuts))))
+    spans = [list(zip([0, *v[:-1].tolist()], v.tolist())) for v in (a, b)]
+    assert links == {
+        (i, j) for i, p in enumerate(spans[0]) for j, q in enumerate(spans[1]) if max(p[0], q[0]) < min(p[1], q[1])
+    }
+
+
+# --- 13 -----------------------------------------------------------------------
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 30), min_size=1, max_size=120))
+def test_packing_is_valid_and_not_worse_than_best_fit(lengths):
+    lengths = np.array(lengths, np.int64)
+    bins, offset = packing.pack_lengths(lengths, 30)
+    for b in range(bins.max() + 1):
+        mine = np.flatnonzero(bins == b)
+        order = mine[np.argsort(offset[mine])]
+        assert offset[order].tolist() == np.cumsum([0, *lengths[order][:-1]]).tolist()
+        assert 0 < lengths[mine].sum() <= 30
+    least = packing.least_bins(lengths, 30)
+    assert least <= bins.max() + 1 <= len(packing.best_fit(lengths, 30))
+    assert least >= -(-lengths.sum() // 30)
+
+
+def test_search_saves_bins_where_best_fit_does_not():
+    lengths = np.random.default_rng(1).integers(200, 500, 2000)
+    bins, _ = packing.pack_lengths(lengths, 1024)
+    assert bins.max() + 1 < 0.985 * len(packing.best_fit(lengths, 1024))
+
+
+def test_each_step_of_the_search_adds_to_the_squared_fill(monkeypatch):
+    seen = []
+    step = packing.LocalSearch._best_step
+
+    def watched(self, i):
+        seen.append(sum(f * f for f in self.fill))
+        return step(self, i)
+
+    monkeypatch.setattr(packing.LocalSearch, "_best_step", watched)
+    lengths = np.random.default_rng(2).integers(200, 500, 300)
+    packing.pack_lengths(lengths, 1024)
+    assert len(seen) > 20 and seen == sorted(seen)
+
+
+def brute_pieces(rows, capacity=1024):
+    """Pieces by an unchanged tokenizer."""
+    tokenizer, out = Tokenizer.from_file(BYTE_BPE), []
+    for doc_id, text in rows:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        first = len(ids) % capacity or capacity
+        starts = [0, *range(first, len(ids), capacity)]
+        for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
+            out.append((doc_id, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("name", ["odd", "texts", "nothing", "sample"])
+@pytest.mark.parametrize("cell", [8192, 16])
+def test_packed_documents(request, name, cell):
+    docs = request.getfixturevalue(name)
+    stored = materialize(packing.token_pieces(docs, BYTE_BPE), "pieces")
+    packed = materialize(packing.pack_pieces(stored, cell=cell), "packed")
+    rows = packed.collect()
+    got = [tuple(r)[:5] for r in rows]
+    assert sorted(got, key=repr) == brute_pieces([(r["doc_id"], r["text"]) for r in docs.collect()])
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for members in sequences.values():
+        members.sort()
+        assert [o for o, _ in members] == np.cumsum([0, *[n for _, n in members][:-1]]).tolist()
+        assert sum(n for _, n in members) <= 1024
+    if name == "sample" and cell > 16:  # in cells of 16 there is little to choose from
+        least = -(-sum(r["length"] for r in rows) // 1024)
+        assert len(sequences) <= 1.01 * least + 1
+    whole = packing.read_sequences(packed, stored).collect()
+    assert sorted(len(r["ids"]) for r in whole) == sorted(
+        sum(n for _, n in members) for members in sequences.values()
+    )
+
+
+def test_sequences_hold_their_pieces(spark, odd):
+    """Each whole sequence is its pieces' ids, one after the other."""
+    stored = materialize(packing.token_pieces(odd, BYTE_BPE), "pieces")
+    packed = packing.pack_pieces(stored)
+    whole = {r["sequence_id"]: r["ids"] for r in packing.read_sequences(packed, stored).collect()}
+    for r in packed.collect():
+        ids = whole[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]]
+        assert zlib.crc32(np.array(ids, "<u4").tobytes()) == r["ids_crc32"]
+
+
+def test_pieces_of_a_batch_match_the_tokenizer():
+    """Odd texts with the added token's string in them, as the unchanged tokenizer reads them."""
+    rng = np.random.default_rng(0)
+    parts = ["<|endoftext|>", "<|endof", "text|>", " ", "a", "word", "é", "\n", "12", "<|", "'s", "日"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(6000)]
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    encoder = packing.byte_level(BYTE_BPE)
+    got = []
+    for piece in pieces(pa.array(texts)):
+        flat, n = encoder.encode(piece)
+        got += [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])]
+    assert got == [[*e.ids, 2] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]

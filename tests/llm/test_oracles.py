@@ -26,7 +26,7 @@ def test_query_equals_its_sql(spark, name):
     assert plain(df.select(*columns)) == sorted(result.fetchall(), key=repr)
 
 
-@pytest.mark.parametrize("number", range(1, 11))
+@pytest.mark.parametrize("number", range(1, 14))
 def test_every_operator_has_one_query(number):
     assert len([q for q in queries.queries() if q.startswith(f"op{number}_")]) == 1
 
