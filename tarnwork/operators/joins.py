@@ -163,22 +163,27 @@ def join_groups(
     groups: DataFrame,
     by: str | Sequence[str],
     rows_per_salt: int = ROWS_PER_SALT,
+    part: str | None = None,
 ) -> DataFrame:
     """Join per-group results back to the rows they came from.
 
     The rows of a hot group are spread over salts, unlike in a window over the
-    whole group, which would put them in one task. NULL is a group like any
-    other. Groups missing from ``groups`` are dropped.
+    whole group, which would put them in one task. Exact copies are told apart by the
+    input partition they stand in, or by the column ``part`` that says so. NULL is a
+    group like any other. Groups missing from ``groups`` are dropped.
     """
     keys = as_list(by)
-    return salted_join(
-        rows,
+    told = rows if part else rows.withColumn("_part", F.spark_partition_id())
+    joined = salted_join(
+        told,
         groups,
         keys,
         how="inner",
         hot=hot_keys(rows, keys, rows_per_salt=rows_per_salt),
+        salt_by=comparable_columns(told),
         null_safe=True,
     )
+    return joined if part else joined.drop("_part")
 
 
 def spread_null_keys(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:

@@ -70,17 +70,43 @@ def _typed_like(old: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataF
     return materialize(new.select(*typed), "merge-source")
 
 
+#: Text that says a number; a whole number is written without leading zeros.
+_NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?$"
+
+
+def _same_text(text: Column, cast: Column, want: T.DataType) -> Column:
+    """Whether a text says no more and no less than the value it was cast to.
+
+    Numbers with a fraction and times may be written in several ways; everything else only
+    as Spark writes it. White space, leading zeros, or a time of day for a date are changes.
+    """
+    if isinstance(want, (T.FloatType, T.DoubleType)):
+        return text.rlike(_NUMBER)
+    if isinstance(want, T.DecimalType):
+        widest = T.DecimalType(38, min(want.scale + 6, 18))
+        return text.rlike(_NUMBER) & (text.try_cast(widest) == cast.try_cast(widest)) & ~text.rlike(
+            rf"\.[0-9]{{{widest.scale + 1},}}"
+        )
+    if isinstance(want, (T.TimestampType, T.TimestampNTZType)):
+        return text.rlike(_TIME)
+    return cast.cast("string") == text
+
+
 def _exact(value: Column, name: str, have: T.DataType, want: T.DataType) -> Column:
     """The value in another type; one that would change or be lost raises.
 
-    Unlike a plain cast, this does not depend on the session's ANSI setting.
+    Unlike a plain cast, this does not depend on the session's ANSI setting. For text see
+    :func:`_same_text`.
     """
     if have == want or isinstance(have, T.NullType):
         return value.cast(want)
     cast = value.try_cast(want)
-    same = cast.isNotNull()
-    if not isinstance(have, T.StringType):
-        same = same & cast.try_cast(have).eqNullSafe(value)
+    if isinstance(have, T.StringType):
+        back = _same_text(value, cast, want)
+    else:
+        back = cast.try_cast(have).eqNullSafe(value)
+    same = cast.isNotNull() & back
     message = f"a value of column {name!r} does not fit type {want.simpleString()}"
     return F.when(value.isNull() | same, cast).otherwise(F.raise_error(F.lit(message)).cast(want))
 

@@ -64,7 +64,7 @@ def dominant_key(
 
 
 def _leaders(df: DataFrame, groups: list[str], value: str) -> DataFrame:
-    """The rows that lead their group within their input partition; stored.
+    """The rows that lead their group within their input partition; stored, with ``_part``.
 
     They hold all rows with the group's maximum, and little else. Spark drops the other
     rows on the map side, before the shuffle. Because the partition is part of the
@@ -77,7 +77,7 @@ def _leaders(df: DataFrame, groups: list[str], value: str) -> DataFrame:
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_rank", F.rank().over(inside))
     )
-    return materialize(ranked.where(F.col("_rank") == 1).drop("_part", "_rank"), "leaders")
+    return materialize(ranked.where(F.col("_rank") == 1).drop("_rank"), "leaders")
 
 
 def max_rows(
@@ -91,9 +91,9 @@ def max_rows(
     leaders = _leaders(df, groups, value)
     peaks = leaders.groupBy(*groups).agg(F.max(value).alias("_max"))
     return (
-        join_groups(leaders, peaks, groups, rows_per_salt=rows_per_salt)
+        join_groups(leaders, peaks, groups, rows_per_salt=rows_per_salt, part="_part")
         .where(F.col(value) == F.col("_max"))
-        .drop("_max")
+        .drop("_max", "_part")
     )
 
 
@@ -114,7 +114,7 @@ def tied_keys(
         .select(*groups, "_max")
     )
     return (
-        join_groups(leaders, peaks, groups, rows_per_salt=rows_per_salt)
+        join_groups(leaders, peaks, groups, rows_per_salt=rows_per_salt, part="_part")
         .where(F.col(value) == F.col("_max"))
         .select(*groups, key)
         .distinct()

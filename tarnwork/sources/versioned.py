@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,10 +42,14 @@ def versions(spark: SparkSession, path: str, unfinished: bool = False) -> list[i
 
 
 def _write_version(
-    df: DataFrame, path: str, version: int, partition_by: Sequence[str] | None
+    df: DataFrame,
+    path: str,
+    version: int,
+    partition_by: Sequence[str] | None,
+    batch: int | None = None,
 ) -> None:
     # Partition directories carry no types, so the schema is kept next to the data.
-    facts = {"schema": df.schema.jsonValue(), "partition_by": list(partition_by or [])}
+    facts = {"schema": df.schema.jsonValue(), "partition_by": list(partition_by or []), "batch": batch}
     schema = df.sparkSession.range(1).select(F.lit(json.dumps(facts)).alias("facts"))
     schema.coalesce(1).write.mode("overwrite").text(f"{path}/_schema/version={version}")
     target = f"{path}/version={version}"
@@ -66,6 +71,27 @@ def create_versioned(
     return read_version(df.sparkSession, path, version)
 
 
+def add_version(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] | None = None,
+    batch: int | None = None,
+) -> int:
+    """Write ``df`` as the next version, the first one too; its number.
+
+    ``batch`` is kept with the version, see :func:`latest_batch`: both count or neither.
+    """
+    version = max(versions(df.sparkSession, path, unfinished=True), default=-1) + 1
+    _write_version(df, path, version, partition_by, batch)
+    return version
+
+
+def latest_batch(spark: SparkSession, path: str) -> int | None:
+    """The batch number of the latest version, if there is one and it has one."""
+    known = versions(spark, path)
+    return _facts(spark, path, known[-1]).get("batch") if known else None
+
+
 def _facts(spark: SparkSession, path: str, version: int) -> dict:
     return json.loads(spark.read.text(f"{path}/_schema/version={version}").first()[0])
 
@@ -123,7 +149,8 @@ def upsert_partitions(
     """Merge ``source`` into a plain parquet table, rewriting only the partitions it touches.
 
     The partition columns have to be among the keys, so a row never changes its
-    partition. Partitions without source rows are neither read nor written.
+    partition. Partitions without source rows are neither read nor written. The partition
+    columns have the source's types, which the folders' names have to fit.
     """
     key_columns = as_list(keys)
     if not set(partition_by) <= set(key_columns):
@@ -133,7 +160,31 @@ def upsert_partitions(
     match = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in partition_by]
     wanted = touched.select(*[F.col(c).alias(f"_t_{c}") for c in partition_by])
     wanted = F.broadcast(wanted) if fits_broadcast(touched) else wanted
-    target = spark.read.parquet(path).join(wanted, match, "left_semi")
-    merged = upsert(target, stored, key_columns, update_cols, insert_cols)
+    target = _read_typed(spark, path, {c: stored.schema[c].dataType for c in partition_by})
+    named = _read_typed(spark, path, {c: T.StringType() for c in partition_by})
+    # A folder whose name is not how its value is written would stay beside the new one.
+    odd = named.select(*partition_by).distinct().where(
+        reduce(
+            lambda a, b: a | b,
+            [
+                ~F.col(c).try_cast(stored.schema[c].dataType).cast("string").eqNullSafe(F.col(c))
+                for c in partition_by
+            ],
+        )
+    )
+    found = odd.first()
+    if found:
+        raise ValueError(f"folders of {path} do not fit the source's partition types: {found.asDict()}")
+    merged = upsert(target.join(wanted, match, "left_semi"), stored, key_columns, update_cols, insert_cols)
     # Stored first: the write replaces the files that the merge reads.
     write_partitioned(materialize(merged, "upserted"), path, partition_by)
+
+
+def _read_typed(spark: SparkSession, path: str, types: Mapping[str, T.DataType]) -> DataFrame:
+    """A partitioned table with the given types for its partition columns.
+
+    Left to itself Spark guesses them from the folders' names: ``01`` would become 1.
+    """
+    found = spark.read.parquet(path).schema
+    fields = [T.StructField(f.name, types.get(f.name, f.dataType)) for f in found.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
