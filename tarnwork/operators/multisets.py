@@ -14,6 +14,9 @@ from tarnwork.scratch import materialize
 
 #: Copies of one row that are written by one task.
 COPIES_PER_TASK = 100_000
+#: Rows with more copies than that are dealt to so many tasks at most, or to as many as a
+#: shuffle of the session has, if that is more.
+MAX_TASKS = 200
 
 
 def _combine(left: DataFrame, right: DataFrame, copies: Column, copies_per_task: int) -> DataFrame:
@@ -28,15 +31,19 @@ def _combine(left: DataFrame, right: DataFrame, copies: Column, copies_per_task:
     counted = both.groupBy(*left.columns).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
     kept = counted.select(*left.columns, copies.alias("_n")).where("_n > 0")
     kept = materialize(kept, "multiset")
-    most = kept.agg(F.max("_n")).first()[0] or 0
-    parts = kept.withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / copies_per_task).cast("long")))
-    )
-    if most > copies_per_task:
-        parts = parts.repartition(F.xxhash64(*left.columns, "_part"))
-    here = F.least(F.col("_n") - F.col("_part") * copies_per_task, F.lit(copies_per_task).cast("long"))
-    copied = parts.withColumn("_copy", F.explode(F.sequence(one, here)))
-    return copied.select(*left.columns)
+    chunks = F.ceil(F.col("_n") / copies_per_task).cast("long")
+    big = F.col("_n") > copies_per_task
+    n_chunks = kept.where(big).agg(F.sum(chunks)).first()[0]
+    rows = kept.where(~big).withColumn("_here", F.col("_n"))
+    if n_chunks:
+        spread = kept.where(big).withColumn("_part", F.explode(F.sequence(one, chunks)))
+        # A number is given, or the few short rows would be put together again.
+        tasks = min(n_chunks, max(MAX_TASKS, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+        spread = spread.repartition(tasks, F.xxhash64(*left.columns, "_part"))
+        before = (F.col("_part") - 1) * copies_per_task
+        here = F.least(F.col("_n") - before, F.lit(copies_per_task).cast("long"))
+        rows = rows.unionByName(spread.withColumn("_here", here).drop("_part"))
+    return rows.withColumn("_copy", F.explode(F.sequence(one, F.col("_here")))).select(*left.columns)
 
 
 def intersect_all(

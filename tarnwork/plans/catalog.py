@@ -6,10 +6,7 @@ parquet files. Every query works on whole tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnwork.operators.checks import (
@@ -39,13 +36,15 @@ from tarnwork.operators.shape import (
     zip_columns,
 )
 from tarnwork.operators.windows import dominant_key, group_stats, max_rows, tied_keys
+from tarnwork.plans import ordered_queries  # noqa: F401  registers its queries
 from tarnwork.plans.order_pipeline import (
     build_order_details,
     extract_all,
     extract_day,
     extract_table,
 )
-from tarnwork.scratch import materialize, scratch_path
+from tarnwork.plans.registry import ORACLES, QUERIES, Query, Tables, query
+from tarnwork.scratch import materialize
 from tarnwork.sources.files import (
     list_periods,
     read_csv,
@@ -56,40 +55,6 @@ from tarnwork.sources.files import (
 )
 from tarnwork.sources.versioned import create_versioned, read_version, upsert_versioned
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-@dataclass(frozen=True)
-class Tables:
-    """The driver tables as lazily read DataFrames."""
-
-    spark: SparkSession
-    path: str
-
-    def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_"):
-            raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
-
-    def scratch(self, name: str) -> str:
-        return scratch_path(self.spark, name)
-
-
-def query(oracle: str, name: str | None = None):
-    """Register a function of the tables, by default under its own name."""
-
-    def register(build: Callable[[Tables], DataFrame]):
-        key = name or build.__name__
-        QUERIES[key] = lambda spark, path: build(Tables(spark, path))
-        ORACLES[key] = oracle
-        return build
-
-    return register
-
-
 # --- pipeline ---------------------------------------------------------------
 
 

@@ -189,3 +189,30 @@ def test_upsert_null_keys_never_match(spark, rows):
         (None, "s2"),
         (None, "t"),
     ]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    "kind, text, fits",
+    [
+        ("int", "7", True), ("int", "007", False), ("int", " 7", False), ("int", "7.0", False),
+        ("date", "2024-05-05", True), ("date", "2024-05-05 10:30:00", False), ("date", " 2024 ", False),
+        ("timestamp", "2024-05-05 10:30:00", True), ("timestamp", "2024-05-05", False),
+        ("double", "1.50", True), ("double", "1,5", False), ("decimal(6,2)", "1.5", True),
+        ("decimal(6,2)", "1.505", False), ("boolean", "true", True), ("boolean", "yes", False),
+    ],
+)
+def test_text_is_merged_only_as_it_was_written(spark, ansi, kind, text, fits):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        target = spark.createDataFrame([(1, None)], "id int, v string").selectExpr("id", f"cast(v as {kind}) as v")
+        source = spark.createDataFrame([(1, text)], "id int, v string")
+        if fits:
+            got = upsert(target, source, "id").first()["v"]
+            assert got == spark.createDataFrame([(text,)], "v string").selectExpr(f"cast(v as {kind}) as v").first()["v"]
+        else:
+            with pytest.raises(Exception, match="does not fit"):
+                upsert(target, source, "id").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

@@ -87,3 +87,20 @@ def test_unfinished_versions_are_not_read(spark, tmp_path):
         read_version(spark, path, 1)
     with pytest.raises(ValueError):
         create_versioned(spark.range(3).toDF("id"), path)
+
+
+def test_upsert_partitions_keeps_text_partitions(spark, tmp_path):
+    """Months such as 01 stay text; only the touched one is rewritten."""
+    path = str(tmp_path / "by-month")
+    rows = [("01", "k1", 1), ("02", "k1", 2), ("02", "k2", 3)]
+    spark.createDataFrame(rows, "m string, k string, v int").write.partitionBy("m").parquet(path)
+    changed = spark.createDataFrame([("01", "k1", 9), ("01", "k9", 8)], "m string, k string, v int")
+    upsert_partitions(spark, path, changed, ["m", "k"], ["m"])
+    stored = spark.read.schema("k string, v int, m string").parquet(path)
+    assert sorted(tuple(r) for r in stored.select("m", "k", "v").collect()) == [
+        ("01", "k1", 9), ("01", "k9", 8), ("02", "k1", 2), ("02", "k2", 3),
+    ]
+    assert sorted(p.name for p in (tmp_path / "by-month").glob("m=*")) == ["m=01", "m=02"]
+    as_number = changed.withColumn("m", changed["m"].cast("int"))
+    with pytest.raises(ValueError, match="do not fit"):
+        upsert_partitions(spark, path, as_number, ["m", "k"], ["m"])
