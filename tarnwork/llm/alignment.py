@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnwork.llm.token_files import ByteLevelEncoder, PieceEncoder
-from tarnwork.llm.words import Piece, pieces, spread
+from tarnwork.llm.words import Piece, give_back, pieces, spread
 from tarnwork.scratch import materialize
 
 #: A block of documents is closed at so many links or documents.
@@ -249,7 +249,7 @@ def _aligned(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str):
         spaced = pc.if_else(empty, texts, pc.binary_join_element_wise(space, texts, nothing))
         for piece in pieces(spaced):
             yield batch.column(0).slice(piece.first, piece.n_texts), align_piece(piece, a, b)
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def _lists(values: np.ndarray, borders: np.ndarray) -> pa.Array:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnwork.llm.words import Piece, pieces
+from tarnwork.llm.words import Piece, give_back, pieces
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 SEED = "1:"
@@ -198,7 +198,7 @@ def _fim_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [*kept, *new], [*batch.schema.names[:-2], *_NEW.names]
             )
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def fill_in_middle(

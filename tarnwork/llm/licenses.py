@@ -96,7 +96,9 @@ def own_licenses(
     templates: Sequence[tuple[str, str]] = TEMPLATES,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """``path, license, cosine`` of the files that a template matches; best first, ties by name."""
+    """``file_key, path, license, cosine`` of the files that a template matches: the closest
+    one, ties by name. Files are told apart by path and text (``file_key``), so neither
+    several texts of one path nor files without a path share a licence."""
     spark = files.sparkSession
     body, name = F.col(f"`{text}`"), F.col(f"`{path}`")
     vocabulary = sorted({t for _, x in templates for t in _split(x)})
@@ -107,7 +109,7 @@ def own_licenses(
     passages = F.when(name.rlike(_LICENCE_FILE), F.concat(lines, F.array(body))).otherwise(lines)
     taken = (
         files.where(body.rlike(holds))
-        .select(name.alias("path"), F.posexplode(passages).alias("line", "passage"))
+        .select(_file_key(name, body).alias("path"), F.posexplode(passages).alias("line", "passage"))
         .where(F.col("passage").rlike(holds))
         .select("path", "line", F.explode(terms(F.col("passage"))).alias("term"))
         .groupBy("path", "line", "term")
@@ -130,12 +132,18 @@ def own_licenses(
     )
     both = dots.join(
         norms.withColumnRenamed("path", "p").withColumnRenamed("line", "l"),
-        F.col("path").eqNullSafe(F.col("p")) & (F.col("line") == F.col("l")),
+        (F.col("path") == F.col("p")) & (F.col("line") == F.col("l")),
     ).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 6))
     best = both.where(F.col("cosine") >= threshold).groupBy("path").agg(
         F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("best")
     )
-    return best.select("path", "best.license", (-F.col("best.c")).alias("cosine"))
+    best = best.select(F.col("path").alias("file_key"), "best.license", (-F.col("best.c")).alias("cosine"))
+    names = files.where(body.rlike(holds)).select(_file_key(name, body).alias("k"), name.alias("path")).distinct()
+    return best.join(names, F.col("file_key") == F.col("k")).select("file_key", "path", "license", "cosine")
+
+
+def _file_key(path: Column, text: Column) -> Column:
+    return F.xxhash64(path, text)
 
 
 def _vectors(
@@ -168,13 +176,14 @@ def scan_licenses(
     ``inherited_from`` is the directory whose licence file decided (root: empty text),
     null where the file decided itself or nothing did; then license and cosine may be
     null too. Of several licence files in a directory the closest to its template counts,
-    ties by licence name. Rows of one path are judged together; a null path has no
-    directory and inherits nothing. Null and empty texts match no template.
+    ties by licence name. A row's own licence is that of its text, also where rows share a
+    path; a null path has no directory, gives none and inherits nothing. Null and empty texts match no template.
     """
     own = materialize(own_licenses(files, path, text, templates, threshold), "licenses")
     carried = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.lit(None)
     named = files.select(
         carried.alias("carried"), F.col(f"`{path}`").alias("path"),
+        _file_key(F.col(f"`{path}`"), F.col(f"`{text}`")).alias("key"),
         _folder(F.col(f"`{path}`")).alias("folder"),
     )
     givers = own.where(F.col("path").rlike(_LICENCE_FILE)).groupBy(_folder(F.col("path")).alias("above")).agg(
@@ -193,8 +202,8 @@ def scan_licenses(
         .select("folder", F.col("n.above").alias("above"), F.col("n.given").alias("given"))
     )
     nearest = materialize(nearest, "licensed-folders")
-    mine = own.select(F.col("path").alias("p"), F.col("license").alias("own"), F.col("cosine").alias("own_cosine"))
-    joined = named.join(mine, F.col("path").eqNullSafe(F.col("p")), "left").join(nearest, "folder", "left")
+    mine = own.select(F.col("file_key").alias("key"), F.col("license").alias("own"), F.col("cosine").alias("own_cosine"))
+    joined = named.join(mine, "key", "left").join(nearest, "folder", "left")
     inherits = F.col("own").isNull()
     return joined.select(
         *[F.col(f"carried.`{c}`") for c in keep],

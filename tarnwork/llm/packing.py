@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnwork.llm.token_files import byte_level
-from tarnwork.llm.words import pieces, spread
+from tarnwork.llm.words import give_back, pieces, spread
 from tarnwork.scratch import materialize
 
 CAPACITY = 1024
@@ -62,7 +62,7 @@ def _piece_batches(
                  pa.array(length), pa.array(sums, pa.int64()), lists],
                 [*_NARROW, "ids"],
             )
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def token_pieces(

@@ -78,7 +78,7 @@ def _rules_sql() -> str:
     sums = ", ".join(
         f"cast(sum(length(words[p])) filter (where n = {n}) as bigint) as dup_chars_{n}" for n in lengths
     )
-    fine = " and ".join(f"dup_chars_{n} <= {x} * word_chars" for n, x in rules.NGRAM_LIMITS.items())
+    fine = " and ".join(f"100 * dup_chars_{n} <= {x} * word_chars" for n, x in rules.NGRAM_LIMITS.items())
     space = r"[\x20\x09-\x0D]+"
     return rf"""
     with docs as (
@@ -117,7 +117,9 @@ def _rules_sql() -> str:
         from docs left join covered using (doc_id) left join repeats using (doc_id)),
     judged as (
         select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from measured)
-    select *, not base_failed and dup_line_chars <= {rules.LINE_LIMIT} * word_chars and {fine} as kept
+    select *, not base_failed
+              and (n_repeat_words <= {rules.ALLOWED_WORDS}
+                   or (100 * dup_line_chars <= {rules.LINE_LIMIT} * word_chars and {fine})) as kept
     from judged
     """
 

@@ -8,16 +8,18 @@ lines. One pass over the texts in numpy, no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnwork.llm.words import (
     Piece,
+    give_back,
     in_text,
     later,
     pieces,
@@ -27,18 +29,20 @@ from tarnwork.llm.words import (
     windows_inside,
 )
 
-#: Largest share of a text's characters inside repeated n-grams, by n-gram length. Twice
-#: the usual limits, so that a short text survives one boilerplate line at either end.
-NGRAM_LIMITS = {5: 0.30, 6: 0.29, 7: 0.28, 8: 0.27, 9: 0.26, 10: 0.25}
-#: Largest share of a text's characters inside repeated lines.
-LINE_LIMIT = 0.30
+#: Largest percentage of a text's characters inside repeated n-grams, by n-gram length.
+NGRAM_LIMITS = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
+#: Largest percentage of a text's characters inside repeated lines.
+LINE_LIMIT = 30
+#: So many words in 3-word windows that recur are allowed in any text: a line of
+#: boilerplate at its beginning and its end.
+ALLOWED_WORDS = 40
 
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "dup_line_chars")
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
 
 
-def measures(lengths: Mapping[int, float] = NGRAM_LIMITS) -> list[str]:
+def measures(lengths: Mapping[int, int] = NGRAM_LIMITS) -> list[str]:
     return [*_COUNTS, *[f"dup_chars_{n}" for n in lengths]]
 
 
@@ -98,25 +102,72 @@ def _cover(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(steps[:n]) > 0
 
 
+def judge(found: Mapping[str, np.ndarray], limits: Mapping[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """``base_failed`` and ``kept`` of measured texts.
+
+    Base: fewer than 50 words, or over half of them in 3-word windows that recur. The
+    method's verdict: repeated n-grams or lines cover too much, and there is more
+    repetition than a boilerplate line at both ends.
+    """
+    repeat = found["n_repeat_words"]
+    base_failed = (found["n_words"] < 50) | (100 * repeat > 50 * found["n_words"])
+    repetitive = 100 * found["dup_line_chars"] > LINE_LIMIT * found["word_chars"]
+    for n, limit in limits.items():
+        repetitive |= 100 * found[f"dup_chars_{n}"] > limit * found["word_chars"]
+    return base_failed, ~base_failed & ~(repetitive & (repeat > ALLOWED_WORDS))
+
+
+def _measured(texts: pa.Array, limits: Mapping[int, int]) -> dict[str, np.ndarray]:
+    found = [measure(p, tuple(limits)) for p in pieces(texts)]
+    none = np.zeros(0, np.int64)
+    return {name: np.concatenate([none, *[f[name] for f in found]]) for name in measures(limits)}
+
+
 def _measure_batches(
-    batches: Iterator[pa.RecordBatch], lengths: tuple[int, ...]
+    batches: Iterator[pa.RecordBatch], limits: Mapping[int, int], judged: bool
 ) -> Iterator[pa.RecordBatch]:
-    names = measures(dict.fromkeys(lengths))
+    """The last column is the text; the others are carried."""
     for batch in batches:
-        found = [measure(p, lengths) for p in pieces(batch.column(batch.num_columns - 1))]
-        columns = [
-            pa.array(np.concatenate([f[name] for f in found]) if found else [], pa.int64())
-            for name in names
-        ]
-        kept = batch.columns[:-1]
-        yield pa.RecordBatch.from_arrays([*kept, *columns], [*batch.schema.names[:-1], *names])
+        found = _measured(batch.column(batch.num_columns - 1), limits)
+        if judged:
+            found["base_failed"], found["kept"] = judge(found, limits)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-1], *map(pa.array, found.values())],
+            [*batch.schema.names[:-1], *found],
+        )
+    give_back()
+
+
+def _keep_batches(
+    batches: Iterator[pa.RecordBatch], text: int, limits: Mapping[int, int]
+) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        _, kept = judge(_measured(batch.column(text), limits), limits)
+        yield batch.filter(pa.array(kept))
+    give_back()
+
+
+def _ddl(fields: Sequence[T.StructField]) -> list[str]:
+    return [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
+
+
+def _apply(
+    docs: DataFrame, text: str, keep: Sequence[str] | None, limits: Mapping[int, int], judged: bool
+) -> DataFrame:
+    names = measures(limits) + ["base_failed", "kept"] * judged
+    carried = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    chosen = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").alias("_text_"))
+    schema = _ddl(chosen.schema.fields[:-1]) + [f"{name} bigint" for name in measures(limits)]
+    schema += ["base_failed boolean", "kept boolean"] * judged
+    run = partial(_measure_batches, limits=limits, judged=judged)
+    return chosen.mapInArrow(run, ", ".join(schema))
 
 
 def repetition(
     docs: DataFrame,
     text: str = "text",
-    keep: tuple[str, ...] | None = None,
-    lengths: Mapping[int, float] = NGRAM_LIMITS,
+    keep: Sequence[str] | None = None,
+    limits: Mapping[int, int] = NGRAM_LIMITS,
 ) -> DataFrame:
     """``docs`` with the measures of :func:`measures` added.
 
@@ -125,36 +176,25 @@ def repetition(
     measured whole; a row's result depends on its text alone, so repeated rows give
     repeated results.
     """
-    names = measures(lengths)
-    carried = [c for c in (docs.columns if keep is None else keep) if c not in names]
-    chosen = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").alias("_text_"))
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1]]
-        + [f"{name} bigint" for name in names]
-    )
-    return chosen.mapInArrow(partial(_measure_batches, lengths=tuple(lengths)), schema)
+    return _apply(docs, text, keep, limits, judged=False)
 
 
-def base_failed() -> Column:
-    """Fewer than 50 words, or over half of them in 3-word windows that recur."""
-    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-
-
-def repetitive(
-    limits: Mapping[int, float] = NGRAM_LIMITS, line_limit: float = LINE_LIMIT
-) -> Column:
-    """The method's verdict over measured rows: repeated n-grams or lines cover too much."""
-    verdict = F.col("dup_line_chars") > line_limit * F.col("word_chars")
-    for n, limit in limits.items():
-        verdict |= F.col(f"dup_chars_{n}") > limit * F.col("word_chars")
-    return verdict
+def apply_rules(
+    docs: DataFrame,
+    text: str = "text",
+    keep: Sequence[str] | None = None,
+    limits: Mapping[int, int] = NGRAM_LIMITS,
+) -> DataFrame:
+    """Measures plus ``base_failed`` and ``kept``, see :func:`judge` and :func:`repetition`."""
+    return _apply(docs, text, keep, limits, judged=True)
 
 
-def apply_rules(
-    docs: DataFrame, text: str = "text", keep: tuple[str, ...] | None = None
+def keep_documents(
+    docs: DataFrame, text: str = "text", limits: Mapping[int, int] = NGRAM_LIMITS
 ) -> DataFrame:
-    """Measures plus ``base_failed`` and ``kept`` (neither failed nor repetitive)."""
-    measured = repetition(docs, text, keep)
-    return measured.withColumn("base_failed", base_failed()).withColumn(
-        "kept", ~F.col("base_failed") & ~repetitive()
-    )
+    """The rows of ``docs`` that :func:`apply_rules` keeps, unchanged.
+
+    Rows are judged and left out batch by batch, so each column travels once.
+    """
+    run = partial(_keep_batches, text=docs.columns.index(text), limits=limits)
+    return docs.mapInArrow(run, ", ".join(_ddl(docs.schema.fields)))

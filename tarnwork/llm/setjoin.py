@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from tarnwork.llm.components import components
 from tarnwork.llm.words import (
+    give_back,
     in_text,
     later,
     mix,
@@ -54,6 +55,8 @@ BLOCK_SHINGLES = 1_000_000
 BLOCK_DOCS = 60_000
 #: Bytes of text behind one counting bucket.
 BUCKET_BYTES = 8 << 20
+#: Tasks that buckets, and blocks, are dealt to; beyond it a task has several.
+MAX_TASKS = 20_000
 #: Entries of an index list that are searched as one block.
 LIST_BLOCK = 256
 
@@ -109,7 +112,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], n_buckets: int, n: int) -> Iterat
     made, size, docs, held = 0, 0, 0, []
     for batch in batches:
         ids = batch.column(0)
-        for piece in pieces(batch.column(1), fold=True):
+        for piece in pieces(batch.column(1), fold=True, most=BLOCK_DOCS):
             if held and (size > BLOCK_SHINGLES or docs + piece.n_texts > BLOCK_DOCS):
                 yield _pack(held, (task << 32) + made, n_buckets)
                 made, size, docs, held = made + 1, 0, 0, []
@@ -119,7 +122,12 @@ def _blocks(batches: Iterator[pa.RecordBatch], n_buckets: int, n: int) -> Iterat
             size, docs = size + len(tokens), docs + piece.n_texts
     if held:
         yield _pack(held, (task << 32) + made, n_buckets)
-    pa.default_memory_pool().release_unused()
+    give_back()
+
+
+def _bucket_of(tokens: np.ndarray, n_buckets: int) -> np.ndarray:
+    """The bucket of each hash: equal ranges of its upper 32 bits, ascending with it."""
+    return ((tokens >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
 
 
 def _pack(held: list, block: int, n_buckets: int) -> pa.RecordBatch:
@@ -150,25 +158,23 @@ def _pack(held: list, block: int, n_buckets: int) -> pa.RecordBatch:
     many = counts > 1
     several, times = tokens[starts[many]], counts[many].astype(np.uint32)
     in_several = owners[np.repeat(many, counts)]
-    edges = [(b << 64) // n_buckets for b in range(1, n_buckets)]
-    edges = np.array(edges, np.uint64)
-    cut_one = [0, *np.searchsorted(tokens[one], edges), len(one)]
-    cut_many = [0, *np.searchsorted(several, edges), len(several)]
+    one_keys = tokens[one]
     columns: dict[str, list] = {name: [] for name in _BLOCK.names}
 
     def row(**values):
         for name in _BLOCK.names:
             columns[name].append(values.get(name))
 
-    for b in range(n_buckets):
-        i, j = cut_one[b], cut_one[b + 1]
-        k, m = cut_many[b], cut_many[b + 1]
-        if i < j or k < m:
-            row(
-                bucket=b, block=block, tokens=_pack_sorted(tokens[one[i:j]]),
-                places=owners[one[i:j]].tobytes(),
-                shared=_pack_sorted(several[k:m]), counts=times[k:m].tobytes(),
-            )
+    # Only buckets that get something; both key arrays ascend, and buckets with them.
+    one_of, many_of = _bucket_of(one_keys, n_buckets), _bucket_of(several, n_buckets)
+    for b in np.union1d(one_of, many_of).tolist():
+        i, j = np.searchsorted(one_of, [b, b + 1])
+        k, m = np.searchsorted(many_of, [b, b + 1])
+        row(
+            bucket=b, block=block, tokens=_pack_sorted(one_keys[i:j]),
+            places=owners[one[i:j]].tobytes(),
+            shared=_pack_sorted(several[k:m]), counts=times[k:m].tobytes(),
+        )
     # This row only passes through its bucket.
     row(
         bucket=block % n_buckets, block=block, shared=_pack_sorted(several), counts=times.tobytes(),
@@ -296,9 +302,12 @@ def shared_shingles(docs: DataFrame, doc_id: str, text: str, n: int = N) -> Data
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
     n_buckets = max(8, -(-size // BUCKET_BYTES))
     chosen = docs.select(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`"))
+    # As many tasks as the data needs, whatever the session's shuffles have.
+    n_tasks = min(n_buckets, MAX_TASKS)
     packed = chosen.mapInArrow(partial(_blocks, n_buckets=n_buckets, n=n), _BLOCK_SQL)
-    counted = packed.groupBy("bucket").applyInArrow(_count_bucket, _BLOCK_SQL)
-    return materialize(counted.groupBy("block").applyInArrow(_finish_block, _SET_SQL), "sets")
+    counted = packed.repartition(n_tasks, "bucket").groupBy("bucket").applyInArrow(_count_bucket, _BLOCK_SQL)
+    finished = counted.repartition(n_tasks, "block").groupBy("block").applyInArrow(_finish_block, _SET_SQL)
+    return materialize(finished, "sets")
 
 
 def _least(n: Column, threshold: int) -> Column:

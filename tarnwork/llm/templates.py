@@ -45,17 +45,23 @@ UNITS = [
     "weeks", "yards", "years",
 ]
 
-_SPACE = r"[\x20\x09-\x0D]"
-_TOKEN_START, _IN_TOKEN = r"(?<![^\x20\x09-\x0D])", r"[^\x20\x09-\x0D]"
+#: Words that are equal one after the other are a leak whatever their share of the item.
+RUN = 13
+#: Items of fewer tokens match nothing: nearly every text would hold some of them.
+LEAST_ITEM = 3
+
+_SPACES = r"[\x20\x09-\x0D]+"
+_START, _IN = "(?<![^ ])", "[^ ]"  # in plain texts, where one space stands between tokens
 
 
 def plain(text: Column) -> Column:
-    """The text without punctuation and symbols."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\p{P}\p{S}]+", "")
+    """The text without punctuation and symbols, with one space between tokens."""
+    bare = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\p{P}\p{S}]+", "")
+    return F.btrim(F.regexp_replace(bare, _SPACES, " "), F.lit(" "))
 
 
 def tokens(text: Column) -> Column:
-    return F.filter(F.split(text, f"{_SPACE}+"), lambda t: t != "")
+    return F.filter(F.split(text, " "), lambda t: t != "")
 
 
 def one_case(text: Column) -> Column:
@@ -63,32 +69,34 @@ def one_case(text: Column) -> Column:
     return F.lower(F.replace(F.upper(text), F.lit("ẞ"), F.lit("SS")))
 
 
-def _numbers(text: Column) -> Column:
-    return F.regexp_replace(text, rf"{_TOKEN_START}[^\x20\x09-\x0D\p{{Nd}}]*\p{{Nd}}{_IN_TOKEN}*", NUMBER)
+def numbered(text: Column) -> Column:
+    """A :func:`plain` text with placeholders for numbers."""
+    marked = F.regexp_replace(text, rf"{_START}[^ \p{{Nd}}]*+\p{{Nd}}{_IN}*+", NUMBER)
+    return F.when(text.rlike(r"\p{Nd}"), marked).otherwise(text)
 
 
 def _units(text: Column) -> Column:
     units = "|".join(UNITS)
-    return F.regexp_replace(
-        text, rf"(?<={_TOKEN_START}{NUMBER}{_SPACE})(?:{units})(?!{_IN_TOKEN})", UNIT
-    )
+    marked = F.regexp_replace(text, rf"(?<={_START}{NUMBER} )(?:{units})(?!{_IN})", UNIT)
+    return F.when(F.contains(text, F.lit(f"{NUMBER} ")), marked).otherwise(text)
 
 
-def template(text: Column) -> Column:
-    """A :func:`plain` text with placeholders: token by token as many as before."""
-    return F.lower(_units(F.regexp_replace(_numbers(text), rf"{_TOKEN_START}\p{{Lu}}{_IN_TOKEN}*", NAME)))
+def template(marked: Column) -> Column:
+    """A :func:`numbered` text with all placeholders: token by token as many as before."""
+    return F.lower(_units(F.regexp_replace(marked, rf"{_START}\p{{Lu}}{_IN}*+", NAME)))
 
 
-def folded(text: Column) -> Column:
+def folded(marked: Column) -> Column:
     """As :func:`template`, but names stay words, and letter case does not count."""
-    return _units(one_case(_numbers(text)))
+    return _units(one_case(marked))
 
 
 def _with_tokens(table: DataFrame, text: Column) -> DataFrame:
     """``views`` added: tokens of the template, of the folded text, and the words themselves."""
-    out = table.withColumn("_plain_", plain(text))
-    views = [tokens(view(F.col("_plain_"))) for view in (template, folded, one_case)]
-    return out.withColumn("views", F.struct(*[v.alias(f"v{k}") for k, v in enumerate(views)])).drop("_plain_")
+    out = table.withColumn("_plain_", plain(text)).withColumn("_marked_", numbered(F.col("_plain_")))
+    views = [template(F.col("_marked_")), folded(F.col("_marked_")), one_case(F.col("_plain_"))]
+    named = F.struct(*[tokens(v).alias(f"v{k}") for k, v in enumerate(views)])
+    return out.withColumn("views", named).drop("_plain_", "_marked_")
 
 
 def _by_place(views: Column, n: int, at_place) -> Column:
@@ -106,18 +114,51 @@ def _by_place(views: Column, n: int, at_place) -> Column:
     return F.get(F.transform(F.array(views), places), F.lit(0))
 
 
-def _verbatim(words: Column) -> Column:
-    return F.xxhash64(F.lit("verbatim"), words)
+def _hash(part: Column) -> Column:
+    """The hash of a window's tokens: of its text, as :func:`doc_windows` reads it."""
+    return F.xxhash64(F.array_join(part, " "))
+
+
+def _verbatim(text: Column) -> Column:
+    return F.xxhash64(F.lit("verbatim"), text)
+
+
+def _has_number() -> Column:
+    return F.col("_plain_") != F.col("_marked_")
+
+
+def doc_windows(docs: DataFrame, doc_key: Column, text: Column, widths: list[int]) -> DataFrame:
+    """``doc_key, nth, pos, h``: hashes of all windows of the views of all texts.
 
+    A view is one text, and a single pass of a regular expression reads its windows. The
+    second view is left out where it equals the first, the third, of words alone, where a
+    text has no number: of windows that can have enough literals, only those with a number
+    are sought verbatim.
+    """
+    marked = docs.select(doc_key.alias("doc_key"), plain(text).alias("_plain_")).select(
+        "doc_key", "_plain_", numbered(F.col("_plain_")).alias("_marked_")
+    )
+    views = marked.select(
+        "doc_key", template(F.col("_marked_")).alias("v0"), folded(F.col("_marked_")).alias("v1"),
+        F.when(_has_number() | F.lit(widths[0] <= LITERALS), one_case(F.col("_plain_"))).alias("v2"),
+        _has_number().alias("number"),
+    )
+    other = F.when(F.col("v1") != F.col("v0"), F.col("v1"))
+    each = views.select("doc_key", "number", F.posexplode(F.array("v0", other, "v2")).alias("nth", "view"))
+    each = each.where("view is not null")
+
+    def windows(of: DataFrame, width: int) -> DataFrame:
+        if width > LITERALS:
+            of = of.where("nth < 2 or number")
+        run = rf"{_START}(?=({_IN}++(?: {_IN}++){{{width - 1}}}))"
+        found = F.posexplode(F.regexp_extract_all("view", F.lit(run), F.lit(1)))
+        return of.select("doc_key", "nth", found.alias("pos", "window"))
 
-def _doc_hashes(v: Column, i: Column, n: int) -> Column:
-    """Hashes of a window: its template, its folded tokens where names make them others,
-    and its words where it may hold few literals (that takes a number, as units follow one)."""
-    part, other = F.slice(v["v0"], i, n), F.slice(v["v1"], i, n)
-    words = _verbatim(F.slice(v["v2"], i, n))
-    if n > LITERALS:
-        words = F.when(F.array_contains(other, NUMBER), words)
-    return F.array(F.xxhash64(part), F.when(F.array_contains(part, NAME), F.xxhash64(other)), words)
+    found = windows(each, widths[0])
+    for width in widths[1:]:
+        found = found.unionByName(windows(each, width))
+    h = F.when(F.col("nth") == 2, _verbatim(F.col("window"))).otherwise(F.xxhash64("window"))
+    return found.select("doc_key", "nth", "pos", h.alias("h"))
 
 
 def _literals(part: Column) -> Column:
@@ -131,17 +172,17 @@ def item_windows(benchmark: DataFrame, item_id: str, text: str, n: int) -> DataF
     """
     parts = _with_tokens(
         benchmark.select(F.col(f"`{item_id}`").alias("item"), F.col(f"`{text}`").alias("text")), F.col("text")
-    ).where(F.size("views.v0") > 0)
+    ).where(F.size("views.v0") >= LEAST_ITEM)
     width = F.least(F.size("views.v0"), F.lit(n))
 
     def of_window(v: Column, i: Column) -> Column:
         w = F.least(F.size(v["v0"]), F.lit(n))
         part, other = F.slice(v["v0"], i, w), F.slice(v["v1"], i, w)
         rich = _literals(other) >= LITERALS
-        words = F.when(rich, F.xxhash64(other)).otherwise(_verbatim(F.slice(v["v2"], i, w)))
+        words = F.when(rich, _hash(other)).otherwise(_verbatim(F.array_join(F.slice(v["v2"], i, w), " ")))
         return F.array(
-            F.struct(F.xxhash64(part).alias("h"), _literals(part).alias("words")),
-            F.struct(F.xxhash64(other).alias("h"), _literals(other).alias("words")),
+            F.struct(_hash(part).alias("h"), _literals(part).alias("words")),
+            F.struct(_hash(other).alias("h"), _literals(other).alias("words")),
             F.struct(words.alias("h"), F.lit(n).alias("words")),
         )
 
@@ -195,22 +236,18 @@ def find_leaks(
     ``doc_key`` (:func:`row_key`), ``doc_id``, ``item_id``, ``n_windows`` matched at
     distinct places of the item, ``item_windows``, ``n_slots`` and ``n_changed``: slots
     whose value differs from the item's. They are those of the template, or, where only the
-    words agree, in whatever letter case, those of the words. Items of fewer than ``n``
-    tokens are found whole; templates of fewer than ``LITERALS`` words only verbatim. Null
+    words agree, in whatever letter case, those of the words. A pair counts where
+    the document holds ``share`` of the item's windows, or ``RUN`` equal words one after the
+    other. Items of fewer than ``n`` tokens are found whole, those of fewer than ``LEAST_ITEM``
+    not at all; templates of fewer than ``LITERALS`` words only verbatim. Null
     texts and those without a token match nothing. Repeated documents give one row, as do repeated
     items. Other columns are ignored.
     """
     items = benchmark.select(item_id, item_text).dropDuplicates()
     wanted = materialize(item_windows(items, item_id, item_text, n), "item-windows")
     key = row_key(doc_id, text)
-    found = _with_tokens(docs.select(key.alias("doc_key"), F.col(f"`{text}`").alias("body")), F.col("body"))
-    widths = [r[0] for r in wanted.select("width").distinct().collect()]  # up to n of them
-    places = [
-        _by_place(F.col("views"), w, lambda v, i, w=w: _doc_hashes(v, i, w)) for w in sorted(widths)
-    ] or [F.lit(None).cast("array<array<bigint>>")]
-    found = found.select("doc_key", F.explode(F.array(*places)).alias("places")).select(
-        "doc_key", F.posexplode("places").alias("pos", "hs")
-    ).select("doc_key", "pos", F.posexplode("hs").alias("nth", "h")).where("h is not null")
+    widths = sorted(r[0] for r in wanted.select("width").distinct().collect())  # up to n of them
+    found = doc_windows(docs, key, F.col(f"`{text}`"), widths or [n])
     # Broadcast only what was counted and sized; else both sides are shuffled by hash.
     side = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
     hits = materialize(
@@ -224,13 +261,16 @@ def find_leaks(
     aligned = hits.groupBy("doc_key", "item", "view", "shift", "n_item").agg(
         F.collect_set("at").alias("ats")  # no more than the item has windows
     )
+    long_runs = aligned.where(F.size("ats") >= RUN - n + 1).select(
+        F.col("doc_key").alias("d"), F.col("item").alias("i"), F.col("view").alias("v")
+    )
     enough = hits.groupBy("doc_key", "item", "view").agg(
         F.countDistinct("at").alias("m"), F.first("n_item").alias("k")
     ).where(
         (F.col("m") >= share * F.col("k")) | F.col("view").isin(WHOLE_TEMPLATE, WHOLE_FOLDED)
     ).select(
         F.col("doc_key").alias("d"), F.col("item").alias("i"), F.col("view").alias("v")
-    )
+    ).union(long_runs)
     aligned = materialize(
         aligned.join(
             enough,
@@ -280,6 +320,12 @@ def find_leaks(
         .otherwise(F.array().cast("array<int>"))
     )
     runs = runs.withColumn("ats", ats).where(F.size("ats") > 0)
+    # Places of the item, 1 where the document has the same word: is there a long run of ones?
+    same = F.transform(
+        F.sequence(F.lit(0), F.size("old") - 1),
+        lambda p: F.when(F.get("old", p) == F.get("new", p + F.col("shift")), "1").otherwise("0"),
+    )
+    runs = runs.withColumn("said", F.contains(F.array_join(same, ""), F.lit("1" * RUN)))
     inside = F.flatten(F.transform("ats", lambda a: F.sequence(a, a + (F.col("width") - 1))))
     slots = F.transform(
         F.filter(F.array_distinct(inside), lambda p: F.get("marked", p).isin(*MARKS)),
@@ -287,7 +333,7 @@ def find_leaks(
             F.get("old", p).alias("old"), F.get("new", p + F.col("shift")).alias("new")
         ),
     )
-    judged = runs.select("doc_key", "doc_id", "item", "view", "n_item", "ats", slots.alias("slots")).withColumn(
+    judged = runs.select("doc_key", "doc_id", "item", "view", "n_item", "ats", "said", slots.alias("slots")).withColumn(
         "odd",
         F.size(F.array_distinct("slots"))
         - F.size(F.array_distinct(F.transform("slots", lambda s: s["old"]))),
@@ -296,7 +342,7 @@ def find_leaks(
     changed = F.size(F.filter("slots", lambda s: ~s["old"].eqNullSafe(s["new"])))
     by_view = (
         consistent.select(
-            "doc_key", "doc_id", "item", "view", "n_item", F.size("slots").alias("s"), changed.alias("c"),
+            "doc_key", "doc_id", "item", "view", "n_item", "said", F.size("slots").alias("s"), changed.alias("c"),
             F.explode("ats").alias("at"),
         )
         .groupBy("doc_key", "doc_id", "item", "view", "n_item")
@@ -304,8 +350,9 @@ def find_leaks(
             F.countDistinct("at").cast("long").alias("n_windows"),
             F.max("s").cast("long").alias("n_slots"),
             F.min("c").cast("long").alias("n_changed"),
+            F.max("said").alias("said"),
         )
-        .where(F.col("n_windows") >= share * F.col("n_item"))
+        .where((F.col("n_windows") >= share * F.col("n_item")) | F.col("said"))
     )
     figures = F.struct("view", "n_windows", F.col("n_item").cast("long").alias("item_windows"), "n_slots", "n_changed")
     return (
@@ -319,10 +366,11 @@ def find_leaks(
 
 def _both(table: DataFrame, text: str, name: str) -> DataFrame:
     """Plain tokens and those of the views of a text, place by place; stored."""
-    cleaned = plain(F.col(text))
-    makes = {"plain": lambda x: x, "words": one_case, "template": template, "folded": folded}
-    arrays = table.select(
+    cleaned = table.withColumn("_plain_", plain(F.col(text))).withColumn("_marked_", numbered(F.col("_plain_")))
+    bare, marked = F.col("_plain_"), F.col("_marked_")
+    makes = {"plain": bare, "words": one_case(bare), "template": template(marked), "folded": folded(marked)}
+    arrays = cleaned.select(
         *[c for c in table.columns if c != text],
-        *[tokens(make(cleaned)).alias(f"{name}_{view}") for view, make in makes.items()],
+        *[tokens(made).alias(f"{name}_{view}") for view, made in makes.items()],
     )
     return materialize(arrays, f"{name}-tokens")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarnwork.llm.words import Piece, pieces, spread
+from tarnwork.llm.words import Piece, give_back, pieces, spread
 from tarnwork.scratch import materialize
 
 END_ID = 2
@@ -190,7 +190,7 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(piece.first, piece.n_texts), places, lists], ["doc_id", "place", "ids"]
             )
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def write_tokens(

@@ -9,6 +9,7 @@ mixing step. Memory is bounded by cutting batches into pieces of about
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +18,12 @@ import pyarrow as pa
 
 PIECE_BYTES = 1 << 20
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim
+except (OSError, AttributeError):  # another C library: it decides itself
+    _LIBC = None
+
 _U = np.uint64
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
@@ -102,10 +109,19 @@ class Piece:
         return sums[self.bounds[1:]] - sums[self.bounds[:-1]]
 
 
-def pieces(texts: pa.Array, fold: bool = False, limit: int = PIECE_BYTES) -> Iterator[Piece]:
+def give_back() -> None:
+    """Return freed memory to the system: worker processes live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC:
+        _LIBC.malloc_trim(0)
+
+
+def pieces(
+    texts: pa.Array, fold: bool = False, limit: int = PIECE_BYTES, most: int | None = None
+) -> Iterator[Piece]:
     """Cut an Arrow string array into pieces. A null is an empty text.
 
-    ``fold`` makes A-Z and a-z hash alike.
+    ``fold`` makes A-Z and a-z hash alike. ``most`` bounds the texts of a piece.
     """
     texts = texts.fill_null("").cast(pa.large_string())
     if not len(texts):
@@ -116,7 +132,7 @@ def pieces(texts: pa.Array, fold: bool = False, limit: int = PIECE_BYTES) -> Ite
     low = 0
     while low < len(texts):
         high = int(np.searchsorted(offsets, offsets[low] + limit, "right")) - 1
-        high = min(max(high, low + 1), len(texts))
+        high = min(max(high, low + 1), len(texts), low + most if most else len(texts))
         bounds = offsets[low : high + 1] - offsets[low]
         yield _piece(low, content[offsets[low] : offsets[high]], bounds, fold)
         low = high

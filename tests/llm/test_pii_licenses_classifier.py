@@ -205,3 +205,14 @@ def test_values_beside_other_words(value, text):
     new, spans = pii.pseudonymize_text(text.format(value), KEY)
     assert new == text.format(alone) and len(spans) == 1
     assert pii.pseudonymize_text(new, KEY, back=True)[0] == text.format(value)
+
+
+def test_files_without_a_path_do_not_license_each_other(spark):
+    rows = [(None, "Released under the MIT License."), (None, "plain prose of no licence"), (None, "All rights reserved."),
+            ("a/x", "Released under the MIT License."), ("a/x", "other words")]
+    files = spark.createDataFrame(rows, "path string, text string")
+    got = licenses.scan_licenses(files, keep=("text",)).collect()
+    assert {(r.path, r.text): r.license for r in got} == {
+        (None, rows[0][1]): "MIT", (None, rows[1][1]): None, (None, rows[2][1]): "Proprietary",
+        ("a/x", rows[3][1]): "MIT", ("a/x", rows[4][1]): None,
+    }

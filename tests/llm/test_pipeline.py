@@ -68,3 +68,14 @@ def test_stages_take_odd_documents(spark, request, which):
             assert out.columns == docs.columns
         assert out.count() <= 4 * docs.count()
     assert corpus_pipeline.near_duplicates(spark, docs.where("doc_id = 17"), FOLDER).count() == min(1, docs.count())
+
+
+def test_near_duplicates_are_told_apart_by_id_and_text(spark):
+    """One id with two texts, near copies without an id, and rows that repeat."""
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a), (2, a), (2, b), (None, a + " z"), (None, a + " y"), (3, b + " t"), (4, None), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("key", F.lit(0))
+    kept = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, a), (2, b), (4, None), (5, "")], key=repr)

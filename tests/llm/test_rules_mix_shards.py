@@ -42,9 +42,10 @@ def brute_rules(text):
     chars = sum(map(len, words))
     dups = [covered_chars(words, n) for n in rules.NGRAM_LIMITS]
     failed = len(words) < 50 or 100 * len(repeat) > 50 * len(words)
-    repetitive = line_chars > rules.LINE_LIMIT * chars or any(
-        d > limit * chars for d, limit in zip(dups, rules.NGRAM_LIMITS.values())
+    repetitive = 100 * line_chars > rules.LINE_LIMIT * chars or any(
+        100 * d > limit * chars for d, limit in zip(dups, rules.NGRAM_LIMITS.values())
     )
+    repetitive = repetitive and len(repeat) > rules.ALLOWED_WORDS
     symbols = len(re.findall(r"[#*$%&|<>]", text or ""))
     return (len(words), chars, symbols, lines, len(repeat), line_chars, *dups, failed, not failed and not repetitive)
 
@@ -63,6 +64,22 @@ def test_rules_carry_columns_and_replace_clashing_ones(spark, nothing):
     assert rules.apply_rules(nothing).collect() == []
 
 
+def test_the_verdict_rejects_what_base_lets_through(spark):
+    """Half of a long text stands twice; a short one only has a line at both ends."""
+    passage = " ".join(f"passage{i}" for i in range(1200))
+    long = " ".join([passage, *[f"other{i}" for i in range(7600)], passage])
+    line = "This page may be read and shared by all who find some use in it."
+    short = "\n".join([line, " ".join(f"word{i}" for i in range(50)), line])
+    many = "\n".join([line, " ".join(f"word{i}" for i in range(100)), line, "an end", line, line, line])
+    rows = [(1, long, "a"), (2, short, "b"), (3, many, "c"), (4, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    got = {r.doc_id: (r.base_failed, r.kept) for r in rules.apply_rules(docs, keep=("doc_id",)).collect()}
+    assert got == {1: (False, False), 2: (False, True), 3: (False, False), 4: (True, False)}
+    assert {i: brute_rules(t)[-2:] for i, t, _ in rows} == got
+    left = rules.keep_documents(docs)
+    assert left.columns == docs.columns and [tuple(r) for r in left.collect()] == [rows[1]]
+
+
 def expected_targets(sizes, weights, most=3.0):
     names = sorted(sizes, key=lambda s: (s is None, s))
     weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}

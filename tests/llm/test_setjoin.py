@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tarnwork.llm import setjoin
 from tarnwork.llm.components import components
@@ -112,3 +113,18 @@ def test_components(spark, edges):
             parent[max(a, b)] = min(a, b)
     got = plain(components(spark.createDataFrame(edges, "a int, b int")))
     assert got == sorted(((x, root(x)) for x in parent), key=repr)
+
+
+def test_batches_of_more_texts_than_a_block_holds(spark):
+    """80,000 short texts in one batch: sizes do not depend on the session's batch size."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200000")
+    try:
+        docs = spark.range(80_000).coalesce(1).select(
+            F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 50_000).alias("text")
+        )
+        out = jaccard_components(docs)
+        assert out.where("n_shingles <> 1").count() == 0
+        assert out.where("component_id <> doc_id % 50000").count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)

@@ -141,3 +141,16 @@ def test_items_dense_in_slots(spark):
         (6, "what is 25 percent of 80 plus 10 percent and 90"), (7, None), (8, "12"),
     ]
     assert [r[:2] + r[-2:] for r in leaks(spark, others, DENSE)] == [(1, 1, 6, 4), (5, 5, 9, 9)]
+
+
+def test_a_long_run_of_a_long_item_is_a_leak(spark):
+    """13 equal words of a 400-word item count, though they are few of its windows; 12 do not."""
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)]
+    item, around = " ".join(words), " ".join(f"x{chr(97 + i % 26)}" for i in range(60))
+    docs = [(k, f"{around} {' '.join(words[100 : 100 + k])} {around}") for k in (12, 13, 40)]
+    assert [r[:2] for r in leaks(spark, docs, [(1, item)])] == [(13, 1), (40, 1)]
+
+
+def test_items_of_one_or_two_words_match_nothing(spark):
+    docs = [(i, f"the text number {i} holds the word") for i in range(5)]
+    assert leaks(spark, docs, [(1, "the"), (2, "the text"), (3, "!")]) == []
