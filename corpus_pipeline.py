@@ -28,27 +28,33 @@ def _small(stored: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules keep."""
-    packed = docs.select(F.struct("*").alias("row"), F.col("text"))
-    return rules.apply_rules(packed, keep=("row",)).where("kept").select("row.*")
+    return rules.keep_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the smallest id.
+    """Of each group of linked documents, the one with the smallest id; null is no id.
 
-    Rows without an id, and rows that share one, are told apart by text.
+    Rows are told apart by id and text, so one id may stand for several documents, and
+    rows without an id are grouped like any others. Of rows that repeat one stays.
     """
-    groups = setjoin.jaccard_components(docs.select("doc_id", "text"))
-    groups = materialize(groups, "groups")
-    gone = groups.where("doc_id != component_id").select("doc_id").distinct()
-    left = docs.join(_small(materialize(gone, "gone")), "doc_id", "left_anti")
-    unclear = (
-        groups.where("doc_id is null or doc_id = component_id").groupBy("doc_id").count()
-        .where("count > 1").select(F.col("doc_id").alias("again"))
-    )
-    unclear = materialize(unclear, "unclear")
-    unclear, same = _small(unclear), F.col("doc_id").eqNullSafe(F.col("again"))
-    return left.join(unclear, same, "left_anti").unionByName(
-        left.join(unclear, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    key = templates.row_key("doc_id", "text")
+    rows = docs.select(key.alias("key"), "doc_id", "text")
+    groups = materialize(setjoin.jaccard_components(rows.select("key", "text"), "key"), "groups")
+    # jaccard_components names its rows doc_id: here that is the key.
+    ids = rows.groupBy("key").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n"))
+    groups = groups.select(F.col("doc_id").alias("key"), F.col("component_id").alias("group")).distinct()
+    members = materialize(groups.join(ids, "key"), "members")
+    first = F.struct(F.col("id").isNull(), "id", "key")
+    stay = members.groupBy("group").agg(F.min(first).alias("first"))
+    stay = stay.select(F.col("first.key").alias("key")).withColumn("stays", F.lit(True))
+    judged = members.join(stay, "key", "left")
+    listed = F.col("key").alias("_listed")
+    gone = _small(materialize(judged.where("stays is null").select(listed), "gone"))
+    again = _small(materialize(judged.where("stays and n > 1").select(listed), "again"))
+    same = F.col("_key") == F.col("_listed")
+    left = docs.withColumn("_key", key).join(gone, same, "left_anti")
+    return left.join(again, same, "left_anti").drop("_key").unionByName(
+        left.join(again, same, "left_semi").dropDuplicates(["_key"]).drop("_key")
     )
 
 
