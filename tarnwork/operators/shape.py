@@ -17,8 +17,8 @@ def zip_columns(
 ) -> DataFrame:
     """Numbered columns as one array of structs, position by position.
 
-    ``{"contact": ["contact_1", "contact_2"], "zip": ["zip_1", "zip_2"]}`` gives
-    ``array<struct<contact,zip>>`` of length two. ``keep_arrays`` also adds each
+    ``{"height": ["height_1", "height_2"], "kind": ["kind_1", "kind_2"]}`` gives
+    ``array<struct<height,kind>>`` of length two. ``keep_arrays`` also adds each
     field's own array under the field's name.
     """
     lengths = {len(columns) for columns in fields.values()}

@@ -40,26 +40,20 @@ RULES = {("yield", "now"): "tons", ("yield", "before"): "tons_before", ("rain",
 
 def test_zip_columns(spark, rows):
     df = spark.createDataFrame(
-        [("a@x", "b@x", "c@x", "home", "work", "", "1", "2", None)],
-        "contact_1 string, contact_2 string, contact_3 string, address_1 string, "
-        "address_2 string, address_3 string, zip_1 string, zip_2 string, zip_3 string",
-    )
-    fields = {f: [f"{f}_{i}" for i in (1, 2, 3)] for f in ("contact", "address", "zip")}
-    zipped = zip_columns(df, fields, "contacts", keep_arrays=True)
-    assert zipped.schema["contacts"].dataType.simpleString() == (
-        "array<struct<contact:string,address:string,zip:string>>"
+        [(4, 9, None, 12, "oak", "", "ash", "elm")],
+        "height_1 int, height_2 int, height_3 int, height_4 int, "
+        "kind_1 string, kind_2 string, kind_3 string, kind_4 string",
     )
+    fields = {f: [f"{f}_{i}" for i in (1, 2, 3, 4)] for f in ("height", "kind")}
+    zipped = zip_columns(df, fields, "trees", keep_arrays=True)
+    assert zipped.schema["trees"].dataType.simpleString() == "array<struct<height:int,kind:string>>"
     row = zipped.first()
-    assert [tuple(c) for c in row.contacts] == [
-        ("a@x", "home", "1"),
-        ("b@x", "work", "2"),
-        ("c@x", "", None),
-    ]
-    assert row.contact == ["a@x", "b@x", "c@x"]
-    back = zipped.selectExpr("inline(contacts)")
-    assert rows(back, "contact") == [("a@x",), ("b@x",), ("c@x",)]
+    assert [tuple(t) for t in row.trees] == [(4, "oak"), (9, ""), (None, "ash"), (12, "elm")]
+    assert row.height == [4, 9, None, 12]
+    back = zipped.selectExpr("inline(trees)")
+    assert rows(back, "kind") == [("",), ("ash",), ("elm",), ("oak",)]
     with pytest.raises(ValueError):
-        zip_columns(df, {"a": ["contact_1"], "b": []}, "out")
+        zip_columns(df, {"a": ["height_1"], "b": []}, "out")
 
 
 def test_aggregate_to_map_and_back(spark, rows):
