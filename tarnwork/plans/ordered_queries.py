@@ -1,4 +1,4 @@
-"""Registered queries of ordered operators, joins on inequalities, sets, cubes and streams."""
+"""Registered queries of ordered operators, joins on inequalities, sets, cubes, sketches and streams."""
 
 from __future__ import annotations
 
@@ -6,10 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnwork.operators.cubes import cube_sets, grouping_sets, rollup_sets
+from tarnwork.operators.gaps import fill_gaps
 from tarnwork.operators.multisets import except_all, intersect_all, symmetric_difference
 from tarnwork.operators.ordered import asof_join, neighbours, ranks, running_totals, sessions, sliding
 from tarnwork.operators.quantiles import quantiles
 from tarnwork.operators.ranges import count_both, interval_join
+from tarnwork.operators.sketches import (
+    distinct_error,
+    estimates,
+    merge_sketches,
+    rank_error,
+    read_sketches,
+    store_sketches,
+)
 from tarnwork.plans.registry import Tables, query
 from tarnwork.sources.files import write_partitioned
 from tarnwork.sources.versioned import read_version, upsert_partitions
@@ -365,6 +374,99 @@ def upsert_touched_partitions(t: Tables) -> DataFrame:
     return stored.parquet(path).select("o_orderkey", "month", "o_orderstatus", "cents")
 
 
+# --- stored sketches --------------------------------------------------------------------
+
+
+@query(
+    """
+    select year(l_shipdate) as year, l_returnflag, count(*) as n_rows,
+           cast(sum(cast(round(l_extendedprice * 100) as bigint)) as bigint) as cents,
+           count(distinct l_orderkey) as n_orders, true as orders_close, true as prices_close
+    from lineitem group by 1, 2
+    """
+)
+def sketched_years(t: Tables) -> DataFrame:
+    """Years from sketches stored by month, beside the exact figures.
+
+    ``orders_close`` and ``prices_close`` tell whether the distinct count lies within four
+    standard errors, and the ranks of the three quartiles within twice the rank error.
+    """
+    items = t.lineitem.select(
+        F.date_format("l_shipdate", "yyyy-MM").alias("month"), "l_returnflag", "l_orderkey", "l_extendedprice",
+        _cents("l_extendedprice").alias("cents"),
+    )
+    path = t.scratch("sketches")
+    store_sketches(
+        items, path, "month", "l_returnflag", distinct={"orders": "l_orderkey"},
+        quantile={"price": "l_extendedprice"}, sums={"cents": "cents"},
+    )
+    year = F.substring("month", 1, 4).cast("int").alias("year")
+    stored = read_sketches(t.spark, path, "month string, l_returnflag string")
+    probs = (0.25, 0.5, 0.75)
+    found = estimates(merge_sketches(stored, [year, "l_returnflag"]), probs)
+    found = found.withColumnsRenamed({"year": "y", "l_returnflag": "flag"})
+
+    exact = items.groupBy(year, "l_returnflag").agg(F.countDistinct("l_orderkey").alias("n_orders"))
+    at = items.select(year, "l_returnflag", F.col("l_extendedprice").cast("double").alias("price"))
+    at = at.join(found.select("y", "flag", "quantile_price"), (F.col("year") == F.col("y")) & F.col("l_returnflag").eqNullSafe(F.col("flag")))
+    share = lambda hit: F.avg(F.when(hit, 1.0).otherwise(0.0))
+    allowed = 2 * rank_error()
+    close = F.lit(True)
+    for i, p in enumerate(probs):
+        bound = F.col("quantile_price")[i]
+        close = close & (share(F.col("price") < bound) <= p + allowed) & (share(F.col("price") <= bound) >= p - allowed)
+    ranks = at.groupBy("year", "l_returnflag").agg(close.alias("prices_close"))
+    same = lambda other: (F.col("y") == other["year"]) & F.col("flag").eqNullSafe(other["l_returnflag"])
+    off = F.abs(F.col("distinct_orders") - F.col("n_orders"))
+    return (
+        found.join(exact, same(exact)).select(
+            "y", "flag", "n_rows", F.col("sum_cents").alias("cents"), "n_orders",
+            (off <= 4 * distinct_error() * F.col("n_orders")).alias("orders_close"),
+        )
+        .join(ranks, same(ranks))
+        .select("year", "l_returnflag", "n_rows", "cents", "n_orders", "orders_close", "prices_close")
+    )
+
+
+# --- table functions --------------------------------------------------------------------
+
+
+@query(
+    f"""
+    with d as (
+        select user_id, time_bucket(interval 2 hours, ts, timestamp '1970-01-01') as slot, count(*) as n,
+               cast(sum({_CENTS}) as bigint) as cents, max({_CENTS}) as top
+        from events where ts is not null group by 1, 2),
+    r as (
+        select user_id, unnest(generate_series(min(slot), max(slot), interval 2 hours)) as slot
+        from d group by 1),
+    j as (
+        select r.user_id, r.slot, d.n, d.cents, d.top, d.n is null as filled,
+               last_value(d.top ignore nulls) over back as a, first_value(d.top ignore nulls) over ahead as b,
+               last_value(case when d.n is not null then r.slot end ignore nulls) over back as a_at,
+               first_value(case when d.n is not null then r.slot end ignore nulls) over ahead as b_at
+        from r left join d on r.user_id is not distinct from d.user_id and r.slot = d.slot
+        window back as (partition by r.user_id order by r.slot),
+               ahead as (partition by r.user_id order by r.slot rows between current row and unbounded following))
+    select user_id, slot as ts, coalesce(n, 0) as n, coalesce(cents, 0) as cents, a as last_top,
+           case when filled then a + cast((b - a) * (epoch(slot) - epoch(a_at)) as double) / (epoch(b_at) - epoch(a_at))
+                else cast(top as double) end as top, filled
+    from j
+    """
+)
+def filled_hours(t: Tables) -> DataFrame:
+    """A row for every two hours between a user's first and last event."""
+    events = t.events.select("user_id", "ts", _cents().alias("v"))
+    return fill_gaps(
+        events, "user_id", "ts", 7200,
+        {
+            "n": (F.count(F.lit(1)), "zero"), "cents": (F.sum("v"), "zero"),
+            "last_top": (F.max("v"), "previous"), "top": (F.max("v"), "linear"),
+        },
+        chunk_slots=64,
+    )
+
+
 # --- streams ----------------------------------------------------------------------------
 
 
