@@ -100,14 +100,23 @@ def brute_cosines(files):
     out = {}
     for path, text in files:
         passages = (text or "").split("\n")
+        passages += [x for line in passages for x in re.split(r"(?<=[.;!?])\s+", line)]
+        block = []
+        for line in [*(text or "").split("\n"), ""]:
+            if re.search(r"[^\W_]", line):
+                block.append(line)
+            else:
+                passages.append("\n".join(block))
+                block = []
         if path and re.search(licenses._LICENCE_FILE, path):
             passages.append(text or "")
+        last = lambda name: (name == "BSD-2-Clause") + 2 * (name == "Proprietary")
         best = [
-            (-round(cosine(v, t), 6), name) for p in passages if (v := vector(p)) for name, t in vectors
+            (last(name), -round(cosine(v, t), 6), name) for p in passages if (v := vector(p)) for name, t in vectors
             if round(cosine(v, t), 6) >= licenses.THRESHOLD
         ]
         if best:
-            out[path] = (min(best)[1], -min(best)[0])
+            out[path] = (min(best)[2], -min(best)[1])
     return out
 
 
@@ -117,6 +126,8 @@ FILES = [
     ("a/b/z.py", "code only"), ("c/d/e/f.py", ""), ("c/d/g.py", None), ("c/COPYING", "no licence in here"),
     ("d/LICENSE", "Released under the MIT License."), ("d/NOTICE", "This work is licensed under the GNU General Public License, version 2"),
     ("d/w.py", "the license"), (None, "All rights reserved."), ("a/x.py", "some code"),
+    ("e/one.py", "# Copyright 2020 Somebody. All rights reserved. Released under the MIT License. See there for the rest of it."),
+    ("e/two.py", "#\n# Redistribution and use in source and binary forms, with or\n# without modification, are permitted provided that\n# the following conditions are met\n#\nx = 1"),
     ("d/long.txt", "words " * 20_000 + "\nLicensed under CC BY-NC 4.0."), ("top.py", "rights and wrongs"),
 ]
 
@@ -144,6 +155,39 @@ def test_licenses_are_inherited_from_the_nearest_directory(spark, nothing):
     assert licenses.scan_licenses(nothing.selectExpr("lang as path", "text")).collect() == []
 
 
+HEADS = {
+    "Apache-2.0": "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+    "GPL-3.0-only": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.",
+    "GPL-2.0-only": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.",
+    "AGPL-3.0-only": "                    GNU AFFERO GENERAL PUBLIC LICENSE\n                       Version 3, 19 November 2007\n\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.",
+    "LGPL-3.0-only": "                   GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.",
+    "MIT": "Copyright (c) 2020 Somebody\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction",
+    "ISC": "Copyright (c) 2020, Somebody\n\nPermission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+    "BSD-2-Clause": "Copyright (c) 2020, Somebody\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:",
+    "BSD-3-Clause": "Copyright (c) 2020, Somebody\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.",
+    "MPL-2.0": "Mozilla Public License Version 2.0\n==================================",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy",
+    "Proprietary": "Copyright 2020 Somebody. All rights reserved.",
+}
+
+
+def test_heads_of_licence_files(spark):
+    files = [(f"{name}/LICENSE", text) for name, text in HEADS.items()]
+    files += [(f"{name}/code.py", "x = 1") for name in HEADS] + [(f"w{i}.txt", "plain words of a text") for i in range(40)]
+    df = spark.createDataFrame(files, "path string, text string")
+    out = {r["path"]: r["license"] for r in licenses.scan_licenses(df).collect()}
+    assert {p: x for p, x in out.items() if p.endswith("LICENSE")} == {f"{name}/LICENSE": name for name in HEADS}
+    assert {p: x for p, x in out.items() if p.endswith(".py")} == {f"{name}/code.py": name for name in HEADS}
+    assert {x for p, x in out.items() if p.startswith("w")} == {None}
+
+
+def test_files_without_a_path_keep_their_own_licences(spark):
+    texts = ["Released under the MIT License.", "prose", "All rights reserved.", None]
+    df = spark.createDataFrame([(None, t) for t in texts], "path string, text string")
+    out = sorted((r["license"] or "" for r in licenses.scan_licenses(df).collect()))
+    assert out == ["", "", "MIT", "Proprietary"]
+
+
 def test_trees_learn_and_walk_like_a_loop():
     draw = np.random.RandomState(0)
     rows = draw.rand(2000, 6).astype(np.float32)
