@@ -176,8 +176,9 @@ def own_licenses(
         F.min(F.struct(_rank(F.col("license")).alias("r"), (-F.col("cosine")).alias("c"), "license")).alias("best")
     )
     best = best.select(F.col("path").alias("file_key"), "best.license", (-F.col("best.c")).alias("cosine"))
-    names = files.where(body.rlike(holds)).select(_file_key(name, body).alias("k"), name.alias("path")).distinct()
-    return best.join(names, F.col("file_key") == F.col("k")).select("file_key", "path", "license", "cosine")
+    names = files.select(_file_key(name, body).alias("k"), name.alias("path"))
+    found = best.join(names, F.col("file_key") == F.col("k"))
+    return found.select("file_key", "path", "license", "cosine").distinct()
 
 
 def _file_key(path: Column, text: Column) -> Column:
