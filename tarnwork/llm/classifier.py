@@ -207,13 +207,19 @@ def fit(
     joined = texts.join(F.broadcast(chosen), F.col("_d") == F.col("_id")).select("_d", "label", "_text_")
     schema = "id bigint, label int, " + ", ".join(f"{name} float" for name in FEATURES)
     measured = joined.select(F.col("_d").cast("long").alias("id"), "label", "_text_").mapInArrow(_feature_batches, schema)
-    # Repeated rows of a document would make the sample larger than promised.
-    table = measured.dropDuplicates(["id"]).toPandas().sort_values("id")
+    # Repeated rows of a document would make the sample larger than promised; of several
+    # texts under one id the one with the smallest figures counts, in every run the same.
+    first = measured.groupBy("id").agg(F.min(F.struct("label", *FEATURES)).alias("first"))
+    table = first.select("id", "first.*").toPandas().sort_values("id")
     return fit_trees(table[FEATURES].to_numpy(np.float32), table["label"].to_numpy(), **options)
 
 
 def score(docs: DataFrame, trees: Trees, keep: tuple[str, ...], text: str = "text") -> DataFrame:
-    """``keep`` and ``score`` of every document; null and empty texts are scored too."""
+    """``keep`` and ``score`` of every document; null and empty texts are scored too.
+
+    A kept column named ``score`` gives way to the result.
+    """
+    keep = tuple(c for c in keep if c != "score")
     chosen = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text_"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
     return chosen.mapInArrow(partial(_score_batches, trees=trees), f"{schema}, score double")

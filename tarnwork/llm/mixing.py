@@ -143,23 +143,23 @@ def apply_thresholds(rows: DataFrame, found: DataFrame) -> DataFrame:
     """``rows`` (source, h and more) with ``source_size, target, repeats`` added.
 
     Only ``found``, the table of sources, is joined, so texts need not be shuffled.
+    Columns of ``rows`` that have a result's name give way to it.
     """
-    found = found.select(
-        F.col("source").alias("s"), "source_size", "target", "copies", "takes",
-        *[f"prefix_{i}" for i in range(ROUNDS)],
-    )
-    joined = rows.join(found, F.col("source").eqNullSafe(F.col("s")), "left")
+    kept = [c for c in rows.columns if c not in ("source_size", "target", "repeats")]
+    names = ["source", "source_size", "target", "copies", "takes", *[f"prefix_{i}" for i in range(ROUNDS)]]
+    found = found.select(*[F.col(c).alias(f"_mix_{c}") for c in names])
+    joined = rows.join(found, F.col("source").eqNullSafe(F.col("_mix_source")), "left")
     below, same = F.lit(False), F.lit(True)
     for i in range(ROUNDS):
-        bits, edge = _bits(F.col("h"), i), F.col(f"prefix_{i}")
+        bits, edge = _bits(F.col("h"), i), F.col(f"_mix_prefix_{i}")
         below = below | (same & (bits < edge))
         same = same & (bits == edge)
-    extra = (below | (same & F.col("takes"))).cast("long")
+    extra = (below | (same & F.col("_mix_takes"))).cast("long")
     return joined.select(
-        *rows.columns,
-        "source_size",
-        "target",
-        F.when(F.col("source_size") > 0, F.col("copies") + F.coalesce(extra, F.lit(0)))
+        *[F.col(f"`{c}`") for c in kept],
+        F.col("_mix_source_size").alias("source_size"),
+        F.col("_mix_target").alias("target"),
+        F.when(F.col("_mix_source_size") > 0, F.col("_mix_copies") + F.coalesce(extra, F.lit(0)))
         .otherwise(F.lit(0)).cast("long").alias("repeats"),
     )
 

@@ -1,7 +1,7 @@
 """Format-preserving pseudonyms by a keyed Feistel permutation (operator 1).
 
-Card and account numbers, phone numbers, IP addresses, mail names and dates are found,
-validated, and replaced by another valid value of the same format. The replacement is a
+Card, account and nine-digit personal numbers, phone numbers, IP addresses of both
+versions, mail names and dates are found, validated, and replaced by another valid value of the same format. The replacement is a
 keyed permutation of the format's values: equal values get equal pseudonyms in every
 document, whatever separators they are written with, different ones stay different, and
 whoever has the key can go back. Each text is worked on by itself, so nothing is shuffled.
@@ -10,8 +10,9 @@ whoever has the key can go back. Each text is worked on by itself, so nothing is
 from __future__ import annotations
 
 import datetime as dt
+import ipaddress
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 from hashlib import blake2b
 from math import isqrt
@@ -54,6 +55,14 @@ def permute(value: int, size: int, key: bytes, kind: str, back: bool = False) ->
             return value
 
 
+def _walk(value: int, size: int, key: bytes, kind: str, back: bool, inside: Callable[[int], bool]) -> int:
+    """Permute until ``inside`` holds: a permutation of those values for which it does."""
+    while True:
+        value = permute(value, size, key, kind, back)
+        if inside(value):
+            return value
+
+
 def luhn_digit(body: str) -> int:
     """The last digit that makes ``body`` pass the Luhn check."""
     total = 0
@@ -90,8 +99,24 @@ def _iban(found: str, key: bytes, back: bool) -> str | None:
     country, check, body = plain[:2], plain[2:4], plain[4:]
     if not 11 <= len(body) <= 30 or _iban_check(country, body) != int(check):
         return None
-    body = _mixed(body, key, "iban", back)
-    return _refill(found, f"{country}{_iban_check(country, body):02d}{body}")
+    if country.upper() not in IBAN_LENGTHS and plain != plain.upper():
+        return None  # words in lower case that pass the check by chance
+    new = _mixed(body.upper(), key, "iban", back)
+    new = "".join(n.lower() if b.islower() else n for n, b in zip(new, body))
+    return _refill(found, f"{country}{_iban_check(country, new):02d}{new}")
+
+
+def _personal_number(found: str, key: bytes, back: bool) -> str | None:
+    """Nine digits, of which area, group and serial number are in use."""
+
+    def used(n: int) -> bool:
+        area, group, serial = n // 10**6, n // 10**4 % 100, n % 10**4
+        return area not in (0, 666) and area < 900 and group > 0 and serial > 0
+
+    value = int(found.replace("-", ""))
+    if not used(value):
+        return None
+    return _refill(found, f"{_walk(value, 10**9, key, 'personal', back, used):09d}")
 
 
 def _phone(found: str, key: bytes, back: bool) -> str | None:
@@ -110,6 +135,38 @@ def _address(found: str, key: bytes, back: bool) -> str | None:
     return ".".join(map(str, value.to_bytes(4, "big")))
 
 
+def _address6(found: str, key: bytes, back: bool) -> str | None:
+    """Every group keeps its number of hexadecimal digits, a group of zeros stays one, so
+    an address gets the same pseudonym whether or not its zeros are written."""
+    try:
+        packed = ipaddress.IPv6Address(found).packed
+    except ValueError:
+        return None
+    groups = [int.from_bytes(packed[i : i + 2], "big") for i in range(0, 16, 2)]
+    lengths = [len(f"{g:x}") if g else 0 for g in groups]
+    value, size = 0, 1
+    for group, length in zip(groups, lengths):
+        if length:
+            low, many = 16 ** (length - 1), 15 * 16 ** (length - 1)
+            value, size = value * many + group - low, size * many
+
+    def hexadecimals(number: int) -> list[str]:
+        out = []
+        for length in reversed([n for n in lengths if n]):
+            number, rest = divmod(number, 15 * 16 ** (length - 1))
+            out.append(f"{rest + 16 ** (length - 1):x}")
+        return out[::-1]
+
+    def has_digit(number: int) -> bool:  # else it could be two words with colons
+        return any(c.isdigit() for h in hexadecimals(number) for c in h)
+
+    if not has_digit(value):
+        return None
+    new = iter(hexadecimals(_walk(value, size, key, "ip6" + "".join(map(str, lengths)), back, has_digit)))
+    written = [next(new).zfill(len(g)) if g.strip("0") else g for g in found.split(":")]
+    return ":".join(written).upper() if found != found.lower() else ":".join(written)
+
+
 def _mixed(text: str, key: bytes, kind: str, back: bool) -> str:
     """Permute ASCII letters and digits, each within its own kind."""
     value, size, bases = 0, 1, []
@@ -133,14 +190,21 @@ def _mail(found: str, key: bytes, back: bool) -> str | None:
 
 
 def _day(year: int, month: int, day: int, key: bytes, back: bool) -> dt.date | None:
+    """The day of the month stays below 10, up to 12, or above: so the pseudonym has as many
+    digits, and is read in the order in which the date was."""
     try:
         ordinal = dt.date(year, month, day).toordinal()
     except ValueError:
         return None
     if not _FIRST_DAY <= ordinal <= _LAST_DAY:
         return None
+
+    def alike(n: int) -> bool:
+        new = dt.date.fromordinal(_FIRST_DAY + n).day
+        return (new < 10) == (day < 10) and (new > 12) == (day > 12)
+
     size = _LAST_DAY - _FIRST_DAY + 1
-    return dt.date.fromordinal(_FIRST_DAY + permute(ordinal - _FIRST_DAY, size, key, "date", back))
+    return dt.date.fromordinal(_FIRST_DAY + _walk(ordinal - _FIRST_DAY, size, key, "date", back, alike))
 
 
 def _iso_date(found: str, key: bytes, back: bool) -> str | None:
@@ -150,10 +214,32 @@ def _iso_date(found: str, key: bytes, back: bool) -> str | None:
 
 def _day_first(found: str, key: bytes, back: bool) -> str | None:
     day, month, year = map(int, re.split(r"[-/.]", found))
+    if month > 12:  # the month stands first
+        new = _day(year, day, month, key, back)
+        return new and _refill(found, new.strftime("%m%d%Y"))
     new = _day(year, month, day, key, back)
     return new and _refill(found, new.strftime("%d%m%Y"))
 
 
+# Names of the months.
+MONTHS = (
+    "January", "February", "March", "April", "May", "June", "July", "August", "September",
+    "October", "November", "December",
+)
+
+
+def _written_date(found: str, key: bytes, back: bool) -> str | None:
+    name = re.search("[A-Za-z]+", found)[0]
+    day, year = re.findall(r"\d+", found)
+    new = _day(int(year), MONTHS.index(name.capitalize()) + 1, int(day), key, back)
+    if new is None:
+        return None
+    month = MONTHS[new.month - 1]
+    month = month.upper() if name.isupper() else month.lower() if name.islower() else month
+    parts = iter([f"{new.day:0{len(day)}d}", f"{new.year:04d}"])
+    return re.sub(r"[A-Za-z]+|\d+", lambda m: next(parts) if m[0].isdigit() else month, found)
+
+
 # Characters of an IBAN by country.
 IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
     "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 "
@@ -171,7 +257,7 @@ def _readings(kind: str, found: str) -> list[str]:
     ends = [m.start() for m in re.finditer(r"[ .-]", found)]
     parts = [found, *(found[:e] for e in reversed(ends))]  # the longest first
     if kind == "iban":
-        length = IBAN_LENGTHS.get(found[:2])
+        length = IBAN_LENGTHS.get(found[:2].upper())
         fixed = [p for p in parts if sum(map(str.isalnum, p)) == length]
         return [*fixed, found] if length else parts
     for e in ends:  # complete: nothing more is taken after a space
@@ -193,9 +279,12 @@ _END = r"(?![\w])"
 #: Kinds in the order in which they are tried at a place: name, pattern, replacement.
 KINDS = [
     ("mail", r"(?<![\w.+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", _mail),
-    ("iban", rf"(?<!\w)[A-Z]{{2}}\d\d(?:[ -]?[A-Z0-9]{{1,4}}){{3,8}}{_END}", _iban),
+    ("iban", rf"(?<!\w)[A-Za-z]{{2}}\d\d(?:[ -]?[A-Za-z0-9]){{11,30}}{_END}", _iban),
     ("date", rf"(?<![\w./-])\d{{4}}([-/.])\d\d\1\d\d{_END}", _iso_date),
     ("day", rf"(?<![\w./-])\d\d([-/.])\d\d\2\d{{4}}{_END}", _day_first),
+    ("written", rf"(?<![\w./-])(?:\d{{1,2}} (?i:{'|'.join(MONTHS)})|(?i:{'|'.join(MONTHS)}) \d{{1,2}}),? \d{{4}}{_END}", _written_date),
+    ("ip6", r"(?<![\w:.])[0-9A-Fa-f]{3,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:])", _address6),
+    ("personal", rf"(?<![\w-])\d{{3}}-\d\d-\d{{4}}(?![\w-])", _personal_number),
     ("ip", rf"(?<![\w.])\d{{1,3}}(?:\.\d{{1,3}}){{3}}(?![\w]|\.\d)", _address),
     ("phone", rf"(?<!\w)(?:\+\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)|\d{{1,4}})(?:[ .-]?\d{{2,4}}){{1,4}}|\(\d{{3}}\) ?\d{{3}}-\d{{4}}|\d{{3}}-\d{{3}}-\d{{4}}){_END}", _phone),
     ("card", rf"(?<!\w)\d{{4}}[ -]?\d{{4}}[ -]?\d{{4}}[ -]?\d{{1,7}}{_END}|(?<!\w)\d{{13,19}}{_END}", _card),

@@ -478,7 +478,8 @@ def jaccard_components(
 
     ``component_id`` is the smallest id reachable over links; rows with equal sets are
     linked. A null or wordless text has an empty set, links with nothing, and is its own
-    component. A null id is never the smallest. Repeated rows give repeated results.
+    component. A null id is never the smallest. Repeated rows give repeated results. Ids are
+    whole numbers, as text or not; any other id fails. Columns besides the two are ignored.
     """
     stored = shared_shingles(docs, doc_id, text, n)
     holder = F.when(F.col("tokens").isNotNull(), F.col("block"))

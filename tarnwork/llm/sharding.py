@@ -147,21 +147,25 @@ def shard_by_bytes(
 ) -> DataFrame:
     """``keep`` columns with ``size, text_crc32, shard, slot`` of every document.
 
+    Kept columns of those four names give way to the results.
+
     Size is the UTF-8 length plus 1 (null: 1). Documents of equal texts (by 128-bit
     digest; null counts as a text of its own) form a group that no shard boundary cuts,
     however often a row is repeated. Group sizes are summed before the shuffle. An empty
     table gives no rows.
     """
+    keep = tuple(c for c in keep if c not in ("size", "text_crc32", "shard", "slot"))
     body = F.col(f"`{text}`")
     rows = materialize(
         docs.select(
             *[F.col(f"`{c}`") for c in keep],
             (F.coalesce(F.octet_length(body), F.lit(0)) + 1).cast("long").alias("size"),
             F.crc32(F.coalesce(body, F.lit("")).cast("binary")).alias("text_crc32"),
-            F.coalesce(F.md5(body.cast("binary")), F.lit("null")).alias("item"),
+            F.coalesce(F.md5(body.cast("binary")), F.lit("null")).alias("_item_"),
         ),
         "shard-texts",
     )
-    groups = rows.groupBy("item").agg(F.sum("size").alias("bytes"))
-    placed = rows.join(place_groups(groups, n_shards, cell), "item").drop("item")
-    return with_slots(placed, F.xxhash64(*keep, "text_crc32"))
+    groups = rows.groupBy(F.col("_item_").alias("item")).agg(F.sum("size").alias("bytes"))
+    shards = place_groups(groups, n_shards, cell).withColumnRenamed("item", "_item_")
+    placed = rows.join(shards, "_item_").drop("_item_")
+    return with_slots(placed, F.xxhash64(*[F.col(f"`{c}`") for c in keep], "text_crc32"))

@@ -190,3 +190,18 @@ def test_slots_over_many_pieces(spark):
     for r in out.collect():
         got[r.shard].append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in got.values())
+
+
+def test_columns_named_like_results_give_way(spark, odd):
+    named = odd.withColumnRenamed("lang", "shard").withColumnRenamed("n_chars", "size")
+    out = sharding.shard_by_bytes(named, keep=("doc_id", "shard", "size", "source"), n_shards=2)
+    assert out.columns == ["doc_id", "source", "size", "text_crc32", "shard", "slot"]
+    same = sharding.shard_by_bytes(odd, keep=("doc_id", "source"), n_shards=2)
+    assert plain(out) == plain(same)
+    item = sharding.shard_by_bytes(odd.withColumnRenamed("lang", "item"), keep=("doc_id", "item"), n_shards=2)
+    assert item.count() == odd.count()
+    sized = mixing.size_documents(odd)
+    clashing = sized.select("*", F.lit("x").alias("target"), F.lit("y").alias("takes"), F.lit("z").alias("s"))
+    mixed = mixing.mix(clashing, (5, 2, 1))
+    assert mixed.columns == [*sized.columns, "takes", "s", "source_size", "target", "repeats"]
+    assert plain(mixed.drop("takes", "s")) == plain(mixing.mix(sized, (5, 2, 1)))
