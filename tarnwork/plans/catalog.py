@@ -90,8 +90,9 @@ def order_details(t: Tables) -> DataFrame:
     """
 )
 def daily_revenue(t: Tables) -> DataFrame:
-    price, discount = F.col("l_extendedprice"), F.col("l_discount")
-    revenue = price.cast("decimal(12,2)") * (1 - discount.cast("decimal(4,2)"))
+    # Whole cents times whole hundredths: exact in a long, and cheaper than decimals.
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    revenue = cents * (100 - F.round(F.col("l_discount") * 100).cast("long"))
     # Details are summed per order before they meet the order's date, so the join
     # reads one row per order and reuses the partitioning of the sums.
     per_order = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
@@ -103,7 +104,7 @@ def daily_revenue(t: Tables) -> DataFrame:
         .groupBy("day")
         .agg(
             F.sum("n").alias("n_details"),
-            F.sum("revenue").cast("double").alias("revenue"),
+            (F.sum("revenue") / 10_000).alias("revenue"),
         )
     )
 

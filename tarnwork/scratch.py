@@ -48,14 +48,24 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession) -> int:
-    """Delete every scratch folder this process has written; how many there were.
+def written() -> int:
+    """How many scratch folders there are: a mark for :func:`drop_scratch`."""
+    return len(_written)
 
-    Call it once the results that read them are stored elsewhere.
+
+def drop_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Delete the scratch folders this process has written; how many there were.
+
+    Call it once the results that read them are stored elsewhere. ``since`` spares those
+    written before that mark (:func:`written`), ``keep`` the last so many. With a mark it
+    is for steps that run one after the other, not for several threads.
     """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    last = len(_written) - keep
+    gone = _written[since:last]
+    del _written[since:last]
     dropped = 0
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    for folder in gone:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
         dropped += bool(path.getFileSystem(conf).delete(path, True))
     return dropped

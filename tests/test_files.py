@@ -154,3 +154,16 @@ def test_scratch_can_be_dropped(spark, monkeypatch):
     assert os.path.isdir(folder)
     assert scratch.drop_scratch(spark) == 1 and not os.path.exists(folder)
     assert scratch.drop_scratch(spark) == 0
+
+
+def test_tables_of_a_step_are_dropped_when_the_next_is_stored(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_written", [])
+    first = scratch.materialize(spark.range(5), "first")
+    mark = scratch.written()
+    second = scratch.materialize(first.where("id > 1"), "second")
+    third = scratch.materialize(second.where("id > 2"), "third")
+    assert scratch.drop_scratch(spark, since=mark, keep=1) == 1
+    assert third.count() == 2 and first.count() == 5 and scratch.written() == mark + 1
+    assert scratch.drop_scratch(spark, since=mark, keep=1) == 0
+    assert scratch.drop_scratch(spark, since=mark) == 1 and scratch.written() == mark
+    assert scratch.drop_scratch(spark, since=5, keep=3) == 0 and first.count() == 5
