@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tarnwork.llm import mixing, rules, setjoin, sharding, templates
 from tarnwork.operators.joins import fits_broadcast
-from tarnwork.scratch import materialize
+from tarnwork.scratch import drop_scratch, materialize, written
 
 #: Sources by name weigh so much in turn.
 WEIGHTS = (5, 2, 1)
@@ -98,6 +98,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    mark = written()
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        drop_scratch(spark, since=mark, keep=1)  # what the stage stored, and its input
     return STAGES[-1][1](spark, docs, sf_dir)
