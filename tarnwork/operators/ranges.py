@@ -9,17 +9,17 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarnwork.operators.joins import ROWS_PER_SALT, as_list, hot_keys, salted_join
-from tarnwork.operators.ordered import Pieces, _with_positions, running_totals
+from tarnwork.operators.joins import ROWS_PER_SALT, as_list, fits_broadcast, hot_keys, salted_join
+from tarnwork.operators.ordered import Pieces, running_totals
 from tarnwork.scratch import materialize
 
 #: Bins of a level are so many times as wide as those of the level below.
 BASE = 8
-#: Branches of a node in the tree over positions.
+#: Branches of a node in the tree over the places of a piece.
 RADIX = 16
 
 
@@ -134,12 +134,12 @@ def count_both(
     ``first`` and ``second`` are (right column, operator, left column), such as
     ``("day", "<", "day")``; keys ``on`` have to be equal. NULL satisfies nothing.
 
-    All rows get a position in the order of the first inequality, so that the right rows
-    that satisfy it are those at smaller positions. Positions form a tree with ``RADIX``
-    branches per node: the rows before a given one are whole branches, left of its own,
-    of the nodes above it. In each node, running totals by branch in the order of the
-    second inequality count the right rows of those branches. So each row is sorted once per
-    level, ``log(rows) / log(RADIX)`` times, and no pair of rows is ever formed.
+    All rows are cut into pieces by the first inequality. Those of one piece are counted
+    in it (:func:`_count_in_piece`). For the rest all rows are cut again, by the second
+    inequality, into bands. The right rows of a smaller piece and a smaller band are
+    counted as a table of a row per piece and band, those of a smaller piece and the same
+    band in the band. So each row is dealt out twice, whatever the number of rows, and no
+    pair of rows is ever formed.
     """
     keys = as_list(on)
     (r_x, op_x, l_x), (r_y, op_y, l_y) = first, second
@@ -166,30 +166,85 @@ def count_both(
     )
     by_x = F.col("x").desc() if down_x else F.col("x").asc()
     by_y = F.col("y").desc() if down_y else F.col("y").asc()
-    placed = _with_positions(Pieces(both, names, [by_x, "turn_x"], n_pieces))
-    placed = placed.select(*names, "y", "turn_y", "id", (F.col("_o_pos") - 1).alias("pos"))
-    placed = materialize(placed, "positions")
-    last = placed.agg(F.max("pos")).first()[0] or 0
-    n_levels = next(n for n in range(1, 17) if RADIX**n > last)
-    level = F.explode(F.sequence(F.lit(0), F.lit(n_levels - 1))).alias("level")
-    size = F.pow(F.lit(RADIX), F.col("level")).cast("long")
-    nodes = placed.select("*", level).select(
-        *names, "level", F.floor(F.col("pos") / (size * RADIX)).alias("node"),
-        F.pmod(F.floor(F.col("pos") / size), F.lit(RADIX)).cast("int").alias("branch"), "y", "turn_y", "id",
+    pieces = Pieces(both, names, [by_x, "turn_x"], n_pieces)
+    # Rows that are equal in all this are of one side, and do not count each other.
+    place = F.dense_rank().over(Window.partitionBy("_o_piece").orderBy(*names, by_x, "turn_x"))
+    placed = pieces.rows.select(
+        "_o_piece", *names, "y", "turn_y", "id", (place - 1).cast("long").alias("place")
     )
-    # Nothing stands left of the first branch, and the last one is left of nothing.
-    useful = F.when(F.col("id").isNull(), F.col("branch") < RADIX - 1).otherwise(F.col("branch") > 0)
-    counted = F.col("id").isNull()
-    totals = running_totals(
-        nodes.where(useful), [*names, "level", "node"], [by_y, "turn_y"],
-        {f"b{k}": F.when(counted & (F.col("branch") == k), 1) for k in range(RADIX - 1)},
-        n_pieces=n_pieces,
-    )
-    before = reduce(
-        lambda a, b: a + b,
-        [F.when(F.col("branch") > k, F.col(f"b{k}")).otherwise(0) for k in range(RADIX - 1)],
-    )
-    found = totals.where("id is not null").groupBy("id").agg(F.sum(before).alias(out))
+    order = [by_y, F.col("turn_y")]
+    found = _count_in_piece(materialize(placed, "places"), names, order, "place")
+    rows = found.select(F.col("_o_piece").alias("x_piece"), *names, "y", "turn_y", "id", "n")
+    if pieces.rows.where("_o_piece > 0").isEmpty():
+        found = rows.where("id is not null").select("id", F.col("n").alias(out))
+    else:
+        bands = Pieces(rows, names, order, n_pieces)
+        below = _count_below(bands.rows, names)
+        found = _count_in_piece(bands.rows, names, order, "x_piece").where("id is not null")
+        side = F.broadcast(below) if fits_broadcast(below) else below
+        found = found.withColumnRenamed("_o_piece", "band").join(side, [*names, "x_piece", "band"]).select(
+            "id", (F.col("n") + F.col("n_below")).alias(out)
+        )
     return stored.join(found, F.col("_d_id") == F.col("id"), "left").select(
         *left.columns, F.coalesce(out, F.lit(0)).cast("long").alias(out)
     )
+
+
+def _count_in_piece(rows: DataFrame, keys: list[str], order: list[Column], place: str) -> DataFrame:
+    """Rows with ``n`` more: right rows of the key and piece at smaller places, earlier in the order.
+
+    Places form a tree with ``RADIX`` branches per node: the places before a given one are
+    whole branches, left of its own, of the nodes above it. In each node, running totals in
+    the order count the right rows up to each branch. A level is a sort within the piece.
+    """
+    last = rows.agg(F.max(place)).first()[0] or 0
+    counted, asking = F.col("id").isNull(), F.col("id").isNotNull()
+    out = rows.drop("_o_row").repartition("_o_piece")
+    if "n" not in rows.columns:
+        out = out.withColumn("n", F.lit(0).cast("long"))
+    size = 1
+    while size <= last:
+        node = F.floor(F.col(place) / (size * RADIX)).alias("node")
+        branch = F.pmod(F.floor(F.col(place) / size), F.lit(RADIX)).cast("int").alias("branch")
+        so_far = Window.partitionBy("node", "_o_piece", *keys).orderBy(*order).rowsBetween(
+            Window.unboundedPreceding, 0
+        )
+        out = out.select("*", node, branch).withColumns(
+            {
+                f"b{k}": F.sum(F.when(counted & (F.col("branch") < k), 1).otherwise(0)).over(so_far)
+                for k in range(1, RADIX)
+            }
+        )
+        left_of = reduce(
+            lambda a, k: a.when(F.col("branch") == k, F.col(f"b{k}")),
+            range(2, RADIX), F.when(F.col("branch") == 1, F.col("b1")),
+        ).otherwise(0)
+        out = out.select(
+            *[c for c in rows.columns if c not in ("_o_row", "n")],
+            F.when(asking, F.col("n") + left_of).alias("n"),
+        )
+        size *= RADIX
+    return out
+
+
+def _count_below(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, x_piece, band, n_below``: right rows of smaller pieces and smaller bands; stored.
+
+    The pieces of a key stand next to each other, and so do its bands.
+    """
+    rows = rows.select(*keys, "x_piece", F.col("_o_piece").alias("band"), "id")
+    ends = rows.groupBy(*keys).agg(
+        *[f(c).alias(f"{n}_{c}") for c in ("x_piece", "band") for n, f in (("a", F.min), ("z", F.max))]
+    )
+    grid = ends.withColumn("x_piece", F.explode(F.sequence("a_x_piece", "z_x_piece"))).withColumn(
+        "band", F.explode(F.sequence("a_band", "z_band"))
+    )
+    place = [*keys, "x_piece", "band"]
+    cells = rows.where("id is null").select(*place, F.lit(1).alias("one")).unionByName(
+        grid.select(*place, F.lit(0).alias("one"))
+    ).groupBy(*place).agg(F.sum("one").alias("n_cell"))
+    # A piece's right rows in smaller bands, then those of all smaller pieces.
+    lower = running_totals(cells, [*keys, "x_piece"], "band", {"n_lower": F.col("n_cell")}, include_row=False)
+    earlier = Window.partitionBy(*keys, "band").orderBy("x_piece").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("n_lower").over(earlier), F.lit(0))
+    return materialize(lower.select(*place, below.alias("n_below")), "below")
