@@ -8,8 +8,9 @@ item always became the same value in the document. That holds for verbatim copie
 for re-parameterised ones, not for texts that merely share phrases. Windows of few words are
 compared verbatim, and items made of such windows also as whole templates.
 
-DataFrame functions only. Texts are read once for the windows, and again for those few
-documents that have a window in common with the benchmark.
+DataFrame functions only. Texts are read once for blocks of half a window, next to each
+other, and those few that have a block in common with the benchmark again for the windows,
+of which each holds a whole block, and for the alignments.
 """
 
 from __future__ import annotations
@@ -47,6 +48,8 @@ UNITS = [
 
 #: Words that are equal one after the other are a leak whatever their share of the item.
 RUN = 13
+#: Keys of documents, of 8 bytes, that are broadcast at most.
+NEAR_ROWS = 1_000_000
 #: Items of fewer tokens match nothing: nearly every text would hold some of them.
 LEAST_ITEM = 3
 
@@ -127,25 +130,36 @@ def _has_number() -> Column:
     return F.col("_plain_") != F.col("_marked_")
 
 
-def doc_windows(docs: DataFrame, doc_key: Column, text: Column, widths: list[int]) -> DataFrame:
-    """``doc_key, nth, pos, h``: hashes of all windows of the views of all texts.
+def _doc_views(docs: DataFrame, doc_key: Column, text: Column, words_of_all: bool) -> DataFrame:
+    """``doc_key, number, nth, view``: the views of all texts, each as one text.
 
-    A view is one text, and a single pass of a regular expression reads its windows. The
-    second view is left out where it equals the first, the third, of words alone, where a
-    text has no number: of windows that can have enough literals, only those with a number
-    are sought verbatim.
+    The second view is left out where it equals the first, the third, of words alone, where
+    a text has no number, unless ``words_of_all``.
     """
     marked = docs.select(doc_key.alias("doc_key"), plain(text).alias("_plain_")).select(
         "doc_key", "_plain_", numbered(F.col("_plain_")).alias("_marked_")
     )
     views = marked.select(
         "doc_key", template(F.col("_marked_")).alias("v0"), folded(F.col("_marked_")).alias("v1"),
-        F.when(_has_number() | F.lit(widths[0] <= LITERALS), one_case(F.col("_plain_"))).alias("v2"),
+        F.when(_has_number() | F.lit(words_of_all), one_case(F.col("_plain_"))).alias("v2"),
         _has_number().alias("number"),
     )
     other = F.when(F.col("v1") != F.col("v0"), F.col("v1"))
     each = views.select("doc_key", "number", F.posexplode(F.array("v0", other, "v2")).alias("nth", "view"))
-    each = each.where("view is not null")
+    return each.where("view is not null")
+
+
+def _view_hash(part: str) -> Column:
+    return F.when(F.col("nth") == 2, _verbatim(F.col(part))).otherwise(F.xxhash64(part))
+
+
+def doc_windows(docs: DataFrame, doc_key: Column, text: Column, widths: list[int]) -> DataFrame:
+    """``doc_key, nth, pos, h``: hashes of all windows of the views of all texts.
+
+    A single pass of a regular expression reads a view's windows. Of windows that can have
+    enough literals, only those of texts with a number are sought verbatim.
+    """
+    each = _doc_views(docs, doc_key, text, widths[0] <= LITERALS)
 
     def windows(of: DataFrame, width: int) -> DataFrame:
         if width > LITERALS:
@@ -157,8 +171,53 @@ def doc_windows(docs: DataFrame, doc_key: Column, text: Column, widths: list[int
     found = windows(each, widths[0])
     for width in widths[1:]:
         found = found.unionByName(windows(each, width))
-    h = F.when(F.col("nth") == 2, _verbatim(F.col("window"))).otherwise(F.xxhash64("window"))
-    return found.select("doc_key", "nth", "pos", h.alias("h"))
+    return found.select("doc_key", "nth", "pos", _view_hash("window").alias("h"))
+
+
+def _block(n: int) -> int:
+    """Tokens of a block. Each window of ``n`` tokens holds a whole one of a text cut into such."""
+    return (n + 1) // 2
+
+
+def doc_blocks(docs: DataFrame, doc_key: Column, text: Column, n: int) -> DataFrame:
+    """``doc_key, h``: hashes of the blocks, one after the other, that the views are cut into.
+
+    Without the last tokens, too few for a block: a window holds another block as well.
+    """
+    run = rf"{_IN}++(?: {_IN}++){{{_block(n) - 1}}}"
+    each = _doc_views(docs, doc_key, text, n <= LITERALS)
+    found = each.select(
+        "doc_key", "nth", F.explode(F.regexp_extract_all("view", F.lit(run), F.lit(0))).alias("block")
+    )
+    return found.select("doc_key", _view_hash("block").alias("h"))
+
+
+def item_blocks(benchmark: DataFrame, text: str, n: int) -> DataFrame:
+    """``h``: hashes of all runs of a block's length in items that have windows of ``n`` tokens."""
+    width = _block(n)
+    texts = benchmark.select(F.col(f"`{text}`").alias("text"))
+    parts = _with_tokens(texts, F.col("text")).where(F.size("views.v0") >= n)
+
+    def of_place(v: Column, i: Column) -> Column:
+        part, other, said = (F.slice(v[f"v{k}"], i, width) for k in range(3))
+        return F.array(_hash(part), _hash(other), _verbatim(F.array_join(said, " ")))
+
+    hashes = F.flatten(_by_place(F.col("views"), F.lit(width), of_place))
+    return parts.select(F.explode(hashes).alias("h")).distinct()
+
+
+def near_docs(docs: DataFrame, benchmark: DataFrame, doc_key: Column, text: Column, item_text: str, n: int) -> DataFrame:
+    """Those of ``docs`` that can have a window of ``n`` tokens in common with the benchmark.
+
+    They have a block in common with it, and there are but a few blocks to compare. Keys are
+    8 bytes, so far more of them than of other rows are broadcast; else texts are shuffled.
+    """
+    blocks = materialize(item_blocks(benchmark, item_text, n), "item-blocks")
+    side = F.broadcast(blocks) if fits_broadcast(blocks) else blocks
+    hit = doc_blocks(docs, doc_key, text, n).join(side, "h", "left_semi")
+    near = materialize(hit.select(F.col("doc_key").alias("_near_")).distinct(), "near-documents")
+    keys = F.broadcast(near) if near.count() <= NEAR_ROWS else near
+    return docs.join(keys, doc_key == F.col("_near_"), "left_semi")
 
 
 def _literals(part: Column) -> Column:
@@ -247,7 +306,10 @@ def find_leaks(
     wanted = materialize(item_windows(items, item_id, item_text, n), "item-windows")
     key = row_key(doc_id, text)
     widths = sorted(r[0] for r in wanted.select("width").distinct().collect())  # up to n of them
-    found = doc_windows(docs, key, F.col(f"`{text}`"), widths or [n])
+    body = F.col(f"`{text}`")
+    found = doc_windows(near_docs(docs, items, key, body, item_text, n), key, body, [n])
+    if short := [w for w in widths if w < n]:
+        found = found.unionByName(doc_windows(docs, key, body, short))
     # Broadcast only what was counted and sized; else both sides are shuffled by hash.
     side = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
     hits = materialize(

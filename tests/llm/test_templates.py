@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -154,3 +155,36 @@ def test_a_long_run_of_a_long_item_is_a_leak(spark):
 def test_items_of_one_or_two_words_match_nothing(spark):
     docs = [(i, f"the text number {i} holds the word") for i in range(5)]
     assert leaks(spark, docs, [(1, "the"), (2, "the text"), (3, "!")]) == []
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_windows_are_read_from_documents_with_a_block_of_the_benchmark(spark, large, monkeypatch):
+    """Only those documents are searched for windows, and nothing is found less."""
+    from tarnwork.llm import templates
+
+    if large:  # both joins without a broadcast
+        monkeypatch.setattr(templates, "fits_broadcast", lambda table: False)
+        monkeypatch.setattr(templates, "NEAR_ROWS", 0)
+    draw = random.Random(5)
+    words = ["the", "Tom", "of", "3", "kg", "ran", "left", "Über", "to", "1,5", "it"]
+    made = [" ".join(draw.choices(words, k=draw.randint(0, 60))) for _ in range(60)]
+    items = [(i, " ".join(draw.choices(words, k=draw.randint(4, 30)))) for i in range(6)]
+    docs = [(d, text) for d, text in enumerate(made)]
+    for k, (_, item) in enumerate(items):  # whole items at all places modulo the block
+        docs += [(100 + 10 * k + j, " ".join([*["foreign"] * j, item, made[k]])) for j in range(5)]
+    docs += [(1000 + d, f"text number {d} shares nothing with any item, not even a few of its tokens") for d in range(50)]
+    read, plain_windows = [], templates.doc_windows
+
+    def watched(table, key, text, widths):
+        read.append({r.doc_id for r in table.select("doc_id").collect()})
+        return plain_windows(table, key, text, widths)
+
+    monkeypatch.setattr(templates, "doc_windows", watched)
+    long_items = [i for i in items if len(i[1].split()) >= WINDOW]
+    found = leaks(spark, docs, long_items)
+    assert found and all(max(ids) < 1000 for ids in read)
+    monkeypatch.setattr(templates, "near_docs", lambda docs, *_: docs)
+    assert found == leaks(spark, docs, long_items)
+    mixed = leaks(spark, docs, items)
+    monkeypatch.undo()
+    assert mixed == leaks(spark, docs, items)
