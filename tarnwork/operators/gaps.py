@@ -1,112 +1,115 @@
 """Series without gaps: a table function that fills the missing slots of time.
 
 Rows are first combined to one per key and slot. Slots are cut into chunks, and each
-(key, chunk) is a partition of the table function, chunks without any row included. A
-partition also gets the last row before its chunk and the first one after it, so it is
-filled without its neighbours: neither a hot key nor a long gap is one task's work, and
-a task holds two rows at a time.
+(key, chunk) is filled on its own, chunks without any row included: it also gets the last
+row before its chunk and the first one after it, so neither a hot key nor a long gap is
+one task's work. Each row knows the one that follows in its chunk, so the table function
+takes Arrow batches of any rows, in any order, and returns batches of bounded size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Mapping, Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
-    DecimalType,
     DoubleType,
-    FractionalType,
     NumericType,
     StructField,
     StructType,
     TimestampNTZType,
 )
-from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult, OrderingColumn, PartitioningColumn
 
 from tarnwork.operators.joins import as_list
 from tarnwork.operators.ordered import neighbours
 from tarnwork.scratch import materialize
 
 FILLS = ("zero", "previous", "linear")
-#: Slots in a partition of the table function.
+#: Slots in a chunk, that one key fills in one task.
 CHUNK_SLOTS = 4096
-
-
-@dataclass
-class _Layout(AnalyzeResult):
-    fills: tuple[str, ...] = ()
-    zeros: tuple = ()
-    chunk_slots: int = CHUNK_SLOTS
+#: Rows in a batch that the table function returns.
+BATCH_SLOTS = 16_384
 
 
 class FillSlots:
-    """Table function over rows ``keys..., _chunk, _slot, measures...``.
+    """Table function over Arrow batches of ``keys..., _chunk, _slot, measures..., _next``.
 
-    Its second argument says how each measure is filled, its third how many slots a chunk
-    has. Returns ``keys..., _slot, measures..., filled``; rows outside the chunk are only
-    looked at. A linear measure becomes a double.
+    ``_next`` is the following row in the chunk, ``_slot`` and all linear measures of it, or
+    NULL. Returns ``keys..., _slot, measures..., filled``: each row's slots up to the next
+    one, rows outside the chunk are only looked at. :meth:`of` says how each measure is
+    filled and how many slots a chunk has. Linear measures are doubles.
     """
 
-    def __init__(self, layout: _Layout):
-        self._fills = layout.fills
-        self._zeros = layout.zeros
-        self._slots = layout.chunk_slots
-        self._before: tuple | None = None
+    fills: tuple[str, ...] = ()
+    chunk_slots = CHUNK_SLOTS
+
+    @classmethod
+    def of(cls, rows: StructType, fills: Sequence[str], chunk_slots: int):
+        """The table function for these rows; Spark 4.1 has no ``analyze`` for Arrow batches."""
+        bound = type("BoundFillSlots", (cls,), {"fills": tuple(fills), "chunk_slots": chunk_slots})
+        return F.arrow_udtf(bound, returnType=cls.schema(rows, fills))
 
     @staticmethod
-    def analyze(rows: AnalyzeArgument, fills: AnalyzeArgument, chunk_slots: AnalyzeArgument) -> _Layout:
-        fields = list(rows.dataType)
-        how = tuple(fills.value)
-        n_keys = len(fields) - 2 - len(how)
-        if not rows.isTable or n_keys < 0 or [f.name for f in fields[n_keys : n_keys + 2]] != ["_chunk", "_slot"]:
-            raise ValueError("rows must be a table of keys, _chunk, _slot and one column per fill")
-        given = list(zip(fields[n_keys + 2 :], how))
+    def schema(rows: StructType, fills: Sequence[str]) -> StructType:
+        """What is returned for such rows, whose linear measures may still be of any number type."""
+        fields = list(rows)
+        n_keys = len(fields) - 2 - len(fills)
+        if n_keys < 0 or [f.name for f in fields[n_keys : n_keys + 2]] != ["_chunk", "_slot"]:
+            raise ValueError("rows must be keys, _chunk, _slot and one column per fill")
+        given = list(zip(fields[n_keys + 2 :], fills))
         for f, h in given:
             if h != "previous" and not isinstance(f.dataType, NumericType):
                 raise ValueError(f"{f.name} is not a number and cannot be filled by {h}")
         measures = [StructField(f.name, DoubleType() if h == "linear" else f.dataType) for f, h in given]
-        schema = StructType([*fields[:n_keys], fields[n_keys + 1], *measures, StructField("filled", BooleanType())])
-        parts = [PartitioningColumn(f"`{f.name}`") for f in fields[: n_keys + 1]]
-        return _Layout(
-            schema=schema, partitionBy=parts, orderBy=[OrderingColumn("_slot")],
-            fills=how, zeros=tuple(_zero(f.dataType) for f, _ in given), chunk_slots=chunk_slots.value,
-        )
-
-    def eval(self, row, fills, chunk_slots):
-        n_keys = len(row) - 2 - len(self._fills)
-        keys, chunk, slot, values = row[:n_keys], row[n_keys], row[n_keys + 1], row[n_keys + 2 :]
-        first, end = chunk * self._slots, (chunk + 1) * self._slots
-        if self._before is not None:
-            at, known = self._before
-            for missing in range(max(at + 1, first), min(slot, end)):
-                share = (missing - at, slot - at)
-                made = (_fill(*each, share) for each in zip(self._fills, self._zeros, known, values))
-                yield (*keys, missing, *made, True)
-        if first <= slot < end:
-            kept = (float(v) if h == "linear" and v is not None else v for h, v in zip(self._fills, values))
-            yield (*keys, slot, *kept, False)
-        self._before = slot, values
-
-
-def _zero(kind):
-    if isinstance(kind, DecimalType):
-        return Decimal(0)
-    return 0.0 if isinstance(kind, FractionalType) else 0
-
-
-def _fill(how, zero, before, after, share):
-    if how == "zero":
-        return zero
+        return StructType([*fields[:n_keys], fields[n_keys + 1], *measures, StructField("filled", BooleanType())])
+
+    def eval(self, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        n_keys = rows.num_columns - 3 - len(self.fills)
+        names = [*rows.schema.names[:n_keys], *rows.schema.names[n_keys + 1 : -1], "filled"]
+        keys, (chunk, slot), values = rows.columns[:n_keys], rows.columns[n_keys : n_keys + 2], rows.columns[n_keys + 2 : -1]
+        next_at, *next_values = rows.column(rows.num_columns - 1).flatten()
+        later = dict(zip((i for i, h in enumerate(self.fills) if h == "linear"), next_values))
+
+        at, start = slot.to_numpy(), chunk.to_numpy() * self.chunk_slots
+        until = pc.coalesce(next_at, pc.add(slot, 1)).to_numpy(zero_copy_only=False)
+        first = np.maximum(at, start)
+        ends = np.cumsum(np.maximum(np.minimum(until, start + self.chunk_slots) - first, 0))
+        total = int(ends[-1]) if len(ends) else 0
+        for low in range(0, total, BATCH_SLOTS):
+            place = np.arange(low, min(low + BATCH_SLOTS, total))
+            of = np.searchsorted(ends, place, side="right")
+            # Places count from the row's first slot, which the rows before it end at.
+            made = first[of] + place - np.where(of > 0, ends[of - 1], 0)
+            filled = made > at[of]
+            share = ((made - at[of]).astype("float64"), (until[of] - at[of]).astype("float64"))
+            row = pa.array(of)
+            measures = [
+                _linear(v.take(row), later[i].take(row), filled, share) if h == "linear" else _constant(h, v.take(row), filled)
+                for i, (h, v) in enumerate(zip(self.fills, values))
+            ]
+            columns = [*(k.take(row) for k in keys), pa.array(made), *measures, pa.array(filled)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def _constant(how: str, before: pa.Array, filled: np.ndarray) -> pa.Array:
     if how == "previous":
         return before
-    if before is None or after is None:
-        return None
-    before, after = float(before), float(after)
-    return before + (after - before) * share[0] / share[1]
+    zero = Decimal(0) if pa.types.is_decimal(before.type) else 0
+    return pc.if_else(pa.array(filled), pa.scalar(zero, before.type), before)
+
+
+def _linear(before: pa.Array, after: pa.Array, filled: np.ndarray, share: tuple) -> pa.Array:
+    known, end = (v.fill_null(0.0).to_numpy() for v in (before, after))
+    unknown, no_end = (v.is_null().to_numpy(zero_copy_only=False) for v in (before, after))
+    with np.errstate(all="ignore"):
+        between = known + (end - known) * share[0] / share[1]
+    return pa.array(np.where(filled, between, known), mask=unknown | (filled & no_end))
 
 
 def _whole_seconds(df: DataFrame, time: str) -> Column:
@@ -148,7 +151,8 @@ def fill_gaps(
         raise ValueError(f"measures need a fill of {FILLS}, got {unknown}")
     if step < 1 or chunk_slots < 1:
         raise ValueError("step and chunk_slots must be at least 1")
-    taken = {*keys, time, "filled"} & {*measures} or {c for c in (*keys, *measures) if c in ("_chunk", "_slot")}
+    reserved = ("_chunk", "_slot", "_next")
+    taken = {*keys, time, "filled"} & {*measures} or {c for c in (*keys, *measures) if c in reserved}
     if taken:
         raise ValueError(f"names given twice or reserved: {sorted(taken)}")
     seconds = _whole_seconds(df, time)
@@ -157,7 +161,11 @@ def fill_gaps(
     grain = known.agg(*[a.alias(name) for name, (a, _) in measures.items()])
     chunk = ((F.col("_slot") - F.pmod("_slot", F.lit(chunk_slots))) / chunk_slots).cast("long")
     layout = [*keys, "_chunk", "_slot", *measures]
-    grain = materialize(grain.withColumn("_chunk", chunk).select(*layout), "slots")
+    grain = grain.withColumn("_chunk", chunk).select(*layout)
+    how = {name: h for name, (_, h) in measures.items()}
+    fill_slots = FillSlots.of(grain.schema, [*how.values()], chunk_slots)
+    linear = [name for name, h in how.items() if h == "linear"]
+    grain = materialize(grain.withColumns({name: F.col(name).cast("double") for name in linear}), "slots")
 
     row = F.struct("_slot", *measures)
     ends = grain.groupBy(*keys, "_chunk").agg(F.min_by(row, "_slot").alias("_head"), F.max_by(row, "_slot").alias("_tail"))
@@ -174,8 +182,8 @@ def fill_gaps(
     empty = between.select(*keys, "_chunk", F.explode("_rows").alias("_row"))
     beyond = around.where("_row is not null").unionByName(empty).select(*keys, "_chunk", "_row.*")
     rows = grain.unionByName(beyond.select(*layout))
-    how = F.array(*[F.lit(h) for _, h in measures.values()])
-    # Rows come one by one, each with its few slots: as Arrow batches they would be as many tiny tables.
-    filled = F.udtf(FillSlots, useArrow=False)(rows.asTable(), how, F.lit(chunk_slots))
+    in_chunk = Window.partitionBy(*keys, "_chunk").orderBy("_slot")
+    rows = rows.select(*layout, F.lead(F.struct("_slot", *linear)).over(in_chunk).alias("_next"))
+    filled = fill_slots(rows.asTable())
     start = _slot_start(df, time, F.col("_slot") * step)
     return filled.select(*keys, start.alias(time), *measures, "filled")

@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import random
 from collections import defaultdict
+from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tarnwork.operators import sketches
+from tarnwork.operators import gaps, sketches
 from tarnwork.operators.gaps import fill_gaps
 from tarnwork.scratch import scratch_path
 
@@ -91,6 +93,60 @@ def test_gaps_of_nothing_and_wrong_arguments(spark, measures):
         fill_gaps(df, "q", "at", 60, {"x": (F.max("k"), "linear")})
 
 
+@pytest.mark.parametrize("size", [1, 4, 1000])
+def test_one_batch_fills_many_chunks_in_batches_of_bounded_size(monkeypatch, size):
+    monkeypatch.setattr(gaps, "BATCH_SLOTS", size)
+
+    class Tens(gaps.FillSlots):
+        fills, chunk_slots = ("zero", "previous", "linear"), 10
+
+    follows = pa.struct([("_slot", pa.int64()), ("level", pa.float64())])
+    given = [
+        ("a", 0, 8, 5, "x", 1.0, {"_slot": 12, "level": 3.0}),
+        ("a", 0, 12, 7, "y", 3.0, None),  # only looked at
+        (None, 1, 7, 1, "p", 2.0, {"_slot": 25, "level": None}),  # no row of its own in the chunk
+        ("a", 1, 12, 7, "y", 3.0, None),
+        ("a", 1, 8, 5, "x", 1.0, {"_slot": 12, "level": 3.0}),  # in any order
+    ]
+    names = ["k", "_chunk", "_slot", "n", "last", "level", "_next"]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.float64(), follows]
+    columns = [pa.array(c, t) for c, t in zip(zip(*given), types)]
+    found = list(Tens().eval(pa.RecordBatch.from_arrays(columns, names=names)))
+    assert {b.num_rows for b in found[:-1]} <= {size} and 0 < found[-1].num_rows <= size
+    assert found[0].schema.names == ["k", "_slot", "n", "last", "level", "filled"]
+    expected = [("a", 8, 5, "x", 1.0, False), ("a", 9, 0, "x", 1.5, True)]
+    expected += [(None, s, 0, "p", None, True) for s in range(10, 20)]
+    expected += [("a", 12, 7, "y", 3.0, False), ("a", 10, 0, "x", 2.0, True), ("a", 11, 0, "x", 2.5, True)]
+    assert [tuple(r.values()) for b in found for r in b.to_pylist()] == expected
+
+
+def test_gaps_of_many_types_are_filled_in_arrow_batches(spark, rows):
+    day = lambda d, **more: dt.datetime(2024, 3, d, **more)
+    made = [(b"k", day(30, hour=22), day(1), 1.5, 7, "a"), (b"k", day(31, hour=4), None, 2.0, 9, "b"), (None, day(31), day(2), None, None, None)]
+    df = spark.createDataFrame(made, "k binary, at timestamp, t timestamp, d double, i tinyint, s string")
+    df = df.withColumn("d", F.col("d").cast("decimal(12,3)"))
+    measures = {
+        "cost": (F.sum("d"), "zero"), "i": (F.max("i"), "zero"), "f": (F.max(F.col("i").cast("float")), "zero"),
+        "t": (F.max("t"), "previous"), "all": (F.collect_list(F.struct("s", "d")), "previous"), "level": (F.max("d"), "linear"),
+    }
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        out = fill_gaps(df, "k", "at", 7200, measures, 2)
+        assert "ArrowEvalPythonUDTF" in out._jdf.queryExecution().executedPlan().toString()
+        kinds = dict(out.dtypes)
+        got = rows(out.withColumns({"k": F.hex("k"), "at": F.unix_seconds("at"), "t": F.unix_seconds("t")}))
+        (start, t), _, (other, u) = df.select(F.unix_seconds("at"), F.unix_seconds("t")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (kinds["cost"], kinds["i"], kinds["f"], kinds["t"]) == ("decimal(22,3)", "tinyint", "float", "timestamp")
+    none, first, last = Decimal("0.000"), Decimal("1.500"), Decimal("2.000")
+    expected = [("6B", start, first, 7, 7.0, t, [("a", first)], 1.5, False)]
+    expected += [("6B", start + 7200 * n, none, 0, 0.0, t, [("a", first)], 1.5 + 0.5 * n / 3, True) for n in (1, 2)]
+    expected += [("6B", start + 7200 * 3, last, 9, 9.0, None, [("b", last)], 2.0, False)]
+    expected += [(None, other, None, None, None, u, [(None, None)], None, False)]
+    assert [(*r[:6], [tuple(x) for x in r[6]], *r[7:]) for r in got] == sorted(expected, key=repr)
+
+
 def _stored(spark, path):
     return sketches.read_sketches(spark, path, "month string, k string")
 
